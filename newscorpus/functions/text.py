@@ -102,33 +102,23 @@ def sentences(text: Column) -> Column:
     )
 
 
-def language_scores(text: Column, lexicons: dict[str, list[str]]) -> dict[str, Column]:
-    """Per language, how many words of the text are on its evidence list."""
-    tokens = F.split(F.lower(text), LANGUAGE_SPLIT)
-    return {
-        lang: F.array_size(F.filter(tokens, lambda w, ws=ws: w.isin(ws)))
-        for lang, ws in lexicons.items()
-    }
+def evidence(tokens: Column, lexicon: Sequence[str]) -> Column:
+    """How many tokens are on a fixed word list."""
+    return F.array_size(F.filter(tokens, lambda w: w.isin(list(lexicon))))
 
 
 def detect_language(text: Column, lexicons: dict[str, list[str]]) -> Column:
     """Language with most evidence words; ties go to the earlier lexicon and no
     evidence gives NULL."""
+    langs = F.array(*[F.lit(lang) for lang in lexicons])
 
-    langs = list(lexicons)
-
-    def decide(w: Column) -> Column:
-        scores = F.array(
-            *[F.array_size(F.filter(w, lambda x, ws=lexicons[l]: x.isin(ws))) for l in langs]
-        )
+    def decide(tokens: Column) -> Column:
+        scores = F.array(*[evidence(tokens, ws) for ws in lexicons.values()])
         return let(
             scores,
             lambda s: F.when(
                 F.array_max(s) > 0,
-                F.element_at(
-                    F.array(*[F.lit(l) for l in langs]),
-                    F.array_position(s, F.array_max(s)).cast("int"),
-                ),
+                F.element_at(langs, F.array_position(s, F.array_max(s)).cast("int")),
             ),
         )
 

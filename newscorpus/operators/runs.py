@@ -21,8 +21,9 @@ def scalars_to_long(wide: DataFrame, ids: Sequence[str] = ("run", "step", "seq")
     """One row per present value: (ids…, tag, value).  Long input passes through."""
     if "tag" in wide.columns:
         return wide.where(F.col("value").isNotNull())
-    tags = [c for c in wide.columns if c not in ids]
-    return wide.unpivot(list(ids), tags, "tag", "value").where(F.col("value").isNotNull())
+    kept = [c for c in ids if c in wide.columns]
+    tags = [c for c in wide.columns if c not in kept]
+    return wide.unpivot(kept, tags, "tag", "value").where(F.col("value").isNotNull())
 
 
 def scalars_to_wide(

@@ -39,8 +39,9 @@ def _long(*names: str) -> dict[str, Column]:
     return {n: F.col(n).cast("bigint") for n in names}
 
 
-def _rounded(df: DataFrame, *names: str, digits: int = 4) -> DataFrame:
-    return df.withColumns({n: F.round(F.col(n), digits) for n in names})
+def _single(df: DataFrame, *names: str) -> DataFrame:
+    """Single precision, on which engines agree where the last bits differ."""
+    return df.withColumns({n: F.col(n).cast("float").cast("double") for n in names})
 
 
 # --- ingest and curation ---------------------------------------------------
@@ -301,7 +302,7 @@ def length_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def avg_length(spark: SparkSession, sf: str) -> DataFrame:
     df = stats.avg_length(b.summaries(spark, sf), ["article", "highlights"])
-    return _rounded(df, "avg_words")
+    return _single(df, "avg_words")
 
 
 def length_histogram(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,7 +318,7 @@ def top_bigrams(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def term_weights(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(stats.term_weights(b.documents(spark, sf), "text"), "weight", digits=6)
+    return _single(stats.term_weights(b.documents(spark, sf), "text"), "weight")
 
 
 def category_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -353,7 +354,7 @@ def _scores(df: DataFrame, *metrics: str, stemmed: bool = False) -> DataFrame:
 
 def _f1s(df: DataFrame, metric: str) -> DataFrame:
     parts = ("precision", "recall", "f1")
-    return df.select("pair_id", *[F.round(F.col(metric)[p], 4).alias(p) for p in parts])
+    return _single(df.select("pair_id", *[F.col(metric)[p].alias(p) for p in parts]), *parts)
 
 
 def rouge_1(spark: SparkSession, sf: str) -> DataFrame:
@@ -391,12 +392,12 @@ def rouge_corpus_stemmed(spark: SparkSession, sf: str) -> DataFrame:
 def rouge_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     scored = _scores(b.pairs(spark, sf), "rouge1", "rouge2")
     out = evaluate.rouge_bootstrap(scored, "pair_id", ["rouge1", "rouge2"], reps=200)
-    return _rounded(out, "low", "mid", "high")
+    return _single(out, "low", "mid", "high")
 
 
 def gen_len(spark: SparkSession, sf: str) -> DataFrame:
     padded = prep.pad_fixed(_encoded(spark, sf), {"labels": MAX_TARGET})
-    return _rounded(evaluate.gen_len(padded, "labels"), "gen_len")
+    return _single(evaluate.gen_len(padded, "labels"), "gen_len")
 
 
 def write_eval_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -424,7 +425,7 @@ def lead_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def sentence_scores(spark: SparkSession, sf: str) -> DataFrame:
     scores = summarize.sentence_scores(b.summaries(spark, sf), "article_id", "article")
-    return scores.select("article_id", F.col("pos").cast("bigint").alias("pos"), F.round("score", 4).alias("score"))
+    return scores.select("article_id", F.col("pos").cast("bigint").alias("pos"), "score")
 
 
 def extractive_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -524,11 +525,11 @@ def last_metric(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gpu_mean(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(runs.gpu_mean(b.scalars(spark, sf)), "gpu_avg")
+    return _single(runs.gpu_mean(b.scalars(spark, sf)), "gpu_avg")
 
 
 def train_minutes(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(runs.train_minutes(b.scalars(spark, sf)), "train_time_min")
+    return _single(runs.train_minutes(b.scalars(spark, sf)), "train_time_min")
 
 
 def _run_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -538,12 +539,12 @@ def _run_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(_run_summary(spark, sf), "gpu_avg", "train_time_min")
+    return _single(_run_summary(spark, sf), "gpu_avg", "train_time_min")
 
 
 def ema(spark: SparkSession, sf: str) -> DataFrame:
     smoothed = runs.ema(b.scalars(spark, sf), alpha=0.3, indexed=True)
-    return _rounded(smoothed.select("run", "tag", "step", "ema"), "ema")
+    return _single(smoothed.select("run", "tag", "step", "ema"), "ema")
 
 
 def valid_runs(spark: SparkSession, sf: str) -> DataFrame:

@@ -76,7 +76,7 @@ def flat_paragraphs(html: str) -> str:
         ("&amp;", "&"),
     ):
         text = f"replace({text}, '{entity}', '{char}')"
-    pieces = rf"list_slice(string_split_regex({body}, '<p(?:\s[^>]*)?>'), 2, NULL)"
+    pieces = rf"(string_split_regex({body}, '<p(?:\s[^>]*)?>'))[2:]"
     return _nonempty(rf"list_transform({pieces}, lambda p: trim({text}, E' \n\t\r'))")
 
 
@@ -97,6 +97,11 @@ def language(text: str) -> str:
               FROM (SELECT string_split_regex(lower({text}), '[\s.,]+') AS w)))"""
 
 
+def single(expr: str) -> str:
+    """Single precision: two engines agree on it where the last bits differ."""
+    return f"CAST(CAST({expr} AS FLOAT) AS DOUBLE)"
+
+
 # --- shared tables ---------------------------------------------------------
 
 ARTICLES = """articles AS (
@@ -204,8 +209,8 @@ rouge{n} AS (
 def _rouge_pairs(n: int) -> str:
     return (
         _with(PAIRS, _rouge_ctes(n))
-        + f"""SELECT pair_id, round(precision, 4) AS precision, round(recall, 4) AS recall,
-       round(f1, 4) AS f1 FROM rouge{n}"""
+        + f"""SELECT pair_id, {single("precision")} AS precision, {single("recall")} AS recall,
+       {single("f1")} AS f1 FROM rouge{n}"""
     )
 
 
@@ -235,9 +240,9 @@ lcs AS (
   FROM lcs WHERE j < len(p)),
 done AS (SELECT pair_id, len(p) AS np, len(r) AS nr, row[len(row)] AS m FROM lcs WHERE j = len(p))
 SELECT pair_id,
-       round(CASE WHEN np > 0 THEN CAST(m AS DOUBLE) / np ELSE 0.0 END, 4) AS precision,
-       round(CASE WHEN nr > 0 THEN CAST(m AS DOUBLE) / nr ELSE 0.0 END, 4) AS recall,
-       round(CASE WHEN m > 0 THEN 2.0 * CAST(m AS DOUBLE) / (np + nr) ELSE 0.0 END, 4) AS f1
+       {single("CASE WHEN np > 0 THEN CAST(m AS DOUBLE) / np ELSE 0.0 END")} AS precision,
+       {single("CASE WHEN nr > 0 THEN CAST(m AS DOUBLE) / nr ELSE 0.0 END")} AS recall,
+       {single("CASE WHEN m > 0 THEN 2.0 * CAST(m AS DOUBLE) / (np + nr) ELSE 0.0 END")} AS f1
 FROM done"""
 )
 
@@ -248,8 +253,8 @@ def _bootstrap(reps: int) -> str:
     )
     return (
         _with(ROUGE_BOTH)
-        + f"""SELECT metric, round(quantile_cont(mean, 0.025), 4) AS low,
-       round(quantile_cont(mean, 0.5), 4) AS mid, round(quantile_cont(mean, 0.975), 4) AS high
+        + f"""SELECT metric, {single("quantile_cont(mean, 0.025)")} AS low,
+       {single("quantile_cont(mean, 0.5)")} AS mid, {single("quantile_cont(mean, 0.975)")} AS high
 FROM (
   SELECT rep, unnest(['rouge1', 'rouge2']) AS metric,
          unnest([sum(rouge1 * w) / sum(w), sum(rouge2 * w) / sum(w)]) AS mean
@@ -353,15 +358,17 @@ FLAT_COLUMNS = (
     "content, category"
 )
 
-RUN_SUMMARY = """run_list AS (SELECT 'run' || CAST(i AS VARCHAR) AS run FROM range(13) AS t(i)),
+FIRST_SECONDS = (
+    "min_by(value, (step, seq)) FILTER (WHERE tag = 'total_training_time_seconds')"
+)
+RUN_SUMMARY = f"""run_list AS (SELECT 'run' || CAST(i AS VARCHAR) AS run FROM range(13) AS t(i)),
 summary AS (
   SELECT r.run,
     max_by(value, (step, seq)) FILTER (WHERE tag = 'eval/rouge1') AS rouge1,
     max_by(value, (step, seq)) FILTER (WHERE tag = 'eval/rouge2') AS rouge2,
     max_by(value, (step, seq)) FILTER (WHERE tag = 'eval/rougeL') AS "rougeL",
     avg(value) FILTER (WHERE tag = 'gpu_memory_gb') AS gpu_avg,
-    nullif(min_by(value, (step, seq)) FILTER (WHERE tag = 'total_training_time_seconds'), 0) / 60
-      AS train_time_min
+    nullif({FIRST_SECONDS}, 0) / 60 AS train_time_min
   FROM run_list r LEFT JOIN scalars s ON s.run = r.run GROUP BY r.run)"""
 
 WIDE = (
@@ -488,7 +495,7 @@ SELECT doc_id, length(text) AS char_len, len({words("text")}) AS word_len FROM d
     "length_report": _with(SUMMARIES, FIELD_LENGTHS)
     + f"SELECT field, {_length_columns()} FROM lens GROUP BY field",
     "avg_length": _with(SUMMARIES, FIELD_LENGTHS)
-    + "SELECT field, round(avg(n), 4) AS avg_words FROM lens GROUP BY field",
+    + f"SELECT field, {single('avg(n)')} AS avg_words FROM lens GROUP BY field",
     "length_histogram": f"""
 WITH lens AS (SELECT len({words("text")}) AS w FROM documents),
 e AS (SELECT min(w) AS lo, max(w) AS hi FROM lens)
@@ -501,7 +508,7 @@ GROUP BY word ORDER BY n DESC, word LIMIT 30""",
     + f"""SELECT bigram, count(*) AS n FROM (SELECT unnest({grams("t", 2)}) AS bigram FROM content)
 GROUP BY bigram ORDER BY n DESC, bigram LIMIT 20""",
     "term_weights": _with(CONTENT_TERMS)
-    + """SELECT word, n, round(n / max(n) OVER (), 6) AS weight FROM (
+    + f"""SELECT word, n, {single("n / max(n) OVER ()")} AS weight FROM (
   SELECT word, count(*) AS n FROM (SELECT unnest(t) AS word FROM content)
   GROUP BY word ORDER BY n DESC, word LIMIT 200)""",
     "category_counts": "SELECT source, count(*) AS n FROM documents GROUP BY source",
@@ -516,7 +523,7 @@ SELECT coalesce(kind, 'unknown') AS event_type, count(*) AS n
 FROM documents d LEFT JOIN hits h ON h.doc_id = d.doc_id GROUP BY 1""",
     "extract_entities": rf"""
 WITH s AS (SELECT unnest({sentences("text")}) AS sentence FROM documents),
-w AS (SELECT list_slice({words("sentence")}, 2, NULL) AS w FROM s),
+w AS (SELECT ({words("sentence")})[2:] AS w FROM s),
 m AS (SELECT array_to_string(list_transform(w, lambda x: CASE
         WHEN regexp_matches(x, '^[A-Z][a-z]+$') THEN x
         WHEN regexp_matches(x, '^[A-Z][a-z]+[,;:]$') THEN regexp_replace(x, '[,;:]$', '') || ' |'
@@ -536,7 +543,7 @@ WHERE entity <> '' GROUP BY entity""",
   count(*) AS n_pairs FROM scored GROUP BY turn""",
     "rouge_bootstrap": _bootstrap(200),
     "gen_len": _with(SUMMARIES)
-    + f"""SELECT round(avg(least(len({words("highlights")}), {catalog.MAX_TARGET - 1}) + 1), 4)
+    + f"""SELECT {single(f"avg(least(len({words('highlights')}), {catalog.MAX_TARGET - 1}) + 1)")}
   AS gen_len FROM summaries""",
     "write_eval_metrics": _with(ROUGE_BOTH)
     + """SELECT 'eval/' || metric AS tag, value, 'run0' AS run, turn AS step FROM (
@@ -546,7 +553,7 @@ WHERE entity <> '' GROUP BY entity""",
     "lead_summary": _with(SUMMARIES)
     + f"SELECT article_id, {lead('article', 128)} AS summary FROM summaries",
     "sentence_scores": _with(SUMMARIES, SENTENCES, SCORES)
-    + "SELECT article_id, pos, round(score, 4) AS score FROM scores",
+    + "SELECT article_id, pos, score FROM scores",
     "extractive_summary": _with(SUMMARIES, SENTENCES, SCORES) + _picked("scores"),
     "extractive_summary_blocked": _with(
         SUMMARIES,
@@ -590,17 +597,16 @@ FROM keyed q JOIN rouge1 a ON a.k = q.k JOIN rouge2 b ON b.k = q.k GROUP BY mode
     + """SELECT run, tag, max_by(value, (step, seq)) AS value FROM scalars
 WHERE tag IN ('eval/rouge1', 'eval/rouge2', 'eval/rougeL') GROUP BY run, tag""",
     "gpu_mean": _with(SCALARS)
-    + """SELECT run, round(avg(value) FILTER (WHERE tag = 'gpu_memory_gb'), 4) AS gpu_avg
+    + f"""SELECT run, {single("avg(value) FILTER (WHERE tag = 'gpu_memory_gb')")} AS gpu_avg
 FROM scalars GROUP BY run""",
     "train_minutes": _with(SCALARS)
-    + """SELECT run, round(nullif(min_by(value, (step, seq))
-  FILTER (WHERE tag = 'total_training_time_seconds'), 0) / 60, 4) AS train_time_min
+    + f"""SELECT run, {single(f"nullif({FIRST_SECONDS}, 0) / 60")} AS train_time_min
 FROM scalars GROUP BY run""",
     "run_summary": _with(SCALARS, RUN_SUMMARY)
-    + """SELECT run, rouge1, rouge2, "rougeL", round(gpu_avg, 4) AS gpu_avg,
-  round(train_time_min, 4) AS train_time_min FROM summary""",
+    + f"""SELECT run, rouge1, rouge2, "rougeL", {single("gpu_avg")} AS gpu_avg,
+  {single("train_time_min")} AS train_time_min FROM summary""",
     "ema": _with(SCALARS)
-    + """SELECT run, tag, step, round(ema, 4) AS ema FROM (
+    + f"""SELECT run, tag, step, {single("ema")} AS ema FROM (
   SELECT run, tag, unnest(range(1, len(v) + 1)) AS step,
          unnest(list_reduce(v[2:], lambda acc, x: list_append(acc, 0.3 * x[1] + 0.7 * acc[len(acc)]),
                             v[1])) AS ema
@@ -641,7 +647,7 @@ FROM (SELECT doc_id, w, unnest(range((len(w) + 255) // 256)) AS i
     "sql_functions": f"""
 SELECT doc_id, len({words("text")}) AS n_words,
   array_to_string({ascii_terms("text")}, ' ') AS tokens,
-  round(0.3 * length(source) + 0.7 * (0.3 * doc_id + 0.7 * n_chars), 4) AS smoothed
+  round(0.3e0 * length(source) + 0.7e0 * (0.3e0 * doc_id + 0.7e0 * n_chars), 4) AS smoothed
 FROM documents""",
 }
 SQL["extract_body_nested"] = SQL["extract_body_flat"]

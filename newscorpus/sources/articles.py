@@ -89,6 +89,9 @@ def export_csv(df: DataFrame, path: str) -> None:
         .option("quoteAll", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        # the writer would otherwise trim every cell
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

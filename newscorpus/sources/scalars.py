@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newscorpus.schemas import SCALARS_LONG
 
@@ -17,28 +19,26 @@ def load_scalars(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     :func:`load_report`.
     """
     frames = [
-        spark.read.schema(SCALARS_LONG)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .csv(path)
-        .withColumn("run", F.lit(run))
+        _reader(spark, SCALARS_LONG).csv(path).withColumn("run", F.lit(run))
         for run, path in paths.items()
     ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return reduce(DataFrame.unionByName, frames)
 
 
 def load_partitioned_scalars(spark: SparkSession, path: str) -> DataFrame:
     """Scalar CSV files laid out as ``run=<name>/``: one scan for all runs."""
+    schema = T.StructType([*SCALARS_LONG.fields, T.StructField("run", T.StringType())])
+    return _reader(spark, schema).csv(path)
+
+
+def _reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
     return (
-        spark.read.schema(SCALARS_LONG.add("run", "string"))
+        spark.read.schema(schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .csv(path)
+        # a line must be judged on all its cells, whichever columns a query selects
+        .option("columnPruning", False)
     )
 
 
@@ -49,7 +49,7 @@ def good_scalars(loaded: DataFrame) -> DataFrame:
 def load_report(loaded: DataFrame) -> DataFrame:
     """Lines read and lines rejected per run."""
     return loaded.groupBy("run").agg(
-        F.count("*").alias("n_lines"),
+        F.count(F.coalesce("_corrupt_record", F.col("step").cast("string"))).alias("n_lines"),
         F.count("_corrupt_record").alias("n_rejected"),
     )
 
