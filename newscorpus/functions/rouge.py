@@ -43,7 +43,8 @@ def overlap(left: Column, right: Column) -> Column:
     def tag(side: int):
         return lambda g: F.struct(g.alias("g"), F.lit(side).alias("s"))
 
-    tagged = F.array_sort(F.concat(F.transform(left, tag(0)), F.transform(right, tag(1))))
+    # sort_array compares natively; array_sort would run a lambda per comparison
+    tagged = F.sort_array(F.concat(F.transform(left, tag(0)), F.transform(right, tag(1))))
     start = F.struct(
         F.lit("").alias("g"), F.lit(0).alias("l"), F.lit(0).alias("r"), F.lit(0).alias("m")
     )
@@ -78,7 +79,11 @@ def rouge_n(pred_tokens: Column, ref_tokens: Column, n: int) -> Column:
             tx.ngrams(pred_tokens, n).alias("p"),
             tx.ngrams(ref_tokens, n).alias("r"),
         ),
-        lambda g: prf(overlap(g["p"], g["r"]), F.array_size(g["p"]), F.array_size(g["r"])),
+        # a second binding, as prf names the overlap several times
+        lambda g: tx.let(
+            overlap(g["p"], g["r"]),
+            lambda m: prf(m, F.array_size(g["p"]), F.array_size(g["r"])),
+        ),
     )
 
 

@@ -22,10 +22,11 @@ FUNCTIONS = [
                ELSE alpha * x + (1 - alpha) * element_at(acc, -1) END)))""",
     r"""CREATE OR REPLACE TEMPORARY FUNCTION chunk_text(t STRING, n INT)
         RETURNS TABLE(chunk_no INT, chunk STRING)
-        RETURN SELECT c.pos, array_join(slice(c.w, c.pos * n + 1, n), ' ')
-        FROM (SELECT w, explode(sequence(0, CAST((size(w) - 1) DIV n AS INT))) AS pos
-              FROM (SELECT array_remove(split(t, '\\s+'), '') AS w)
-              WHERE size(w) > 0) AS c""",
+        RETURN SELECT c.pos, c.col FROM (
+          SELECT posexplode(transform(
+            filter(sequence(0, CAST((size(w) - 1) DIV n AS INT)), i -> size(w) > 0),
+            i -> array_join(slice(w, i * n + 1, n), ' ')))
+          FROM (SELECT array_remove(split(t, '\\s+'), '') AS w)) AS c""",
 ]
 
 

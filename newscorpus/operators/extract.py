@@ -20,23 +20,23 @@ from pyspark.sql import types as T
 from newscorpus.operators.rules import SITE_RULES, Rule, Selector
 
 # Elements without an end tag, elements whose content is not text,
-# and entities decoded by the SQL form (the ampersand last).
+# and entities decoded by the SQL form as patterns (the ampersand last).  The
+# final semicolon may be missing, as HTML allows for these names.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT = frozenset(("script", "style", "template"))
 ENTITIES = [
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&nbsp;", " "),
-    ("&amp;", "&"),
+    ("&quot;?", '"'),
+    ("&#39;|&apos;", "'"),
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&nbsp;?", "\u00a0"),
+    ("&amp;?", "&"),
 ]
 
 
 def unescape(text: Column) -> Column:
     for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
+        text = F.regexp_replace(text, entity, char)
     return text
 
 

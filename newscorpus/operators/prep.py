@@ -47,8 +47,12 @@ def nested_samples(
 
 
 def split_train_val(df: DataFrame, key: str, percent: int = 20, seed: int = 42) -> DataFrame:
-    """Add ``split`` from a hash of the key, whatever the row order or layout."""
-    val = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < percent
+    """Add ``split`` from a hash of (seed, key), whatever the row order or layout.
+
+    md5 is used because other engines have it too, so the split can be rebuilt.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    val = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100 < percent
     return df.withColumn("split", F.when(val, "val").otherwise("train"))
 
 

@@ -82,28 +82,26 @@ def lead_summary(df: DataFrame, text: str, n_words: int = 128, name: str = "summ
 
 
 def sentence_scores(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Mean tf-idf weight per sentence: (id, pos, score).
+    """Mean tf-idf weight of a sentence's words: (id, pos, score).
 
-    Words are counted per document first (all of a document's words are in one
-    task, so this combines before the shuffle).  Document frequencies are then
-    joined with the frequent words broadcast and the others shuffled, since a
+    Document frequencies count each word once per document, inside the row.  They
+    are joined with the frequent words broadcast and the others shuffled, since a
     common word occurs in a large share of all documents.
     """
-    sents = df.select(id_col, F.posexplode(tx.sentences(F.col(text))).alias("pos", "sentence"))
-    per_doc = (
-        sents.select(id_col, "pos", F.explode(tx.terms(F.col("sentence"))).alias("word"))
-        .groupBy(id_col, "word")
-        .agg(F.count("*").alias("tf"), F.collect_list("pos").alias("at"))
+    found = F.transform(tx.sentences(F.col(text)), lambda s: tx.terms(s))
+    sents = df.select(id_col, F.posexplode(found).alias("pos", "words"))
+    tokens = sents.select(id_col, "pos", F.explode("words").alias("word"))
+    frequencies = (
+        df.select(F.explode(F.array_distinct(F.flatten(found))).alias("word"))
+        .groupBy("word")
+        .agg(F.count("*").alias("df"))
     )
-    frequencies = per_doc.groupBy("word").agg(F.count("*").alias("df"))
     n_docs = df.agg(F.count("*")).scalar()
-    weighted = lookup.join_by_frequency(per_doc, frequencies, "word", "df").withColumn(
-        "weight", F.col("tf") * F.ln(n_docs / F.col("df"))
-    )
+    idf = frequencies.withColumn("idf", F.ln(n_docs / F.col("df")))
     return (
-        weighted.select(id_col, "weight", F.explode("at").alias("pos"))
+        lookup.join_by_frequency(tokens, idf, "word", "df")
         .groupBy(id_col, "pos")
-        .agg(F.round(F.avg("weight"), 6).alias("score"))
+        .agg(F.round(F.avg("idf"), 6).alias("score"))
     )
 
 
@@ -120,18 +118,20 @@ def block_repeats(
     """Drop a sentence that shares an n-gram with a better-ranked one of its document.
 
     For each (document, n-gram) only the best rank matters, so no pairs of
-    sentences are formed.
+    sentences are formed; and only n-grams of more than one sentence are joined
+    back.
     """
     grams = ranked.select(
-        id_col,
-        rank,
-        F.explode(F.array_distinct(tx.ngrams(tx.terms(F.col(sentence)), n))).alias("gram"),
+        id_col, rank, F.explode(tx.ngrams(tx.terms(F.col(sentence)), n)).alias("gram")
     )
-    blocked = (
+    repeated = (
         grams.groupBy(id_col, "gram")
-        .agg(F.min(rank).alias("best"), F.collect_set(rank).alias("ranks"))
-        .where(F.size("ranks") > 1)
-        .select(id_col, F.explode("ranks").alias(rank), "best")
+        .agg(F.min(rank).alias("best"), F.max(rank).alias("worst"))
+        .where(F.col("best") < F.col("worst"))
+        .select(id_col, "gram", "best")
+    )
+    blocked = (
+        grams.join(repeated, [id_col, "gram"])
         .where(F.col(rank) > F.col("best"))
         .select(id_col, rank)
         .distinct()

@@ -28,17 +28,17 @@ TAGS = {
 }
 
 
-def table(spark: SparkSession, sf: str, name: str, spread: str | None = None) -> DataFrame:
+def table(spark: SparkSession, sf: str, name: str, *spread: str) -> DataFrame:
     """One input table.
 
-    With ``spread`` (a unique column) a table that yields fewer read tasks than
+    With ``spread`` (columns that identify a row) a table that yields fewer read tasks than
     there are cores is hashed over all of them; a table of many files is left
     as it is.
     """
     df = spark.read.parquet(f"{sf}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if spread is not None and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, spread)
+    if spread and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *spread)
     return df
 
 
@@ -94,7 +94,7 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
 
     Joined on (conversation, turn), so a very long conversation is spread.
     """
-    turns = table(spark, sf, "conversations")
+    turns = table(spark, sf, "conversations", "conv_id", "turn")
     user = turns.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("reference")
     )

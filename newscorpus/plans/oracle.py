@@ -1,14 +1,14 @@
 """The catalog's queries in the SQL of a second engine.
 
 Shared definitions are CTEs put in front of each statement.  Queries whose
-result SQL does not express (stemming, union LCS, a 64-bit hash split) have no
-entry; tests check those by brute force on small fixtures.
+result SQL does not express (stemming, union LCS) have no entry; tests check those by brute force on small fixtures.
 """
 
 from __future__ import annotations
 
 from newscorpus import lexicons
 from newscorpus.operators import evaluate, summarize
+from newscorpus.operators.extract import ENTITIES
 from newscorpus.plans import bindings, catalog
 
 
@@ -66,16 +66,8 @@ def grams(tokens: str, n: int) -> str:
 def flat_paragraphs(html: str) -> str:
     body = rf"regexp_extract({html}, '(?s)<article(?:\s[^>]*)?>(.*?)</article>', 1)"
     text = "regexp_replace(split_part(p, '</p>', 1), '<[^>]*>', '', 'g')"
-    for entity, char in (
-        ("&quot;", '"'),
-        ("&#39;", "''"),
-        ("&apos;", "''"),
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&nbsp;", " "),
-        ("&amp;", "&"),
-    ):
-        text = f"replace({text}, '{entity}', '{char}')"
+    for entity, char in ENTITIES:
+        text = f"regexp_replace({text}, {_quote(entity)}, {_quote(char)}, 'g')"
     pieces = rf"(string_split_regex({body}, '<p(?:\s[^>]*)?>'))[2:]"
     return _nonempty(rf"list_transform({pieces}, lambda p: trim({text}, E' \n\t\r'))")
 
@@ -276,14 +268,13 @@ SENTENCES = f"""sents AS (
 
 SCORES = f"""occ AS (
   SELECT article_id, pos, unnest({terms("sentence")}) AS word FROM sents),
-tf AS (SELECT article_id, word, count(*) AS tf FROM occ GROUP BY article_id, word),
 idf AS (
-  SELECT word, ln(CAST((SELECT count(*) FROM summaries) AS DOUBLE) / count(*)) AS idf
-  FROM tf GROUP BY word),
+  SELECT word, ln(CAST((SELECT count(*) FROM summaries) AS DOUBLE) / count(DISTINCT article_id))
+    AS idf
+  FROM occ GROUP BY word),
 scores AS (
-  SELECT o.article_id, o.pos, round(avg(t.tf * i.idf), 6) AS score
-  FROM occ o JOIN tf t ON t.article_id = o.article_id AND t.word = o.word
-             JOIN idf i ON i.word = o.word
+  SELECT o.article_id, o.pos, round(avg(i.idf), 6) AS score
+  FROM occ o JOIN idf i ON i.word = o.word
   GROUP BY o.article_id, o.pos)"""
 
 
@@ -428,8 +419,9 @@ FROM pages""",
     "extract_body_rules": rf"""
 WITH body AS (
   SELECT page_id, page_id % 7 AS k, {flat_paragraphs("html")} AS ps,
-         trim(replace(replace(regexp_extract(html, '<article>.*?<h1>(.*?)</h1>', 1),
-              '&quot;', '"'), '&amp;', '&')) AS h1
+         trim(regexp_replace(regexp_replace(
+              regexp_extract(html, '<article>.*?<h1>(.*?)</h1>', 1),
+              '&quot;?', '"', 'g'), '&amp;?', '&', 'g')) AS h1
   FROM pages)
 SELECT page_id, 'site' || CAST(k AS VARCHAR) AS source_name,
   nullif(CASE k
@@ -453,6 +445,10 @@ GROUP BY source_name, field""",
   SELECT article_id, row_number() OVER (ORDER BY article_id) AS rank FROM summaries) r
 JOIN (VALUES {", ".join(f"('{k}', {v})" for k, v in catalog.SAMPLE_SIZES.items())}) AS z(sample, size)
   ON rank <= size""",
+    "split_train_val": """
+SELECT doc_id AS article_id, CASE WHEN
+  CAST('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8) AS UBIGINT) % 100 < 20
+  THEN 'val' ELSE 'train' END AS split FROM documents""",
     "split_by_modulus": """
 SELECT doc_id AS article_id, CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split
 FROM documents""",
