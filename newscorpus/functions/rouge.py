@@ -36,8 +36,25 @@ def rouge_tokens(text: Column, stemmed: bool = False) -> Column:
 def overlap(left: Column, right: Column) -> Column:
     """Size of the multiset intersection of two string arrays.
 
-    One fold over the sorted union; the state holds the running value, its count
-    on each side and the total, so memory per row is constant.
+    Every shared value counts once by a set intersection; what is left, the
+    repeats of a value on each side, is counted by :func:`_overlap_sorted`.
+    """
+
+    def repeats(s: Column) -> Column:
+        return F.filter(s, lambda x, i: (i > 0) & (F.get(s, i - 1) == x))
+
+    return tx.let(
+        F.struct(F.sort_array(left).alias("l"), F.sort_array(right).alias("r")),
+        lambda s: F.size(F.array_intersect(s["l"], s["r"]))
+        + _overlap_sorted(repeats(s["l"]), repeats(s["r"])),
+    )
+
+
+def _overlap_sorted(left: Column, right: Column) -> Column:
+    """The same by one fold over the sorted union of tagged values.
+
+    The state holds the running value, its count on each side and the total, so
+    memory per row is constant.
     """
 
     def tag(side: int):

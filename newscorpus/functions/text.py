@@ -111,6 +111,7 @@ def detect_language(text: Column, lexicons: dict[str, list[str]]) -> Column:
     """Language with most evidence words; ties go to the earlier lexicon and no
     evidence gives NULL."""
     langs = F.array(*[F.lit(lang) for lang in lexicons])
+    every_word = sorted({w for ws in lexicons.values() for w in ws})
 
     def decide(tokens: Column) -> Column:
         scores = F.array(*[evidence(tokens, ws) for ws in lexicons.values()])
@@ -122,7 +123,9 @@ def detect_language(text: Column, lexicons: dict[str, list[str]]) -> Column:
             ),
         )
 
-    return let(F.split(F.lower(text), LANGUAGE_SPLIT), decide)
+    # one pass leaves the evidence words, which the languages then count
+    tokens = F.split(F.lower(text), LANGUAGE_SPLIT)
+    return let(F.filter(tokens, lambda w: w.isin(every_word)), decide)
 
 
 def first_trigger_type(text: Column, triggers: Sequence[tuple[str, str]]) -> Column:

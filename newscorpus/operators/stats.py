@@ -69,7 +69,7 @@ def length_histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
         lens.groupBy("w")
         .agg(F.count("*").alias("n"))
         .withColumn("e", edges)
-        .withColumn("bin", F.coalesce(F.least(raw, F.lit(bins - 1)), F.lit(0)).cast("bigint"))
+        .withColumn("bin", F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1)).cast("bigint"))
         .groupBy("bin")
         .agg(
             F.min("w").alias("min_words"),
