@@ -15,11 +15,11 @@ from newscorpus.schemas import SCALARS_LONG
 def load_scalars(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """Scalar CSV files of several named runs as one frame with a ``run`` column.
 
-    A line that does not fit the schema is kept in ``_corrupt_record``; see
+    A line that does not fit is kept in ``_corrupt_record``; see
     :func:`load_report`.
     """
     frames = [
-        _reader(spark, SCALARS_LONG).csv(path).withColumn("run", F.lit(run))
+        _typed(_reader(spark, _RAW).csv(path).withColumn("run", F.lit(run)))
         for run, path in paths.items()
     ]
     return reduce(DataFrame.unionByName, frames)
@@ -27,8 +27,12 @@ def load_scalars(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
 def load_partitioned_scalars(spark: SparkSession, path: str) -> DataFrame:
     """Scalar CSV files laid out as ``run=<name>/``: one scan for all runs."""
-    schema = T.StructType([*SCALARS_LONG.fields, T.StructField("run", T.StringType())])
-    return _reader(spark, schema).csv(path)
+    schema = T.StructType([*_RAW.fields, T.StructField("run", T.StringType())])
+    return _typed(_reader(spark, schema).csv(path))
+
+
+#: The cells as text; types are checked by :func:`_typed`.
+_RAW = T.StructType([T.StructField(f.name, T.StringType()) for f in SCALARS_LONG.fields])
 
 
 def _reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
@@ -37,11 +41,30 @@ def _reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
-        # a line must be judged on all its cells, whichever columns a query selects
         .option("columnPruning", False)
     )
 
 
+def _typed(raw: DataFrame) -> DataFrame:
+    """Cast the cells; a line with a cell that does not cast is corrupt.
+
+    The reader would judge only the columns a query selects, so the same line
+    could be good in one query and bad in another; this test names every cell.
+    """
+    cells = [f for f in SCALARS_LONG.fields if f.name != "_corrupt_record"]
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in cells}
+    wrong = reduce(
+        lambda x, y: x | y,
+        [F.col(n).isNotNull() & c.isNull() for n, c in cast.items()],
+    )
+    line = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in cells])
+    return raw.select(
+        *[c.alias(n) for n, c in cast.items()],
+        F.coalesce(F.col("_corrupt_record"), F.when(wrong, line)).alias("_corrupt_record"),
+        "run",
+    )
+
+
 def good_scalars(loaded: DataFrame) -> DataFrame:
     return loaded.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
@@ -49,7 +72,7 @@ def good_scalars(loaded: DataFrame) -> DataFrame:
 def load_report(loaded: DataFrame) -> DataFrame:
     """Lines read and lines rejected per run."""
     return loaded.groupBy("run").agg(
-        F.count(F.coalesce("_corrupt_record", F.col("step").cast("string"))).alias("n_lines"),
+        F.count("*").alias("n_lines"),
         F.count("_corrupt_record").alias("n_rejected"),
     )
 
