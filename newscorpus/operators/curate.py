@@ -74,6 +74,16 @@ def drop_missing(
     ).na.drop(subset=list(cols))
 
 
+def digest(*cols: str) -> Column:
+    """A 256-bit key for long values, so that a dedupe shuffles 64 characters
+    instead of whole texts.  NULL when every column is NULL."""
+    values = [F.col(c).cast("string") for c in cols]
+    if len(values) == 1:
+        return F.sha2(values[0], 256)
+    # JSON keeps ("a", "bc") and ("ab", "c") apart, and NULL from ""
+    return F.when(F.coalesce(*values).isNotNull(), F.sha2(F.to_json(F.array(*values)), 256))
+
+
 def dedupe_keep_first(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 ) -> DataFrame:

@@ -53,28 +53,23 @@ def summarize_corpus(
     """Run a plug-in summarizer over every article in Arrow batches.
 
     ``load_scorer`` is called once per task and its result sees whole batches.
-    The model input is cut to ``max_input_words`` in the JVM, so that much text
-    and no more is sent to Python; the full text is kept for the output.
+    Python receives the model input, cut to ``max_input_words``, and nothing
+    else; ids and full texts stay in the JVM.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def summary(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = load_scorer()
-        for pdf in batches:
-            yield pd.DataFrame(
-                {
-                    "article_id": pdf["article_id"],
-                    "original_text": pdf["original_text"],
-                    "summary": scorer(pdf["model_input"].fillna("").tolist()),
-                    "original_summary": pdf["original_summary"],
-                }
-            )
-
-    return df.select(
-        F.col(id_col).cast("bigint").alias("article_id"),
-        F.col(text).alias("original_text"),
-        F.col(reference).alias("original_summary"),
-        tx.lead(F.col(text), max_input_words).alias("model_input"),
-    ).mapInPandas(run, PREDICTION)
+        for texts in batches:
+            yield pd.Series(scorer(texts.fillna("").tolist()), dtype=object)
+
+    columns = {
+        "article_id": F.col(id_col).cast("bigint"),
+        "original_text": F.col(text),
+        "summary": summary(tx.lead(F.col(text), max_input_words)),
+        "original_summary": F.col(reference),
+    }
+    return df.select(*[columns[f.name].alias(f.name) for f in PREDICTION.fields])
 
 
 def lead_summary(df: DataFrame, text: str, n_words: int = 128, name: str = "summary") -> DataFrame:

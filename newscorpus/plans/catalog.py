@@ -99,9 +99,10 @@ def dedupe_keep_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedupe_by_text(spark: SparkSession, sf: str) -> DataFrame:
-    return curate.dedupe_keep_first(b.documents(spark, sf), ["text"], ["doc_id"]).select(
-        "doc_id", "lang", "source"
+    docs = b.documents(spark, sf).select(
+        "doc_id", "lang", "source", curate.digest("text").alias("key")
     )
+    return curate.dedupe_keep_first(docs, ["key"], ["doc_id"]).drop("key")
 
 
 def detect_language(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,7 +184,7 @@ def incremental_curation(spark: SparkSession, sf: str) -> DataFrame:
         ledger=f"{root}/ledger",
         checkpoint=f"{root}/checkpoint",
         rules=b.SOURCE_RULES,
-        join_pages=lambda df: df.join(b.article_pages(df.sparkSession, sf), "page_key", "left"),
+        join_pages=lambda df: df.join(b.article_pages(df.sparkSession, sf), "page_key"),
         max_files=2,
     )
     return _curated_columns(incremental.read_curated(spark, f"{root}/curated"))

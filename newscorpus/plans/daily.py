@@ -27,13 +27,15 @@ def curate_articles(
 
     The first copy of a URL within a day survives and is then judged by language.
     ``pages`` (with ``page_key`` and ``html``) is joined after dedupe and language,
-    so HTML is moved only for articles that are still wanted.
+    so HTML is moved only for articles that are still wanted.  The join is inner:
+    an article without a page has no body and would be dropped at the end, and
+    its NULL key would send all such rows to one task.
     """
     kept = curate.drop_missing(articles, ["url"])
     kept = curate.dedupe_keep_first(kept, ["published_date", "url"], list(order))
     kept = curate.filter_language(kept, "content", lang)
     if pages is not None:
-        kept = kept.join(pages, page_key, "left")
+        kept = kept.join(pages, page_key)
     extracted = extract_body(kept, rules).drop("html")
     return curate.drop_missing(extracted, REQUIRED)
 

@@ -27,10 +27,13 @@ def _admit(batch: DataFrame, batch_id: int, ledger: str, order: Sequence[str]) -
     firsts = curate.dedupe_keep_first(curate.drop_missing(batch, ["url"]), KEYS, list(order))
     if batch_id == 0:
         return firsts
+    # the days of this batch bound how much of the ledger is read
+    first_day, last_day = batch.agg(F.min("published_date"), F.max("published_date")).first()
     seen = (
         batch.sparkSession.read.schema("url string, published_date date, batch_id bigint")
         .parquet(ledger)
         .where(F.col("batch_id") < batch_id)
+        .where(F.col("published_date").between(F.lit(first_day), F.lit(last_day)))
         .select(*KEYS)
     )
     return firsts.join(seen, KEYS, "left_anti")

@@ -127,3 +127,9 @@ def test_flatten_skips_errors_and_broken_json(spark):
     assert (rows[0]["source_id"], rows[0]["url_to_image"], rows[0]["published_at"], rows[0]["category"]) == (
         "i", "p", "2024-01-01", "q",
     )
+
+
+def test_digest_keys_tell_values_apart(spark):
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), (None, ""), (None, None)], "x string, y string")
+    got = [r["d"] for r in df.select(curate.digest("x", "y").alias("d")).collect()]
+    assert len(set(got[:3])) == 3 and None not in got[:3] and got[3] is None
