@@ -235,6 +235,7 @@ def extract_body(
     strict_strip: bool = False,
 ) -> DataFrame:
     """Add the article text of each page, NULL for unknown sites and failures."""
+    pages = pages.drop(name)
     nested: dict[str, list[Rule]] = defaultdict(list)
     flat: dict[str, list[str]] = defaultdict(list)
     out = F.lit(None).cast("string")
@@ -260,4 +261,6 @@ def extract_body(
         # rows of other sites reach the UDF as NULL and cost nothing there
         udf = _udf(dict(nested), strict_strip)
         out = F.when(wanted, udf(F.col(source), F.when(wanted, markup))).otherwise(out)
-    return pages.withColumn(name, out)
+    # One generated row per page instead of a projection: a later filter on the
+    # text would otherwise copy the whole extraction into its condition.
+    return pages.select("*", F.explode(F.array(out)).alias(name))

@@ -14,7 +14,7 @@ from newscorpus.operators.extract import flat_body
 from newscorpus.operators.rules import flat_article_rule
 
 #: Width of a time block when events are numbered.
-EVENT_BLOCK_SECONDS = 3600
+EVENT_BLOCK_SECONDS = 900
 
 #: Sources of the document table; each page keeps its text in one <article>.
 SOURCE_RULES = [flat_article_rule(f"src{i}") for i in range(20)]

@@ -14,6 +14,7 @@ _SHIPPED: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application.
 
+    The archive is read on the driver only; Spark's file server hands it out.
     Not needed where the job is submitted with the package in ``--py-files``.
     """
     app = spark.sparkContext.applicationId
