@@ -134,12 +134,20 @@ def label_runs(summary: DataFrame, labels: DataFrame) -> DataFrame:
     """Add the run's size label, sorted by label text; unmapped runs get NULL.
 
     ``size_rows`` is the trailing ``<n>k`` of the label as a number, for a
-    natural order.
+    natural order.  ``pred_kind`` says what the ROUGE of the run was measured on:
+    T5 runs score teacher-forced tokens and the others generated text, so the
+    two kinds must not be compared.
     """
     rows = F.regexp_extract("data_size", r"(\d+)k$", 1)
     return (
         summary.join(labels, "run", "left")
         .withColumn("size_rows", F.when(rows != "", rows.cast("bigint") * 1000))
+        .withColumn(
+            "pred_kind",
+            F.when(F.col("data_size").startswith("t5"), "teacher_forced").when(
+                F.col("data_size").isNotNull(), "generated"
+            ),
+        )
         .orderBy("data_size", "run")
     )
 

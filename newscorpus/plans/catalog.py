@@ -67,8 +67,8 @@ def append_read_articles(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch.new_path(spark, "news_articles")
     rows = b.articles(spark, sf).drop("page_key", "published_date")
     even = F.col("article_id") % 2 == 0
-    io.append_articles(rows.where(even), path, spread=4)
-    io.append_articles(rows.where(~even), path)
+    io.append_articles(rows.where(even), path)
+    io.append_articles(rows.where(~even), path, rebalance=False)
     return io.read_articles(spark, path).withColumn(
         "published_date", F.col("published_date").cast("string")
     )

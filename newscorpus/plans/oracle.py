@@ -613,7 +613,9 @@ FROM scalars GROUP BY run""",
 FROM scalars GROUP BY run HAVING n_train > 0 AND n_eval > 0""",
     "label_runs": _with(SCALARS, RUN_SUMMARY)
     + rf"""SELECT s.run, s.rouge1, l.data_size,
-  CAST(nullif(regexp_extract(l.data_size, '(\d+)k$', 1), '') AS BIGINT) * 1000 AS size_rows
+  CAST(nullif(regexp_extract(l.data_size, '(\d+)k$', 1), '') AS BIGINT) * 1000 AS size_rows,
+  CASE WHEN starts_with(l.data_size, 't5') THEN 'teacher_forced'
+       WHEN l.data_size IS NOT NULL THEN 'generated' END AS pred_kind
 FROM summary s LEFT JOIN (VALUES {_values(lexicons.RUN_LABELS)}) AS l(run, data_size)
   ON l.run = s.run""",
     "rouge_by_run": _with(SCALARS, RUN_SUMMARY)

@@ -16,35 +16,36 @@ def with_published_date(df: DataFrame) -> DataFrame:
     return df.withColumn("published_date", F.to_date(F.substring("published_at", 1, 10)))
 
 
-#: Rows per file; with it a hot day becomes many files instead of one huge one.
+#: Upper bound on the rows of one file.
 MAX_ROWS_PER_FILE = 5_000_000
 
 
-def _by_day(df: DataFrame) -> DataFrameWriter:
-    return (
-        df.write.partitionBy("published_date")
-        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-    )
+def by_day(df: DataFrame, rebalance: bool = True) -> DataFrameWriter:
+    """Writer with one directory per day.
+
+    Rebalancing groups rows by day and lets AQE split a day that is larger than
+    the target partition size and merge small ones, so a day that holds a third
+    of the table is written by many tasks and a quiet one gives a single file.
+    """
+    if rebalance:
+        df = df.hint("rebalance", F.col("published_date"))
+    return df.write.partitionBy("published_date").option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
 
 
-def append_articles(df: DataFrame, path: str, spread: int | None = None) -> None:
+def append_articles(df: DataFrame, path: str, rebalance: bool = True) -> None:
     """Append to the article table, one directory per day.
 
-    ``spread`` shuffles rows by day into at most that many files per day; the
-    salt keeps a hot day from landing in one task.  Without it each task writes
-    its own file for every day it holds.
+    Without ``rebalance`` nothing is shuffled and each task writes its own file
+    for every day it holds.
     """
     if "published_date" not in df.columns:
         df = with_published_date(df)
-    if spread is not None:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-        df = df.repartition("published_date", salt)
-    _by_day(df).mode("append").parquet(path)
+    by_day(df, rebalance).mode("append").parquet(path)
 
 
 def overwrite_days(df: DataFrame, path: str) -> None:
     """Replace exactly the days present in ``df``; a rerun gives the same table."""
-    _by_day(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    by_day(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:

@@ -18,6 +18,7 @@ from newscorpus.operators import curate
 from newscorpus.operators.extract import extract_body
 from newscorpus.operators.rules import SITE_RULES, Rule
 from newscorpus.plans.daily import REQUIRED
+from newscorpus.sources.articles import by_day
 
 KEYS = ["published_date", "url"]
 
@@ -56,9 +57,7 @@ def _batch_writer(
         if join_pages is not None:
             kept = join_pages(kept)
         clean = curate.drop_missing(extract_body(kept, rules).drop("html"), REQUIRED)
-        clean.write.mode("overwrite").partitionBy("published_date").parquet(
-            f"{target}/batch_id={batch_id}"
-        )
+        by_day(clean).mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     return write
 

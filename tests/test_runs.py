@@ -121,9 +121,14 @@ def test_best_and_kept_checkpoints(spark):
 
 
 def test_labels_sort_as_text(spark):
-    summary = spark.createDataFrame([("run0",), ("run1",), ("run99",)], "run string")
+    summary = spark.createDataFrame([("run0",), ("run1",), ("run6",), ("run99",)], "run string")
     got = [tuple(r) for r in runs.label_runs(summary, runs.labels_frame(spark, RUN_LABELS)).collect()]
-    assert got == [("run99", None, None), ("run1", "t5_base_10k", 10_000), ("run0", "t5_base_2k", 2_000)]
+    assert got == [
+        ("run99", None, None, None),
+        ("run6", "pegasus_large_2k", 2_000, "generated"),
+        ("run1", "t5_base_10k", 10_000, "teacher_forced"),
+        ("run0", "t5_base_2k", 2_000, "teacher_forced"),
+    ]
 
 
 def test_valid_runs_and_duplicate_sources(spark):

@@ -49,7 +49,7 @@ def test_curation_order(spark):
 
 def test_day_run_is_repeatable_and_leaves_other_days(spark, tmp_path):
     source, target = f"{tmp_path}/src", f"{tmp_path}/out"
-    io.append_articles(articles(spark, ROWS), source, spread=2)
+    io.append_articles(articles(spark, ROWS), source)
     for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
         daily.run_day(spark, source, target, day, rules=RULES)
     got = spark.read.parquet(target).select("article_id", "full_content")
