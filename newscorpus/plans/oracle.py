@@ -1,7 +1,7 @@
 """The catalog's queries in the SQL of a second engine.
 
-Shared definitions are CTEs put in front of each statement.  Queries whose
-result SQL does not express (stemming, union LCS) have no entry; tests check those by brute force on small fixtures.
+Shared definitions are CTEs put in front of each statement.  Queries with
+stemming have no entry; tests check those by brute force on small fixtures.
 """
 
 from __future__ import annotations
@@ -213,6 +213,15 @@ scored AS (
   SELECT p.pair_id, p.turn, a.f1 AS rouge1, b.f1 AS rouge2
   FROM pairs p JOIN rouge1 a ON a.pair_id = p.pair_id JOIN rouge2 b ON b.pair_id = p.pair_id)"""
 
+def _lcs_row() -> str:
+    """The next row of the LCS table from ``row``, for prediction token ``j + 1``."""
+    return """list_reduce(
+           list_transform(range(1, len(r) + 1), lambda i: [
+             CASE WHEN r[i] = p[j + 1] THEN row[i] + 1 ELSE row[i + 1] END]),
+           lambda acc, x: list_append(acc, greatest(acc[len(acc)], x[1])),
+           [0])"""
+
+
 # Longest common subsequence by a recursion over prediction tokens; the state is
 # the whole row of the classic table.
 ROUGE_L = (
@@ -224,11 +233,7 @@ lcs AS (
   SELECT pair_id, p, r, 0 AS j, list_transform(range(len(r) + 1), lambda i: 0) AS row FROM tok
   UNION ALL
   SELECT pair_id, p, r, j + 1,
-         list_reduce(
-           list_transform(range(1, len(r) + 1), lambda i: [
-             CASE WHEN r[i] = p[j + 1] THEN row[i] + 1 ELSE row[i + 1] END]),
-           lambda acc, x: list_append(acc, greatest(acc[len(acc)], x[1])),
-           [0])
+         {_lcs_row()}
   FROM lcs WHERE j < len(p)),
 done AS (SELECT pair_id, len(p) AS np, len(r) AS nr, row[len(row)] AS m FROM lcs WHERE j = len(p))
 SELECT pair_id,
@@ -239,6 +244,56 @@ FROM done"""
 )
 
 
+# Union LCS: the table of every sentence pair, then a walk back through it that
+# steps back in the reference on equal choices; hits are clipped per token.
+ROUGE_LSUM = (
+    "WITH RECURSIVE "
+    + PAIRS
+    + f""",
+ref AS (SELECT pair_id, generate_subscripts(s, 1) AS ri, unnest(s) AS t
+        FROM (SELECT pair_id, {_nonempty("string_split(reference, chr(10))")} AS s FROM pairs)),
+pred AS (SELECT pair_id, generate_subscripts(s, 1) AS pi, unnest(s) AS t
+         FROM (SELECT pair_id, {_nonempty("string_split(prediction, chr(10))")} AS s FROM pairs)),
+rtok AS (SELECT pair_id, ri, {ascii_terms("t")} AS r FROM ref),
+ptok AS (SELECT pair_id, pi, {ascii_terms("t")} AS p FROM pred),
+lcs AS (
+  SELECT pair_id, ri, pi, r, p, 0 AS j, list_transform(range(len(r) + 1), lambda i: 0) AS row
+  FROM rtok JOIN ptok USING (pair_id)
+  UNION ALL
+  SELECT pair_id, ri, pi, r, p, j + 1, {_lcs_row()} FROM lcs WHERE j < len(p)),
+tab AS (
+  SELECT pair_id, ri, pi, any_value(r) AS r, any_value(p) AS p, list(row ORDER BY j) AS t
+  FROM lcs GROUP BY pair_id, ri, pi),
+walk AS (
+  SELECT pair_id, ri, pi, len(r) AS i, len(p) AS j, CAST(NULL AS VARCHAR) AS w, 0 AS hit FROM tab
+  UNION ALL
+  SELECT k.pair_id, k.ri, k.pi,
+         CASE WHEN r[i] = p[j] THEN i - 1 WHEN t[j][i + 1] > t[j + 1][i] THEN i ELSE i - 1 END,
+         CASE WHEN r[i] = p[j] THEN j - 1 WHEN t[j][i + 1] > t[j + 1][i] THEN j - 1 ELSE j END,
+         CASE WHEN r[i] = p[j] THEN r[i] END, i
+  FROM walk k JOIN tab USING (pair_id, ri, pi) WHERE i > 0 AND j > 0),
+hits AS (
+  SELECT pair_id, w, count(*) AS n
+  FROM (SELECT DISTINCT pair_id, ri, w, hit FROM walk WHERE w IS NOT NULL) GROUP BY pair_id, w),
+counts AS (
+  SELECT pair_id, w, count(*) AS n FROM (SELECT pair_id, unnest(p) AS w FROM ptok)
+  GROUP BY pair_id, w),
+m AS (
+  SELECT h.pair_id, sum(least(h.n, c.n)) AS m
+  FROM hits h JOIN counts c ON c.pair_id = h.pair_id AND c.w = h.w GROUP BY h.pair_id),
+sizes AS (
+  SELECT q.pair_id, coalesce(m.m, 0) AS m,
+         (SELECT coalesce(sum(len(p)), 0) FROM ptok WHERE ptok.pair_id = q.pair_id) AS np,
+         (SELECT coalesce(sum(len(r)), 0) FROM rtok WHERE rtok.pair_id = q.pair_id) AS nr
+  FROM pairs q LEFT JOIN m ON m.pair_id = q.pair_id)
+SELECT pair_id,
+       {single("CASE WHEN np > 0 THEN CAST(m AS DOUBLE) / np ELSE 0.0 END")} AS precision,
+       {single("CASE WHEN nr > 0 THEN CAST(m AS DOUBLE) / nr ELSE 0.0 END")} AS recall,
+       {single("CASE WHEN m > 0 THEN 2.0 * CAST(m AS DOUBLE) / (np + nr) ELSE 0.0 END")} AS f1
+FROM sizes"""
+)
+
+
 def _bootstrap(reps: int) -> str:
     weight = " + ".join(
         f"CASE WHEN u >= {t} THEN 1 ELSE 0 END" for t in evaluate.POISSON_THRESHOLDS
@@ -531,6 +586,7 @@ WHERE entity <> '' GROUP BY entity""",
     "rouge_1": _rouge_pairs(1),
     "rouge_2": _rouge_pairs(2),
     "rouge_l": ROUGE_L,
+    "rouge_lsum": ROUGE_LSUM,
     "rouge_corpus": _with(ROUGE_BOTH)
     + """SELECT round(avg(rouge1), 4) AS rouge1, round(avg(rouge2), 4) AS rouge2,
   count(*) AS n_pairs FROM scored""",
