@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import simhash
+from newscorpus.llm import decontaminate, simhash
 from newscorpus.llm.common import table
 
 
@@ -18,6 +18,42 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op8_simhash": op8_simhash}
+def op3_winnowing(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.decontaminate(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10, gram=5
+    )
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
 
-SQL: dict[str, str] = {}
+QUERIES = {"op3_winnowing": op3_winnowing, "op8_simhash": op8_simhash}
+
+_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+SQL: dict[str, str] = {
+    "op3_winnowing": rf"""
+with d as (select doc_id, {_WORDS} as w from documents),
+b as (select item_id, {_WORDS} as w from benchmark),
+win as (select distinct item_id, least(len(w), 10) as n,
+               array_to_string(w[i + 1 : i + least(len(w), 10)], ' ') as g
+        from b, unnest(range(greatest(len(w) - 9, 1))) t(i) where len(w) > 0),
+lengths as (select distinct n from win),
+grams as (select doc_id, i, n, array_to_string(w[i + 1 : i + n], ' ') as g
+          from d, lengths, unnest(range(len(w) - n + 1)) t(i) where len(w) >= n),
+hits as (select g.doc_id, g.i, g.n, win.item_id from grams g join win on g.n = win.n and g.g = win.g),
+words as (select doc_id, count(distinct i + k) as n_hit from hits, unnest(range(n)) t(k) group by doc_id),
+items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+          from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+       coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (doc_id) left join items using (doc_id)""",
+}
