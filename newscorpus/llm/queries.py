@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import decontaminate, simhash
+from newscorpus.llm import decontaminate, secrets, simhash
 from newscorpus.llm.common import table
+from newscorpus.sources.scratch import new_path
 
 
 def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
@@ -18,6 +19,25 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op1_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    ledger = new_path(spark, "ledger")
+    secrets.commit(docs, ledger)
+    found = secrets.findings(docs, ledger)
+    base = F.filter("findings", lambda f: f["kind"].isin(*secrets.BASE))
+
+    def of(kind: str):
+        n = F.size(F.filter("findings", lambda f: f["kind"] == kind))
+        return n.cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *map(of, secrets.BASE),
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("findings")).alias("spans"),
+    )
+
+
 def op3_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.decontaminate(
         table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10, gram=5
@@ -32,7 +52,7 @@ def op3_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_winnowing": op3_winnowing, "op8_simhash": op8_simhash}
+QUERIES = {"op1_secrets": op1_secrets, "op3_winnowing": op3_winnowing, "op8_simhash": op8_simhash}
 
 _WORDS = r"""regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
