@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import decontaminate, secrets, simhash
-from newscorpus.llm.common import table
+from newscorpus.llm import decontaminate, langid, secrets, simhash
+from newscorpus.llm.common import held_out, table
 from newscorpus.sources.scratch import new_path
 
 
@@ -38,6 +38,19 @@ def op1_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def language_profiles(docs: DataFrame) -> langid.Profiles:
+    """Learned from the documents that are not held out."""
+    return langid.train(docs.where(~held_out("doc_id", 5, 0)))
+
+
+def op2_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = langid.identify(docs, language_profiles(docs))
+    return found.select(
+        F.col("id").alias("doc_id"), held_out("id", 5, 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op3_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.decontaminate(
         table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=10, gram=5
@@ -52,7 +65,7 @@ def op3_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op3_winnowing": op3_winnowing, "op8_simhash": op8_simhash}
+QUERIES = {"op1_secrets": op1_secrets, "op2_language": op2_language, "op3_winnowing": op3_winnowing, "op8_simhash": op8_simhash}
 
 _WORDS = r"""regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
