@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import decontaminate, langid, secrets, simhash
+from newscorpus.llm import decontaminate, langid, pieces, secrets, simhash
 from newscorpus.llm.common import held_out, table
 from newscorpus.sources.scratch import new_path
 
 
+def encoded(docs: DataFrame) -> DataFrame:
+    """Ids of every text in digest form, and whether they decode to it again."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.encode(docs, model)
+    decoded = found.withColumn("decoded", pieces.decode(F.col("ids"), model))
+    return decoded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("bigint").alias("n_ids"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.col("text")).alias("round_trip"),
+    )
+
+
+def op7_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return encoded(table(spark, sf, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf, "documents"), shingle=3, radius=3)
     return groups.select(
@@ -65,7 +84,7 @@ def op3_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_language": op2_language, "op3_winnowing": op3_winnowing, "op8_simhash": op8_simhash}
+QUERIES = {"op1_secrets": op1_secrets, "op2_language": op2_language, "op3_winnowing": op3_winnowing, "op7_sentencepiece": op7_sentencepiece, "op8_simhash": op8_simhash}
 
 _WORDS = r"""regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
