@@ -4,8 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newscorpus.llm import simhash
+from newscorpus.llm import decontaminate, langid, queries, secrets, simhash
 from newscorpus.llm.common import saved, table
+from newscorpus.sources.scratch import new_path
+
+#: A text nearer to no language than this cosine is rejected.
+LEAST_COSINE = 0.05
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose language stays undetermined or unlike all learned ones."""
+    return langid.keep_identified(docs, queries.language_profiles(docs), at_least=LEAST_COSINE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,9 +22,37 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.keep_one(docs, shingle=3, radius=3)
 
 
-STAGES = [("simhash", drop_near_duplicates)]
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that hold ten consecutive words of a benchmark item."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret in a text becomes a mark; ``n_chars`` follows the text."""
+    ledger = new_path(spark, "ledger")
+    secrets.commit(docs, ledger)
+    return secrets.redacted(docs, ledger).selectExpr(
+        *[
+            "cast(char_length(text) as bigint) as n_chars" if c == "n_chars" else f"`{c}`"
+            for c in docs.columns
+        ]
+    )
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text in digest form."""
+    return queries.encoded(docs)
+
+
+STAGES = [
+    ("language", identify_language),
+    ("simhash", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("sentencepiece", encode),
+]
 
-#: The last stage and the language model have no SQL form.
+#: The language model, the groups and the ids have no SQL form.
 ORACLE_SQL = None
 
 
