@@ -6,11 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import decontaminate, langid, pieces, secrets, simhash
+from newscorpus.llm import decontaminate, langid, pieces, secrets, simhash, tokencount
 from newscorpus.llm.common import held_out, table
 from newscorpus.sources.scratch import new_path
 
 
+def op4_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    found = tokencount.token_counts(
+        table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit")
+    )
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     """Ids of every text in digest form, and whether they decode to it again."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -84,7 +93,7 @@ def op3_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_language": op2_language, "op3_winnowing": op3_winnowing, "op7_sentencepiece": op7_sentencepiece, "op8_simhash": op8_simhash}
+QUERIES = {"op1_secrets": op1_secrets, "op2_language": op2_language, "op3_winnowing": op3_winnowing, "op4_tokens": op4_tokens, "op7_sentencepiece": op7_sentencepiece, "op8_simhash": op8_simhash}
 
 _WORDS = r"""regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
