@@ -135,12 +135,15 @@ def decontaminate(
     met = met.select(
         "id", "digest", "n", "item", "length", (F.col("mark") < 0).alias("own"),
         F.when(F.col("mark") >= 0, found).alias("starts"),
-    ).where("own or size(starts) > 0")
-    hit = F.when(~F.col("own"), F.struct("starts", "length"))
+    )
+    # no filter on ``starts`` here: it would move below, next to the join, where its lambdas
+    # end the generated code and every mark's row would be kept with all words of its text
+    extended = F.size("starts") > 0
+    hit = F.when(extended, F.struct("starts", "length"))
     grouped = met.groupBy("id", "digest").agg(
         F.max("n").cast("bigint").alias("n_words"),
         F.count(F.when(F.col("own"), True)).alias("copies"),
-        F.array_sort(F.collect_set("item")).alias("items"),
+        F.array_sort(F.collect_set(F.when(extended, F.col("item")))).alias("items"),
         F.collect_set(hit).alias("hits"),
     )
     covered = F.flatten(
