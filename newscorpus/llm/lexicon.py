@@ -15,6 +15,8 @@ HELD_PIECES = 400_000
 FREQUENT = 150_000
 #: ... and the longest of them, in bytes: together they bound the broadcast.
 FREQUENT_BYTES = 64
+#: Characters of texts that a task takes up together.
+RUN_CHARS = 1 << 22
 #: Rows of one Arrow batch that a task returns.
 BATCH = 100_000
 
@@ -67,8 +69,8 @@ def frequent_pieces(lexicon: DataFrame, values: list[str]) -> dict[bytes, tuple]
         least = row["bar"]
     if least is None:
         return {}
-    rows = short.where(bar >= least).select("piece", *values).toPandas()
-    return dict(zip(map(bytes, rows["piece"]), rows[values].itertuples(index=False, name=None)))
+    rows = short.where(bar >= least).select("piece", *values).toArrow()
+    return dict(zip(rows["piece"].to_pylist(), zip(*(rows[v].to_pylist() for v in values))))
 
 
 def piece_sums(
@@ -76,7 +78,7 @@ def piece_sums(
     split: Split,
     lexicon: DataFrame,
     values: list[str],
-    more: Callable[[], Callable[[str], tuple]] | None = None,
+    more: Callable[[], Callable[[list[str]], list[tuple]]] | None = None,
     more_columns: list[str] = (),
 ) -> DataFrame:
     """(id, digest, copies, total_<v>.., more..) of every text of ``docs`` (id, text).
@@ -86,7 +88,7 @@ def piece_sums(
     looked up where the text is, in a broadcast table of bounded size; only the
     others are joined, one row for each of a text's distinct pieces.  Equal
     rows share a result: ``copies`` says how many there are.  ``more`` makes a
-    function that gives further numbers (double) of a text.
+    function that gives further numbers (double) of each of some texts.
     """
     spark = docs.sparkSession
     known = spark.sparkContext.broadcast(frequent_pieces(lexicon, values))
@@ -102,24 +104,25 @@ def piece_sums(
         other = more() if more else None
         rows = _Rows(n_values + len(extra))
         for batch in batches:
-            ids, texts, digests = (batch.column(c) for c in ("id", "text", "digest"))
-            for k, digest in enumerate(digests.to_pylist()):
-                text = texts[k].as_py()
-                sums, rare = [0.0] * n_values, []
-                for piece, n in Counter(cut(text)).items():
-                    found = table.get(piece)
-                    if found is None:
-                        rare.append((piece, n))
-                    else:
-                        for v in range(n_values):
-                            sums[v] += found[v] * n
-                # the text's own row: its digest, as a piece, spreads such rows over the join
-                own = digest.to_bytes(8, "little", signed=True)
-                rows.add(k, digest, own, 1, [*sums, *(other(text) if other else ())])
-                for piece, n in rare:
-                    rows.add(k, digest, piece, n, None)
-                if len(rows.at) >= BATCH:
-                    yield rows.batch(ids, schema_names)
+            ids, digests = batch.column("id"), batch.column("digest").to_pylist()
+            for low, texts in _runs(batch.column("text")):
+                numbers = other(texts) if other else [()] * len(texts)
+                for k, text in enumerate(texts, low):
+                    sums, rare = [0.0] * n_values, []
+                    for piece, n in Counter(cut(text)).items():
+                        found = table.get(piece)
+                        if found is None:
+                            rare.append((piece, n))
+                        else:
+                            for v in range(n_values):
+                                sums[v] += found[v] * n
+                    # the text's own row: its digest, as a piece, spreads such rows over the join
+                    own = digests[k].to_bytes(8, "little", signed=True)
+                    rows.add(k, digests[k], own, 1, [*sums, *numbers[k - low]])
+                    for piece, n in rare:
+                        rows.add(k, digests[k], piece, n, None)
+                    if len(rows.at) >= BATCH:
+                        yield rows.batch(ids, schema_names)
             if rows.at:
                 yield rows.batch(ids, schema_names)
 
@@ -138,6 +141,19 @@ def piece_sums(
     )
 
 
+def _runs(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """(index of the first, texts): runs of about RUN_CHARS characters."""
+    low, texts, size = 0, [], 0
+    for k in range(len(column)):
+        texts.append(column[k].as_py())
+        size += len(texts[-1])
+        if size >= RUN_CHARS:
+            yield low, texts
+            low, texts, size = k + 1, [], 0
+    if texts:
+        yield low, texts
+
+
 class _Rows:
     """Rows of one input batch, gathered by column."""
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import decontaminate, langid, pieces, secrets, simhash, tokencount
+from newscorpus.llm import decontaminate, langid, lm, pieces, secrets, simhash, tokencount
 from newscorpus.llm.common import held_out, table
 from newscorpus.sources.scratch import new_path
 
@@ -93,7 +95,23 @@ def op3_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_language": op2_language, "op3_winnowing": op3_winnowing, "op4_tokens": op4_tokens, "op7_sentencepiece": op7_sentencepiece, "op8_simhash": op8_simhash}
+def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = lm.train(docs.where(~held_out("doc_id", 10, 0)))
+    found = lm.score(docs, model)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        held_out("id", 10, 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.n_tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        (F.col("bits") * -math.log10(2)).alias("score"),
+        "bits_per_byte",
+    )
+
+
+QUERIES = {"op1_secrets": op1_secrets, "op2_language": op2_language, "op3_winnowing": op3_winnowing, "op4_tokens": op4_tokens, "op7_sentencepiece": op7_sentencepiece, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing}
 
 _WORDS = r"""regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

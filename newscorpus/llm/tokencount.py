@@ -72,7 +72,8 @@ def token_counts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     counted = count_pieces(docs, cut).mapInPandas(merge, "piece binary, n bigint, n_pieces bigint")
     lexicon = saved(counted, "pre_tokens")
-    sums = piece_sums(docs, cut, lexicon, ["n_pieces"], lambda: lambda text: (len(text.encode()),), ["n_bytes"])
+    sizes = lambda: lambda run: [(len(text.encode()),) for text in run]
+    sums = piece_sums(docs, cut, lexicon, ["n_pieces"], sizes, ["n_bytes"])
     return sums.select(
         "id", F.col("n_bytes").cast("bigint").alias("n_bytes"),
         F.round("total_n_pieces").cast("bigint").alias("n_tokens"),
