@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import decontaminate, langid, lm, pieces, secrets, simhash, tokencount
+from newscorpus.llm import decontaminate, langid, lm, pieces, quality, secrets, simhash, tokencount
 from newscorpus.llm.common import held_out, table
 from newscorpus.sources.scratch import new_path
 
@@ -22,6 +22,15 @@ def op4_tokens(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_lines(spark: SparkSession, sf: str) -> DataFrame:
+    found = quality.line_clean(table(spark, sf, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lost_words",
+    )
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     """Ids of every text in digest form, and whether they decode to it again."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -111,7 +120,17 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_language": op2_language, "op3_winnowing": op3_winnowing, "op4_tokens": op4_tokens, "op7_sentencepiece": op7_sentencepiece, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing}
+QUERIES = {
+    "op1_secrets": op1_secrets,
+    "op2_language": op2_language,
+    "op3_winnowing": op3_winnowing,
+    "op4_tokens": op4_tokens,
+    "op5_lines": op5_lines,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_simhash": op8_simhash,
+    "op9_mixing": op9_mixing,
+}
+
 
 _WORDS = r"""regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -135,4 +154,41 @@ select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
        coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
        coalesce(n_hit, 0) > 0 as contaminated
 from d left join words using (doc_id) left join items using (doc_id)""",
+    "op5_lines": r"""
+with d as (
+  select doc_id, coalesce(text, '') as t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+  from documents),
+g as (select doc_id, i, array_to_string(w[i + 1 : i + 3], ' ') as g
+      from d, unnest(range(len(w) - 2)) t(i) where len(w) > 2),
+twice as (select doc_id, unnest(list(i)) as i from g group by doc_id, g having count(*) > 1),
+rep as (select doc_id, count(distinct i + k) as n from twice, unnest(range(3)) t(k) group by doc_id),
+lines as (select doc_id, unnest(l) as x from d),
+m as (
+  select doc_id, x, len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) as n,
+         length(x) as c, length(regexp_replace(x, '\P{L}+', '', 'g')) as letters,
+         length(regexp_replace(x, '\P{Lu}+', '', 'g')) as capitals,
+         length(x) - length(regexp_replace(x, '[#*$%&|<>{}\\^~=_]', '', 'g')) as symbols,
+         regexp_matches(x, '(?i)^\s*(home|menu|search|log ?in|sign (in|up)|next|previous|back|skip to content|read more|click here|share|subscribe|contact( us)?|about( us)?|sitemap)\s*[|>»·:]?\s*$|(\s[|>»·]\s[^|>»·]*){3}') as navigation,
+         regexp_matches(x, '(?i)\b(all rights reserved|terms of (use|service)|privacy policy|cookie policy|use cookies|enable javascript|lorem ipsum|powered by|licensed under|copyright \(c\))|©') as boilerplate,
+         regexp_matches(x, '[.!?…:;。！？"”’'')\]]\s*$|[.!?…。！？]["”’'')\]]?\s') as ended
+  from lines),
+lost as (
+  select doc_id, sum(n) as n from m
+  where navigation or boilerplate or symbols * 100 > c * 10
+     or (capitals * 100 > letters * 60 and letters >= 20) or (n >= 8 and not ended)
+  group by doc_id),
+base as (
+  select d.doc_id, cast(len(w) as bigint) as n_words,
+         cast(length(array_to_string(w, '')) as bigint) as word_chars,
+         cast(len(regexp_extract_all(t, '[#*$%&|<>]')) as bigint) as n_symbols,
+         cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines,
+         cast(coalesce(rep.n, 0) as bigint) as n_repeat_words,
+         cast(coalesce(lost.n, 0) as bigint) as n_lost_words
+  from d left join rep using (doc_id) left join lost using (doc_id))
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words)
+       and 100 * n_lost_words <= 50 * n_words as kept
+from base""",
 }
