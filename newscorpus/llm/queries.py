@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import decontaminate, langid, lm, pieces, quality, secrets, simhash, tokencount
+from newscorpus.llm import classifier, decontaminate, langid, lm, pieces, quality, secrets, simhash, tokencount
 from newscorpus.llm.common import held_out, table
 from newscorpus.sources.scratch import new_path
 
@@ -120,6 +120,18 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_boosting(spark: SparkSession, sf: str) -> DataFrame:
+    described = classifier.describe(table(spark, sf, "documents"))
+    labels = table(spark, sf, "labels").where(~held_out("doc_id", 3, 1))
+    found = classifier.score(described, classifier.fit(described, labels))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        held_out("id", 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_language": op2_language,
@@ -129,6 +141,7 @@ QUERIES = {
     "op7_sentencepiece": op7_sentencepiece,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
+    "op10_boosting": op10_boosting,
 }
 
 
