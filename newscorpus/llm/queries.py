@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import classifier, decontaminate, langid, lm, pieces, quality, secrets, simhash, tokencount
+from newscorpus.llm import classifier, decontaminate, langid, lm, pieces, quality, secrets, simhash, suffixes, tokencount
 from newscorpus.llm.common import held_out, table
 from newscorpus.sources.scratch import new_path
 
@@ -31,6 +31,13 @@ def op5_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffixes.repeats(table(spark, sf, "documents"), window=50)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     """Ids of every text in digest form, and whether they decode to it again."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -138,6 +145,7 @@ QUERIES = {
     "op3_winnowing": op3_winnowing,
     "op4_tokens": op4_tokens,
     "op5_lines": op5_lines,
+    "op6_suffixes": op6_suffixes,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
