@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,19 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def text_runs(column, characters: int) -> Iterator[tuple[int, list[str]]]:
+    """(index of the first, texts) of an Arrow column: runs of about so many characters."""
+    low, run, size = 0, [], 0
+    for k in range(len(column)):
+        run.append(column[k].as_py())
+        size += len(run[-1])
+        if size >= characters:
+            yield low, run
+            low, run, size = k + 1, [], 0
+    if run:
+        yield low, run
+
+
 def held_out(id_col: str, folds: int, fold: int) -> Column:
     """True where crc32 of the id as text leaves ``fold``; a NULL id counts as ''."""
     return F.crc32(F.coalesce(named(id_col).cast("string"), F.lit("")).cast("binary")) % folds == fold

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newscorpus.llm.common import text_runs
+
 #: Distinct pieces that a task holds before it hands on what it has counted.
 HELD_PIECES = 400_000
 #: Most pieces that are answered by a broadcast table instead of a join ...
@@ -20,13 +22,14 @@ RUN_CHARS = 1 << 22
 #: Rows of one Arrow batch that a task returns.
 BATCH = 100_000
 
-Split = Callable[[], Callable[[str], Iterable[bytes]]]
+Split = Callable[[], Callable[[str], Iterable[bytes | str]]]
 
 
 def count_pieces(docs: DataFrame, split: Split) -> DataFrame:
     """(piece, n) over all of ``docs`` (text): tasks count first, then Spark adds up.
 
-    ``split`` makes, once a task, the function that cuts a text into pieces.
+    ``split`` makes, once a task, the function that cuts a text into pieces, bytes
+    or text (kept as UTF-8).
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,6 +83,7 @@ def piece_sums(
     values: list[str],
     more: Callable[[], Callable[[list[str]], list[tuple]]] | None = None,
     more_columns: list[str] = (),
+    as_cut: Callable[[bytes], bytes | str] = bytes,
 ) -> DataFrame:
     """(id, digest, copies, total_<v>.., more..) of every text of ``docs`` (id, text).
 
@@ -89,9 +93,11 @@ def piece_sums(
     others are joined, one row for each of a text's distinct pieces.  Equal
     rows share a result: ``copies`` says how many there are.  ``more`` makes a
     function that gives further numbers (double) of each of some texts.
+    ``as_cut`` turns a piece's bytes into what ``split`` yields.
     """
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(frequent_pieces(lexicon, values))
+    frequent = frequent_pieces(lexicon, values)
+    known = spark.sparkContext.broadcast({as_cut(piece): v for piece, v in frequent.items()})
     n_values, extra = len(values), list(more_columns)
     kind = docs.schema["id"].dataType.simpleString()
     columns = [f"v{k}" for k in range(n_values)]
@@ -105,7 +111,7 @@ def piece_sums(
         rows = _Rows(n_values + len(extra))
         for batch in batches:
             ids, digests = batch.column("id"), batch.column("digest").to_pylist()
-            for low, texts in _runs(batch.column("text")):
+            for low, texts in text_runs(batch.column("text"), RUN_CHARS):
                 numbers = other(texts) if other else [()] * len(texts)
                 for k, text in enumerate(texts, low):
                     sums, rare = [0.0] * n_values, []
@@ -141,19 +147,6 @@ def piece_sums(
     )
 
 
-def _runs(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """(index of the first, texts): runs of about RUN_CHARS characters."""
-    low, texts, size = 0, [], 0
-    for k in range(len(column)):
-        texts.append(column[k].as_py())
-        size += len(texts[-1])
-        if size >= RUN_CHARS:
-            yield low, texts
-            low, texts, size = k + 1, [], 0
-    if texts:
-        yield low, texts
-
-
 class _Rows:
     """Rows of one input batch, gathered by column."""
 

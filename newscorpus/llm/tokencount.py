@@ -24,28 +24,45 @@ def _load(path: str):
     return tokenizer, special
 
 
-def pre_tokens(path: str) -> Callable[[], Callable[[str], list[bytes]]]:
-    """Cuts texts as the tokenizer at ``path`` does before it merges.
+def _parts(special: list[str]) -> Callable[[str], list[str]]:
+    """Cuts a text at the added tokens: those are every second part."""
+    if not special:
+        return lambda text: [text]
+    apart = re.compile("(" + "|".join(map(re.escape, special)) + ")")
+    return lambda text: apart.split(text) if apart.search(text) else [text]
 
-    Added tokens are cut out first; they and the pre-tokens come as UTF-8, the
-    former behind a NUL, which no byte-level pre-token holds.
-    """
+
+#: The byte-level pre-tokenizer's pattern (fixed by its library).
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Code points that every Unicode version classes alike; other texts go to the library.
+_SETTLED = re.compile("[^\x00-\u04ff]")
+
+
+def pre_tokens(path: str) -> Callable[[], Callable[[str], list[str]]]:
+    """Cuts texts as the tokenizer at ``path`` does before it merges; drops added tokens."""
 
     def make():
+        import json
+
+        import regex
+
         tokenizer, special = _load(path)
-        apart = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
+        parts = _parts(special)
+        normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else None
         pre = tokenizer.pre_tokenizer.pre_tokenize_str
+        with open(path, encoding="utf-8") as f:
+            kind = json.load(f)["pre_tokenizer"]
+        plain = kind["type"] == "ByteLevel" and kind["use_regex"] and not kind["add_prefix_space"]
+        quick = regex.compile(BYTE_LEVEL).findall
 
-        def cut(text: str) -> list[bytes]:
-            if apart is None or not apart.search(text):
-                return [p.encode() for p, _ in pre(normalize(text))]
+        def cut(text: str) -> list[str]:
             out = []
-            for k, part in enumerate(apart.split(text)):
-                if k % 2:
-                    out.append(b"\0" + part.encode())
-                elif part:
-                    out += [p.encode() for p, _ in pre(normalize(part))]
+            for part in parts(text)[::2]:
+                part = normalize(part) if normalize else part
+                if plain and not _SETTLED.search(part):
+                    out += quick(part)
+                else:
+                    out += [part[low:high] for _, (low, high) in pre(part)]
             return out
 
         return cut
@@ -65,17 +82,21 @@ def token_counts(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     cut = pre_tokens(tokenizer_path)
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _load(tokenizer_path)[0].model
+        tokenizer = _load(tokenizer_path)[0]
+        pre, merged = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
         for batch in batches:
-            n = [1 if p[:1] == b"\0" else len(model.tokenize(p.decode())) for p in map(bytes, batch["piece"])]
-            yield batch.assign(n_pieces=n)
+            pieces = (bytes(p).decode() for p in batch["piece"])
+            yield batch.assign(n_pieces=[sum(len(merged(p)) for p, _ in pre(piece)) for piece in pieces])
+
+    def sizes():
+        parts = _parts(_load(tokenizer_path)[1])
+        return lambda run: [(len(text.encode()), len(parts(text)) // 2) for text in run]
 
     counted = count_pieces(docs, cut).mapInPandas(merge, "piece binary, n bigint, n_pieces bigint")
     lexicon = saved(counted, "pre_tokens")
-    sizes = lambda: lambda run: [(len(text.encode()),) for text in run]
-    sums = piece_sums(docs, cut, lexicon, ["n_pieces"], sizes, ["n_bytes"])
+    sums = piece_sums(docs, cut, lexicon, ["n_pieces"], sizes, ["n_bytes", "n_added"], bytes.decode)
     return sums.select(
         "id", F.col("n_bytes").cast("bigint").alias("n_bytes"),
-        F.round("total_n_pieces").cast("bigint").alias("n_tokens"),
+        F.round(F.coalesce("total_n_pieces", F.lit(0.0)) + F.col("n_added")).cast("bigint").alias("n_tokens"),
         F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("_copy"),
     ).drop("_copy")
