@@ -10,16 +10,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newscorpus.llm.common import texts
+from newscorpus.llm.common import text_runs, texts
 
 SPACE = "▁"
 #: Characters of distinct words that are indexed together.
-INDEX_CHARS = 1 << 20
+INDEX_CHARS = 1 << 19
+#: Characters of texts that are encoded together.
+RUN_CHARS = 1 << 22
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 #: Longer words are merged one by one, with a heap.
 ROUND_CHARS = 48
 
@@ -256,22 +259,38 @@ def _encode_texts(column, v: Vocabulary) -> list[np.ndarray]:
     return out
 
 
-def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
     """(id, text, ids) of every row: the ids of its whole text, no begin or end added.
 
     NULL and empty texts have no ids; repeated rows each keep theirs.  The
-    model file lies at ``model_path`` on every executor.  Texts of one batch
-    are indexed together, each distinct word once.
+    model file lies at ``model_path`` on every executor.  Texts of one run are
+    indexed together, each distinct word once.  With ``decoded`` the ids are
+    turned into text again in the same pass.
     """
+    docs = texts(df, id_col, text_col)
+    kind = docs.schema["id"].dataType.simpleString()
+    names = ["id", "text", "ids", *(["decoded"] if decoded else [])]
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model_path)
         for batch in batches:
-            yield batch.assign(ids=_encode_texts(batch["text"], v))
-
-    docs = texts(df, id_col, text_col)
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInPandas(of, f"id {kind}, text string, ids array<int>")
+            for low, run in text_runs(batch.column("text"), RUN_CHARS):
+                ids = _encode_texts(run, v)
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                flat = np.concatenate(ids)
+                columns = [
+                    batch.column("id").slice(low, len(run)),
+                    batch.column("text").slice(low, len(run)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                ]
+                if decoded:
+                    columns.append(pa.array([_decoded(i, v.surface) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = f"id {kind}, text string, ids array<int>" + (", decoded string" if decoded else "")
+    return docs.mapInArrow(of, schema)
 
 
 def decode(ids: Column, model_path: str) -> Column:

@@ -41,9 +41,7 @@ def op6_suffixes(spark: SparkSession, sf: str) -> DataFrame:
 def encoded(docs: DataFrame) -> DataFrame:
     """Ids of every text in digest form, and whether they decode to it again."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    found = pieces.encode(docs, model)
-    decoded = found.withColumn("decoded", pieces.decode(F.col("ids"), model))
-    return decoded.select(
+    return pieces.encode(docs, model, decoded=True).select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("bigint").alias("n_ids"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
