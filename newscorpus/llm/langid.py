@@ -140,7 +140,8 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Prof
                     sums[k] += weights.astype(np.float32) @ vectors
             for name, vector in zip(names, sums):
                 total[name] = total.get(name, 0) + vector
-        yield pd.DataFrame({"lang": list(total), "vector": [v.tolist() for v in total.values()]})
+        if total:
+            yield pd.DataFrame({"lang": list(total), "vector": [v.tolist() for v in total.values()]})
 
     source = df.where(named(lang_col).isNotNull()).select(
         F.coalesce(named(text_col), F.lit("")).alias("text"), named(lang_col).alias("lang")
