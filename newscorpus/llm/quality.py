@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newscorpus.functions.text import let
 from newscorpus.llm.common import named
 
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -44,6 +45,46 @@ def without(text: Column, characters: str) -> Column:
     return text
 
 
+def repeated_words(words: Column) -> Column:
+    """How many of ``words`` stand in a 3-word window that is found twice or more.
+
+    Each step is bound by ``let``: a filter on the result, which Spark pushes
+    down as an expression, must not work a step out anew for every word.
+    """
+
+    def windows(words: Column, room: Column) -> Column:
+        # a window's hash with its position in the low bits: sorting brings equal windows together
+        keyed = F.transform(
+            words,
+            lambda _, i: F.xxhash64(F.slice(words, i + 1, 3)).bitwiseAND(-room).bitwiseOR(i.cast("bigint")),
+        )
+        return F.sort_array(F.slice(keyed, 1, F.greatest(F.size(words) - 2, F.lit(0))))
+
+    def twice(ordered: Column, room: Column) -> Column:
+        same = lambda x, to: F.coalesce(
+            x.bitwiseAND(-room) == F.get(ordered, to).bitwiseAND(-room), F.lit(False)
+        )
+        found = F.filter(ordered, lambda x, i: same(x, i - 1) | same(x, i + 1))
+        return F.sort_array(F.transform(found, lambda x: x.bitwiseAND(room - 1)))
+
+    def covered(at: Column) -> Column:
+        # each window adds the words that the next one does not hold
+        three = F.lit(3).cast("bigint")
+        adds = F.transform(at, lambda x, i: F.least(three, F.coalesce(F.get(at, i + 1) - x, three)))
+        return F.aggregate(adds, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+    def counted(words: Column) -> Column:
+        bits = F.ceil(F.log2(F.size(words) + F.lit(1))).cast("int")
+        return let(
+            F.call_function("shiftleft", F.lit(1).cast("bigint"), bits),
+            lambda room: let(
+                windows(words, room), lambda ordered: let(twice(ordered, room), covered)
+            ),
+        )
+
+    return let(words, counted)
+
+
 def line_failure(line: Column) -> Column:
     """Name of the first rule that a line with words fails, NULL if none.
 
@@ -81,33 +122,9 @@ def line_clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     docs = docs.withColumn("words", word_list(F.col("text"))).withColumn(
         "lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     )
-    n = F.size("words")
-    docs = docs.withColumn("n", n).withColumn(
-        "room", F.call_function("shiftleft", F.lit(1).cast("bigint"), F.ceil(F.log2(n + F.lit(1))).cast("int"))
-    )
-    # a window's hash with its position in the low bits: sorting brings equal windows together
-    keyed = F.transform(
-        "words",
-        lambda _, i: F.xxhash64(F.slice("words", i + 1, 3)).bitwiseAND(-F.col("room")).bitwiseOR(i.cast("bigint")),
-    )
-    docs = docs.withColumn("keyed", F.slice(keyed, 1, F.greatest(F.col("n") - 2, F.lit(0))))
-    docs = docs.withColumn("sorted", F.sort_array("keyed"))
-    window = lambda x: x.bitwiseAND(-F.col("room"))
-    shifted = lambda to: F.get("sorted", to)
-    twice = F.filter(
-        "sorted",
-        lambda x, i: F.coalesce(window(x) == window(shifted(i - 1)), F.lit(False))
-        | F.coalesce(window(x) == window(shifted(i + 1)), F.lit(False)),
-    )
-    docs = docs.withColumn("twice", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(F.col("room") - 1))))
-    # each window adds the words that the next one does not hold
-    covered = F.aggregate(
-        F.transform("twice", lambda x, i: F.least(F.lit(3).cast("bigint"), F.coalesce(F.get("twice", i + 1) - x, F.lit(3)))),
-        F.lit(0).cast("bigint"),
-        lambda a, x: a + x,
-    )
+    docs = docs.withColumn("n", F.size("words")).withColumn("n_repeat_words", repeated_words(F.col("words")))
     judged = F.transform("lines", lambda x: F.struct(x.alias("line"), line_failure(x).alias("rule")))
-    docs = docs.withColumn("judged", judged).withColumn("n_repeat_words", covered)
+    docs = docs.withColumn("judged", judged)
     failed = F.filter("judged", lambda x: x["rule"].isNotNull())
     lost = F.size(word_list(F.array_join(F.transform(failed, lambda x: x["line"]), " ")))
     base_failed = (F.col("n") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n"))
