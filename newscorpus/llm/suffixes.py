@@ -34,7 +34,7 @@ from newscorpus.llm.common import named, saved
 from newscorpus.sources.scratch import new_path
 
 #: Bytes of documents that are packed into one unit.
-UNIT_BYTES = 8 << 20
+UNIT_BYTES = 4 << 20
 #: Bytes of text whose ranks meet in one group.
 RANGE_BYTES = 16 << 20
 #: Bytes hashed at once.
@@ -128,6 +128,17 @@ def _sliding(values: np.ndarray, span: int, pick: np.ufunc) -> np.ndarray:
     return pick(out[: len(out) - rest], out[rest:]) if rest else out
 
 
+def _sealed(values: np.ndarray) -> bytes:
+    """Compressed byte planes: sorted ranks, and ids of one unit, share high bytes."""
+    planes = values.view(np.uint8).reshape(len(values), -1).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def _opened(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 class Ranks:
     """The distinct ranks of a unit, by range and rank; each with its least id."""
 
@@ -144,8 +155,8 @@ class Ranks:
         edges = np.flatnonzero(np.diff(self.group)) + 1
         for low, high in zip([0, *edges], [*edges, len(self.group)]):
             if low < high:
-                ids = self.least[low:high].astype("<i8").tobytes() if with_ids else b""
-                yield int(self.group[low]), unit, self.distinct[low:high].astype(width).tobytes(), ids
+                ids = _sealed(self.least[low:high].astype("<i8")) if with_ids else b""
+                yield int(self.group[low]), unit, _sealed(self.distinct[low:high].astype(width)), ids
 
     def bits(self, answers) -> np.ndarray:
         """The answers' bits, one for each distinct rank; unasked ranges: False."""
@@ -191,11 +202,13 @@ class Search:
         self.asked = np.flatnonzero(self.alive & fits)
         at = self.begin[self.asked]
         self.second = self._ranks(self.unit.hashes(at, reach), at)
+        del self.first
         return self.second
 
     def rerank_windows(self, answers) -> Ranks:
         self.settled = np.zeros(len(self.begin), bool)
         self.settled[self.asked] = self._shared(self.second, self.begin[self.asked], answers)
+        del self.second
         still = self.alive & ~self.settled
         n = (self.stop - self.begin)[still]
         self.left = np.repeat(self.begin[still], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -256,11 +269,11 @@ def _meet(asked: DataFrame, width: str, with_ids: bool) -> DataFrame:
     """
 
     def of(rows: pd.DataFrame) -> pd.DataFrame:
-        ranks = [np.frombuffer(r, width) for r in rows["ranks"]]
+        ranks = [_opened(r, width) for r in rows["ranks"]]
         sizes = np.array([len(r) for r in ranks])
         every = np.concatenate(ranks)
         if with_ids:
-            ids = np.concatenate([np.frombuffer(i, "<i8") for i in rows["ids"]])
+            ids = np.concatenate([_opened(i, "<i8") for i in rows["ids"]])
             order = np.lexsort((ids, every))
         else:
             order = np.argsort(every, kind="stable")
@@ -307,13 +320,16 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
         for k, a in enumerate(answers):
             joined = joined.join(a.withColumnRenamed("answers", f"a{k}"), "unit", "left")
 
+        def of_unit(row: dict) -> Iterator[pd.DataFrame]:
+            # a scope of its own: a unit's arrays are gone before the next one's are made
+            data = zstandard.ZstdDecompressor().decompress(row["data"])
+            unit = Unit(np.asarray(row["ids"], np.int64), np.asarray(row["sizes"], np.int64), data, window)
+            yield from step(Search(unit, ranges), row)
+
         def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for row in batch.to_dict("records"):
-                    data = zstandard.ZstdDecompressor().decompress(row["data"])
-                    unit = Unit(np.asarray(row["ids"], np.int64), np.asarray(row["sizes"], np.int64), data, window)
-                    search = Search(unit, ranges)
-                    yield from step(search, row)
+                    yield from of_unit(row)
 
         return joined.mapInPandas(of, schema)
 
