@@ -20,9 +20,9 @@ SPACE = "▁"
 #: Characters of distinct words that are indexed together.
 INDEX_CHARS = 1 << 19
 #: Characters of texts that are encoded together.
-RUN_CHARS = 1 << 22
+RUN_CHARS = 1 << 21
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 #: Longer words are merged one by one, with a heap.
 ROUND_CHARS = 48
 
