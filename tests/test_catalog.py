@@ -34,7 +34,8 @@ def ordered(rows):
 
 
 def test_names_agree():
-    assert set(entry.oracle_sql()) == set(entry.queries()) - NO_ORACLE
+    assert set(oracle.SQL) == set(catalog.QUERIES) - NO_ORACLE
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(oracle.SQL) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):
