@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import classifier, decontaminate, langid, lm, pieces, quality, secrets, simhash, suffixes, tokencount
+from newscorpus.llm import classifier, decontaminate, filter_audit, langid, lm, pieces, quality, secrets, simhash, suffixes, tokencount
 from newscorpus.llm.common import held_out, table
 from newscorpus.sources.scratch import new_path
 
@@ -137,6 +137,25 @@ def op10_boosting(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_audit(spark: SparkSession, sf: str) -> DataFrame:
+    rows = filter_audit.described(table(spark, sf, "documents"), "doc_id", "text", "lang")
+    rows = filter_audit.repeats_smaller(rows, "id", "digest", "repeated")
+    rows = filter_audit.with_marks(rows, table(spark, sf, "labels"), "doc_id", ["quality", "toxic"])
+    found = filter_audit.audit(
+        rows,
+        {
+            "A": F.col("n_words") < 100,
+            "B": 100 * F.col("n_distinct") < 80 * F.col("n_words"),
+            "C": 100 * F.col("n_capitals") > 10 * F.col("n_chars"),
+            "D": F.col("symbols"),
+            "E": F.col("repeated"),
+        },
+        F.col("part"),
+        {"good": F.col("quality"), "toxic": F.col("toxic")},
+    )
+    return found.withColumnsRenamed({"lost_good": "good_lost", "lost_toxic": "toxic_lost"})
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_language": op2_language,
@@ -148,6 +167,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_boosting": op10_boosting,
+    "op12_audit": op12_audit,
 }
 
 
@@ -210,4 +230,42 @@ select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
        not (n_words < 50 or 100 * n_repeat_words > 50 * n_words)
        and 100 * n_lost_words <= 50 * n_words as kept
 from base""",
+    "op12_audit": r"""
+with d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+f as (
+  select doc_id, part, len(w) < 100 as a, 100 * len(list_distinct(w)) < 80 * len(w) as b,
+         100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) as c,
+         regexp_matches(t, '[#$%&*|]') as d, doc_id > min(doc_id) over (partition by t) as e
+  from d),
+l as (select doc_id, max(quality) as quality, max(toxic) as toxic from labels group by doc_id),
+m as (
+  select part, a::int + 2 * b::int + 4 * c::int + 8 * d::int + 16 * e::int as mask, count(*) as n,
+         count(*) filter (quality = 1) as good, count(*) filter (toxic = 1) as toxic
+  from f left join l using (doc_id) group by all),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as name, unnest([1, 2, 4, 8, 16]) as bit),
+orders as (
+  select [p, q, r, s, t] as o, p.name || q.name || r.name || s.name || t.name as filter_order
+  from x p, x q, x r, x s, x t
+  where len(list_distinct([p.bit, q.bit, r.bit, s.bit, t.bit])) = 5),
+steps as (
+  select filter_order, k as step, o[k].name as name, o[k].bit as bit,
+         coalesce(list_sum(list_transform(o[1 : k - 1], lambda y: y.bit)), 0)::int as before
+  from orders, unnest([1, 2, 3, 4, 5]) u(k)),
+per_step as (
+  select part, filter_order, step, name,
+         cast(sum(n) filter (mask & (before | bit) = 0) as bigint) as kept,
+         cast(sum(n) filter (mask & before = 0 and mask & bit > 0) as bigint) as removed,
+         cast(sum(n) filter (mask & before > 0 and mask & bit > 0) as bigint) as redundant,
+         cast(sum(n) filter (mask = bit) as bigint) as unique_fails,
+         cast(sum(good) filter (mask & before = 0 and mask & bit > 0) as bigint) as good_lost,
+         cast(sum(toxic) filter (mask & before = 0 and mask & bit > 0) as bigint) as toxic_lost
+  from m, steps group by all)
+select part, filter_order, step, coalesce(kept, 0) as kept, coalesce(removed, 0) as removed,
+       coalesce(redundant, 0) as redundant, coalesce(unique_fails, 0) as unique_fails,
+       coalesce(good_lost, 0) as good_lost, coalesce(toxic_lost, 0) as toxic_lost,
+       cast(sum(coalesce(removed, 0)) over (partition by part, name) as bigint) as shapley
+from per_step""",
 }
