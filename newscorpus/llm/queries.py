@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import classifier, decontaminate, filter_audit, langid, lm, pieces, quality, secrets, simhash, suffixes, tokencount
+from newscorpus.llm import alignment, classifier, decontaminate, filter_audit, langid, lm, pieces, quality, secrets, simhash, suffixes, tokencount
 from newscorpus.llm.common import held_out, table
 from newscorpus.sources.scratch import new_path
 
@@ -137,6 +137,19 @@ def op10_boosting(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    found = alignment.align(
+        table(spark, sf, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"],
+        F.when(F.col("n_groups") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+    )
+
+
 def op12_audit(spark: SparkSession, sf: str) -> DataFrame:
     rows = filter_audit.described(table(spark, sf, "documents"), "doc_id", "text", "lang")
     rows = filter_audit.repeats_smaller(rows, "id", "digest", "repeated")
@@ -167,6 +180,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_boosting": op10_boosting,
+    "op11_alignment": op11_alignment,
     "op12_audit": op12_audit,
 }
 
