@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` saved in buckets by ``column``: joins on it leave its rows where they are.
+
+    Meant for few large rows, as a task writes a file for each bucket it has rows
+    of.  The table's name goes at once, its files stay.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{name}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, column).option("path", new_path(spark, name)).saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolved before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only; texts of ASCII alone take the fast built-in."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

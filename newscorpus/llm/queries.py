@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscorpus.llm import alignment, classifier, decontaminate, filter_audit, langid, lm, pieces, quality, secrets, simhash, suffixes, tokencount
+from newscorpus.llm import (
+    alignment,
+    classifier,
+    decontaminate,
+    filter_audit,
+    langid,
+    lm,
+    pieces,
+    quality,
+    secrets,
+    simhash,
+    suffix_trees,
+    suffixes,
+    tokencount,
+)
 from newscorpus.llm.common import held_out, table
 from newscorpus.sources.scratch import new_path
 
@@ -169,6 +183,13 @@ def op12_audit(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumnsRenamed({"lost_good": "good_lost", "lost_toxic": "toxic_lost"})
 
 
+def op13_suffix_trees(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_trees.repeats(table(spark, sf, "documents"), window=20)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_language": op2_language,
@@ -182,6 +203,7 @@ QUERIES = {
     "op10_boosting": op10_boosting,
     "op11_alignment": op11_alignment,
     "op12_audit": op12_audit,
+    "op13_suffix_trees": op13_suffix_trees,
 }
 
 
