@@ -14,9 +14,9 @@ the sums of its own pairs back.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,15 +26,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newscorpus.llm.common import named
-from newscorpus.sources.scratch import new_path
+from newscorpus.llm.common import bucketed, named
 
 #: Characters of documents that are packed into one unit.
 UNIT_CHARS = 4 << 20
 #: Characters that are tokenised together.
 RUN_CHARS = 1 << 18
-#: Chunks, and windows, that a task remembers; it starts anew beyond.
-HELD = 100_000
+#: Chunks whose tokens a task remembers; it starts anew beyond.
+HELD = 200_000
 
 #: One space between two other characters.  Neither tokenizer joins what stands
 #: on its two sides, so both give the same tokens for the parts as for the whole.
@@ -74,7 +73,9 @@ class Pair:
         self.a_size, self.b_size = (np.array([len(t) for t in v]) for v in (self.a_bytes, self.b_bytes))
         self.a_space, self.b_space = (np.array([t[:1] == b" " for t in v]) for v in (self.a_bytes, self.b_bytes))
         self.chunks: dict[str, tuple[bytes, bytes] | None] = {}
-        self.windows: dict[tuple[bytes, bytes], tuple[str, list[tuple[int, int]]]] = {}
+        # what an id adds to the text of groups, by what follows it
+        a_ids, b_ids = range(len(self.a_bytes)), range(len(self.b_bytes))
+        self.written = [f"{i}{c}" for ids, ends in ((a_ids, ",|"), (b_ids, ",;\n")) for i in ids for c in ends]
 
     def tokens(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """The ids of both (int32 as bytes) for each text; None where bytes differ from the text's."""
@@ -83,53 +84,50 @@ class Pair:
         if len(self.chunks) + len(new) > HELD:
             self.chunks = {}
             new = {c for part in parts for c in part}
-        if new:
-            self._learn(sorted(new))
+        self._learn(new)
         out = []
         for part in parts:
             found = [self.chunks[c] for c in part]
-            out.append(None if None in found else tuple(b"".join(ids) for ids in zip(*found)))
+            out.append(None if None in found else tuple(map(b"".join, zip(*found))))
         return out
 
-    def _learn(self, new: list[str]) -> None:
-        in_a = self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)
-        in_b = self.b.encode(new, num_threads=1)
-        for c, a, b in zip(new, in_a, in_b):
-            own = (" " + c).encode()
-            same = (
-                b"".join(map(self.a_bytes.__getitem__, a.ids)) == own
-                and b"".join(map(self.b_bytes.__getitem__, b)) == own
-            )
-            self.chunks[c] = (np.array(a.ids, "<i4").tobytes(), np.array(b, "<i4").tobytes()) if same else None
-
-    def align(self, window: tuple[bytes, bytes]) -> tuple[str, list[tuple[int, int]]]:
-        """(groups as text, links) of one window, kept under its ids."""
-        known = self.windows.get(window)
-        if known is None:
-            if len(self.windows) >= HELD:
-                self.windows = {}
-            known = self.windows[window] = self._align(*(np.frombuffer(w, "<i4").tolist() for w in window))
-        return known
-
-    def _align(self, a: list[int], b: list[int]) -> tuple[str, list[tuple[int, int]]]:
-        groups, links = [], []
-        i = j = first_a = first_b = 0
-        a_end, b_end = len(self.a_bytes[a[0]]), len(self.b_bytes[b[0]])
-        while True:
-            links.append((a[i], b[j]))
-            if a_end == b_end:
-                in_a, in_b = a[first_a : i + 1], b[first_b : j + 1]
-                groups.append(",".join(map(str, in_a)) + "|" + ",".join(map(str, in_b)))
-                first_a, first_b = i + 1, j + 1
-                if first_a == len(a):
-                    return ";".join(groups), links
-            on_a, on_b = a_end <= b_end, b_end <= a_end
-            if on_a:
-                i += 1
-                a_end += len(self.a_bytes[a[i]])
-            if on_b:
-                j += 1
-                b_end += len(self.b_bytes[b[j]])
+    def _learn(self, new: set[str]) -> None:
+        """Tokens of new chunks, those that a space may join taken together."""
+        joined, size = [], 0
+        for c in sorted(new):
+            if not self.cuts or c[0].isspace() or c[-1].isspace():
+                self._encode([c])
+                continue
+            joined.append(c)
+            size += len(c)
+            if size >= RUN_CHARS:
+                self._encode(joined)
+                joined, size = [], 0
+        if joined:
+            self._encode(joined)
+
+    def _encode(self, chunks: list[str]) -> None:
+        text = " ".join(chunks)
+        whole = (" " + text).encode()
+        sides = (
+            (self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.a_bytes, self.a_size),
+            (self.b.encode(text, num_threads=1), self.b_bytes, self.b_size),
+        )
+        ends, cut = np.cumsum([len(c.encode()) + 1 for c in chunks]), []
+        for ids, surface, sizes in sides:
+            if b"".join(map(surface.__getitem__, ids)) != whole:
+                break
+            of = np.array(ids, "<i4")
+            at = 4 * (np.searchsorted(np.cumsum(sizes[of]), ends) + 1)
+            data, at = of.tobytes(), at.tolist()
+            cut.append([data[low:high] for low, high in zip([0, *at], at)])
+        if len(cut) == 2:
+            self.chunks.update(zip(chunks, zip(*cut)))
+        elif len(chunks) == 1:
+            self.chunks[text] = None
+        else:
+            for c in chunks:
+                self._encode([c])
 
 
 class Unit:
@@ -138,9 +136,10 @@ class Unit:
     def __init__(self, pair: Pair):
         self.pair, self.size = pair, 0
         self.ids, self.counts, self.sequence = [], [], []
+        #: Windows by their id tuples; the fresh ones are aligned after each run.
         self.window: dict[tuple[bytes, bytes], int] = {}
+        self.fresh: list[tuple[bytes, bytes]] = []
         self.groups, self.links, self.n_links = [], [], []
-        self.pairs: dict[tuple[int, int], int] = {}
 
     def add(self, ids: list, texts: list[str]) -> None:
         self.size += sum(map(len, texts))
@@ -153,6 +152,8 @@ class Unit:
             n_groups, windows = next(numbers) if t else (0, ())
             self.sequence.append(np.array(windows, np.int32))
             self.counts.append((len(t[0]) // 4 if t else 0, len(t[1]) // 4 if t else 0, n_groups, len(windows)))
+        if self.fresh:
+            self._align()
 
     def _windows(self, tokens: list[tuple[bytes, bytes]]) -> Iterator[tuple[int, list[int]]]:
         """(shared ends, window numbers) of each document, all split at once."""
@@ -167,34 +168,52 @@ class Unit:
         inner = np.flatnonzero(~anchor)
         anchor[inner] = self.pair.a_space[a[a_at[inner]]] & self.pair.b_space[b[b_at[inner]]]
         a_cut, b_cut = a_at[anchor], b_at[anchor]
-        numbers, known = [], self.window
+        numbers, known, fresh = [], self.window, self.fresh
         a_low = b_low = 0
         for a_high, b_high in zip((4 * a_cut).tolist(), (4 * b_cut).tolist()):
             window = (a_bytes[a_low:a_high], b_bytes[b_low:b_high])
             number = known.get(window)
-            numbers.append(self._new(window) if number is None else number)
+            if number is None:
+                number = known[window] = len(known)
+                fresh.append(window)
+            numbers.append(number)
             a_low, b_low = a_high, b_high
         ends = np.searchsorted(a_cut, last) + 1
         n_groups = np.diff(np.searchsorted(a_at, last) + 1, prepend=0)
         for n, low, high in zip(n_groups.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
             yield n, numbers[low:high]
 
-    def _new(self, window: tuple[bytes, bytes]) -> int:
-        groups, links = self.pair.align(window)
-        number = self.window[window] = len(self.groups)
-        self.groups.append(groups)
-        self.links += [self.pairs.setdefault(p, len(self.pairs)) for p in links]
-        self.n_links.append(len(links))
-        return number
+    def _align(self) -> None:
+        """Links and groups of the fresh windows, end to end in one go."""
+        a, b = (np.frombuffer(b"".join(side), "<i4").astype(np.int64) for side in zip(*self.fresh))
+        a_end, b_end = np.cumsum(self.pair.a_size[a]), np.cumsum(self.pair.b_size[b])
+        a_last, b_last = (np.cumsum([len(x) // 4 for x in side]) - 1 for side in zip(*self.fresh))
+        # between two neighbouring ends lies the overlap of one token of each
+        ends = np.union1d(a_end, b_end)
+        self.links.append(a[np.searchsorted(a_end, ends)] << 32 | b[np.searchsorted(b_end, ends)])
+        self.n_links.append(np.diff(np.searchsorted(ends, a_end[a_last]) + 1, prepend=0))
+        # a group is written as its ids of A and then those of B
+        shared = np.intersect1d(a_end, b_end, assume_unique=True)
+        a_at, b_at = np.searchsorted(a_end, shared) + 1, np.searchsorted(b_end, shared) + 1
+        a_mark, b_mark = 2 * a, 2 * len(self.pair.a_bytes) + 3 * b
+        a_mark[a_at - 1] += 1
+        b_mark[b_at - 1] += 1
+        b_mark[b_last] += 1
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.repeat(np.append(0, b_at[:-1]), np.diff(a_at, prepend=0))] = a_mark
+        order[np.arange(len(b)) + np.repeat(a_at, np.diff(b_at, prepend=0))] = b_mark
+        self.groups.append("".join(map(self.pair.written.__getitem__, order.tolist())))
+        self.fresh.clear()
 
     def row(self, number: int) -> pa.RecordBatch:
-        sequence = np.concatenate(self.sequence).astype(np.int64)
-        links, n_links = np.array(self.links, np.int32), np.array(self.n_links, np.int64)
+        none = np.zeros(0, np.int64)
+        sequence = np.concatenate([none, *self.sequence])
+        n_links = np.concatenate([none, *self.n_links])
+        pairs, links = np.unique(np.concatenate([none, *self.links]), return_inverse=True)
         times = np.bincount(sequence, minlength=len(n_links))  # of each window in the unit
-        n = np.bincount(links, np.repeat(times, n_links), len(self.pairs)).astype(np.int64)
-        pairs = np.array(list(self.pairs), np.int32).reshape(-1, 2)
-        data = [sequence.astype("<i4"), links.astype("<i4"), n_links.astype("<i4")]
-        blobs = [zstandard.compress(x, 3) for x in (*map(bytes, data), "\n".join(self.groups).encode())]
+        n = np.bincount(links, np.repeat(times, n_links), len(pairs)).astype(np.int64)
+        data = [bytes(x.astype("<i4")) for x in (sequence, links, n_links)]
+        blobs = [zstandard.compress(x, 3) for x in (*data, "".join(self.groups).encode())]
         counts = np.array(self.counts, np.int64).reshape(-1, 4)
         return pa.RecordBatch.from_arrays(
             [
@@ -202,7 +221,7 @@ class Unit:
                 pa.array([self.ids], pa.list_(pa.int64())),
                 *[pa.array([c.tolist()], pa.list_(pa.int64())) for c in counts.T],
                 *[pa.array([x], pa.binary()) for x in blobs],
-                *[pa.array([x.tolist()], pa.list_(pa.int64())) for x in (pairs[:, 0], pairs[:, 1], n)],
+                *[pa.array([x.tolist()], pa.list_(pa.int64())) for x in (pairs >> 32, pairs & 0xFFFFFFFF, n)],
             ],
             [c.split()[0] for c in _UNIT.split(", ")],
         )
@@ -221,6 +240,7 @@ def _units(df: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str)
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        gc.disable()  # nothing here forms cycles, and its scans take a sixth of the time
         number, pair = TaskContext.get().partitionId() << 32, Pair(a_path, b_path)
         unit, ids, texts, size = Unit(pair), [], [], 0
         for batch in batches:
@@ -237,18 +257,10 @@ def _units(df: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str)
         unit.add(ids, texts)
         if unit.ids:
             yield unit.row(number)
+        gc.enable()
 
-    spark = df.sparkSession
-    name = f"units_{uuid.uuid4().hex}"
     docs = df.select(named(id_col).cast("bigint").alias("id"), named(text_col).alias("text"))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs.mapInArrow(pack, _UNIT).write.format("parquet").bucketBy(buckets, "unit").option(
-        "path", new_path(spark, name)
-    ).saveAsTable(name)
-    units = spark.table(name)
-    units.schema  # resolved: the files stay when the name goes
-    spark.sql(f"DROP TABLE {name}")
-    return units
+    return bucketed(docs.mapInArrow(pack, _UNIT), "unit", "units")
 
 
 def align(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
