@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newscorpus.functions import text as tx
 from newscorpus.lexicons import MISSING, STOPWORDS
-from newscorpus.schemas import API_RESPONSE
+from newscorpus.schemas import API_RESPONSE, CORRUPT
 
 
 def pending_queries(queue: DataFrame, done: DataFrame, col: str = "value") -> DataFrame:
@@ -39,14 +40,48 @@ def page_plan(
     )
 
 
-def flatten_articles(raw: DataFrame, json: str = "json", query: str = "query") -> DataFrame:
-    """API responses to flat article rows tagged with the query that found them."""
+def parse_responses(raw: DataFrame, json: str = "json", query: str = "query") -> DataFrame:
+    """Every response parsed once: ``category``, ``response`` and the ``reason`` to reject it.
+
+    The reason is NULL for a response to use; otherwise "broken" (not JSON of a
+    response, NULL included), "error" (the API says so) or "no articles".
+    """
+    schema = T.StructType([*API_RESPONSE.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = raw.select(
-        F.col(query).alias("category"),
-        F.from_json(json, API_RESPONSE, {"mode": "PERMISSIVE"}).alias("r"),
-    ).where(F.coalesce(F.col("r.status"), F.lit("")) != "error")
-    a = parsed.select("category", F.explode("r.articles").alias("a"))
-    return a.select(
+        F.col(query).alias("category"), F.col(json).alias("json"), F.from_json(json, schema, options).alias("response")
+    )
+    r = F.col("response")
+    reason = (
+        F.when(r.isNull() | r[CORRUPT].isNotNull(), "broken")
+        .when(r["status"] == "error", "error")
+        .when(F.coalesce(F.size(r["articles"]), F.lit(0)) < 1, "no articles")
+    )
+    return parsed.withColumn("reason", reason)
+
+
+def rejected_responses(raw: DataFrame, json: str = "json", query: str = "query") -> DataFrame:
+    """(category, reason, json) of the responses that give no articles."""
+    return parse_responses(raw, json, query).where("reason IS NOT NULL").select("category", "reason", "json")
+
+
+def article_ids() -> Column:
+    """An id that is the same whenever the same response is flattened again."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("url", "category", "position")]
+    return F.md5(F.concat_ws("\n", *parts))
+
+
+def flatten_articles(
+    raw: DataFrame, json: str = "json", query: str = "query", with_ids: bool = False
+) -> DataFrame:
+    """API responses to flat article rows tagged with the query that found them.
+
+    ``with_ids`` adds ``position`` (of the article in its response, from 0) and
+    ``article_id``, derived from URL, query and position.
+    """
+    parsed = parse_responses(raw, json, query).where("reason IS NULL")
+    a = parsed.select("category", F.posexplode("response.articles").alias("position", "a"))
+    flat = a.select(
         F.col("a.source.id").alias("source_id"),
         F.col("a.source.name").alias("source_name"),
         F.col("a.author").alias("author"),
@@ -57,7 +92,9 @@ def flatten_articles(raw: DataFrame, json: str = "json", query: str = "query") -
         F.col("a.publishedAt").alias("published_at"),
         F.col("a.content").alias("content"),
         "category",
+        "position",
     )
+    return flat.withColumn("article_id", article_ids()) if with_ids else flat.drop("position")
 
 
 def day_slice(df: DataFrame, day: str, col: str = "published_at") -> DataFrame:

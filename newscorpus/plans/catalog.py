@@ -172,22 +172,27 @@ def daily_curation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def incremental_curation(spark: SparkSession, sf: str) -> DataFrame:
-    """The same chain as a stream of landed files, one after another."""
+    """The same chain as a stream of landed files, in two parts with a checkpoint each.
+
+    The second stream is new: it sees the files of the first again.
+    """
     root = scratch.new_path(spark, "incremental")
     rows = b.articles(spark, sf)
-    rows.repartitionByRange(4, "article_id").write.parquet(f"{root}/landed")
-    incremental.incremental_curation(
-        spark,
-        source=f"{root}/landed",
-        schema=rows.schema,
-        target=f"{root}/curated",
-        ledger=f"{root}/ledger",
-        checkpoint=f"{root}/checkpoint",
-        rules=b.SOURCE_RULES,
-        join_pages=lambda df: df.join(b.article_pages(df.sparkSession, sf), "page_key"),
-        max_files=2,
-    )
-    return _curated_columns(incremental.read_curated(spark, f"{root}/curated"))
+    # copies are neighbours by id: a first part whole, then the others
+    early = F.floor(F.col("article_id") / 2) % 3 < 2
+    for part, checkpoint in ((early, "first"), (~early, "second")):
+        rows.where(part).repartition(4, "article_id").write.mode("append").parquet(f"{root}/landed")
+        incremental.incremental_curation(
+            spark,
+            source=f"{root}/landed",
+            schema=rows.schema,
+            target=f"{root}/curated",
+            ledger=f"{root}/ledger",
+            checkpoint=f"{root}/{checkpoint}",
+            rules=b.SOURCE_RULES,
+            join_pages=lambda df: df.join(b.article_pages(df.sparkSession, sf), "page_key"),
+        )
+    return _curated_columns(incremental.read_curated(spark, f"{root}/curated", f"{root}/ledger"))
 
 
 def curated_length_report(spark: SparkSession, sf: str) -> DataFrame:

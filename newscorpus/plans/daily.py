@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newscorpus.functions import text as tx
+from newscorpus.lexicons import STOPWORDS
 from newscorpus.operators import curate, stats
 from newscorpus.operators.extract import extract_body
 from newscorpus.operators.rules import SITE_RULES, Rule
@@ -32,8 +34,11 @@ def curate_articles(
     its NULL key would send all such rows to one task.
     """
     kept = curate.drop_missing(articles, ["url"])
+    # judged in the row, so that the dedupe shuffles no text that goes afterwards
+    wanted = F.coalesce(tx.detect_language(F.col("content"), STOPWORDS) == lang, F.lit(False))
+    kept = kept.withColumn("_wanted", wanted).withColumn("content", F.when(F.col("_wanted"), F.col("content")))
     kept = curate.dedupe_keep_first(kept, ["published_date", "url"], list(order))
-    kept = curate.filter_language(kept, "content", lang)
+    kept = kept.where("_wanted").drop("_wanted")
     if pages is not None:
         kept = kept.join(pages, page_key)
     extracted = extract_body(kept, rules).drop("html")
@@ -46,8 +51,12 @@ def daily_curation(articles: DataFrame, day: str, **options) -> DataFrame:
 
 
 def run_day(spark: SparkSession, source: str, target: str, day: str, **options) -> None:
-    """Curate one day of an article table into ``target``; safe to repeat."""
-    io.overwrite_days(daily_curation(io.read_articles(spark, source), day, **options), target)
+    """Curate one day of an article table into ``target``; safe to repeat.
+
+    The day's directory is replaced whatever comes out, so a rerun that finds
+    nothing leaves nothing of an earlier run; no other day is touched.
+    """
+    io.replace_day(daily_curation(io.read_articles(spark, source), day, **options), target, day)
 
 
 def flagship(articles: DataFrame, **options) -> DataFrame:

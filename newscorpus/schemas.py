@@ -7,6 +7,9 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+#: Where readers put a record that does not fit its schema.
+CORRUPT = "_corrupt_record"
+
 #: One article as the news API nests it.
 API_ARTICLE = T.StructType(
     [

@@ -48,6 +48,18 @@ def overwrite_days(df: DataFrame, path: str) -> None:
     by_day(df).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def replace_day(df: DataFrame, path: str, day: str) -> None:
+    """Make ``df`` the rows of ``day`` (YYYY-MM-DD) in the table at ``path``.
+
+    Exactly that day's directory is replaced, also by nothing: an empty ``df``
+    leaves an empty file there, which keeps the table readable.
+    """
+    rows = df.where(F.col("published_date") == F.lit(day).cast("date")).drop("published_date")
+    rows.hint("rebalance").write.mode("overwrite").option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(
+        f"{path}/published_date={day}"
+    )
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """The article table; filters on ``published_date`` prune directories."""
     return spark.read.parquet(path)

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,11 +75,63 @@ def test_stream_equals_batch(spark, tmp_path, cuts):
         part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/landed")
         incremental.incremental_curation(spark, f"{tmp_path}/landed", **args)
         start += n
-    got = incremental.read_curated(spark, f"{tmp_path}/out")
+    got = incremental.read_curated(spark, f"{tmp_path}/out", f"{tmp_path}/ledger")
     assert {(r["article_id"], r["full_content"]) for r in got.collect()} == KEPT
     # nothing new has landed: another call changes nothing
     incremental.incremental_curation(spark, f"{tmp_path}/landed", **args)
-    assert incremental.read_curated(spark, f"{tmp_path}/out").count() == len(KEPT)
+    assert incremental.read_curated(spark, f"{tmp_path}/out", f"{tmp_path}/ledger").count() == len(KEPT)
+
+
+def test_new_checkpoints_neither_repeat_nor_lose(spark, tmp_path):
+    df = articles(spark, ROWS)
+    out, ledger = f"{tmp_path}/out", f"{tmp_path}/ledger"
+    for k, part in enumerate(("article_id <= 4", "article_id BETWEEN 5 AND 7", "article_id > 7")):
+        df.where(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/landed")
+        for again in range(2):  # each call with a checkpoint of its own sees all files anew
+            incremental.incremental_curation(
+                spark, f"{tmp_path}/landed", df.schema, out, ledger, f"{tmp_path}/cp{k}{again}", rules=RULES
+            )
+    got = incremental.read_curated(spark, out, ledger)
+    assert sorted((r["article_id"], r["full_content"]) for r in got.collect()) == sorted(KEPT)
+    keys = incremental.admitted_keys(spark, ledger)
+    assert keys.count() == keys.select("published_date", "url").distinct().count()
+    # by day, and narrow
+    assert set(keys.columns) == {"url", "stream_id", "batch_id", "published_date"}
+
+
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("fails_at", ["keys", "target"])
+def test_a_failed_batch_does_not_count(spark, tmp_path, monkeypatch, fails_at):
+    """Neither its rows nor its keys, for a replay as well as for a new stream."""
+    df = articles(spark, ROWS)
+    out, ledger = f"{tmp_path}/out", f"{tmp_path}/ledger"
+    args = dict(target=out, ledger=ledger, rules=RULES)
+    for name, schema, by in (
+        ("keys", incremental._KEYS_SCHEMA, [*incremental.BATCH, "published_date"]),
+        ("commits", incremental._COMMITS_SCHEMA, incremental.BATCH),
+    ):
+        incremental._create(spark, f"{ledger}/{name}", schema, by)
+
+    def stop(df, rules):
+        raise Stop
+
+    with monkeypatch.context() as m:
+        if fails_at == "keys":
+            m.setattr(incremental, "extract_body", stop)
+        else:
+            # the commit is the last write: cut off right before it
+            read = incremental.F.count
+            m.setattr(incremental.F, "count", lambda c: stop(c, None) if c == "*" else read(c))
+        with pytest.raises(Stop):
+            incremental.write_batch(df.where("article_id < 6"), "s1", 0, **args)
+    assert incremental.admitted_keys(spark, ledger).count() == 0
+    for stream, batch in (("s1", 0), ("s1", 0), ("s2", 0), ("s2", 1)):
+        incremental.write_batch(df, stream, batch, **args)
+    got = incremental.read_curated(spark, out, ledger)
+    assert sorted((r["article_id"], r["full_content"]) for r in got.collect()) == sorted(KEPT)
 
 
 def test_redelivered_rows_within_the_watermark(spark, tmp_path):
@@ -88,10 +142,66 @@ def test_redelivered_rows_within_the_watermark(spark, tmp_path):
         spark, f"{tmp_path}/landed", df.schema, f"{tmp_path}/out", f"{tmp_path}/ledger",
         f"{tmp_path}/cp", rules=RULES, max_files=1, replay_window="2 days",
     )
-    got = incremental.read_curated(spark, f"{tmp_path}/out")
+    got = incremental.read_curated(spark, f"{tmp_path}/out", f"{tmp_path}/ledger")
     assert {(r["article_id"], r["full_content"]) for r in got.collect()} == KEPT
 
 
+def test_day_rerun_replaces_by_what_there_is(spark, tmp_path):
+    source, target = f"{tmp_path}/src", f"{tmp_path}/out"
+    io.append_articles(articles(spark, ROWS), source)
+    for day in ("2024-01-01", "2024-01-02"):
+        daily.run_day(spark, source, target, day, rules=RULES)
+    io.replace_day(articles(spark, ROWS).where("article_id = 3"), source, "2024-01-02")
+    io.replace_day(articles(spark, ROWS).limit(0), source, "2024-01-01")
+    for day in ("2024-01-01", "2024-01-02", "2024-01-05"):
+        daily.run_day(spark, source, target, day, rules=RULES)
+    got = spark.read.parquet(target).select("article_id", "full_content")
+    assert [tuple(r) for r in got.collect()] == [(3, "body 3")]
+
+
+def test_one_day_prunes_the_others(spark, tmp_path):
+    io.append_articles(articles(spark, ROWS), f"{tmp_path}/t")
+    day = daily.daily_curation(io.read_articles(spark, f"{tmp_path}/t"), "2024-01-02", rules=RULES)
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "published_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_chain_from_responses_to_a_curated_day(spark, tmp_path):
+    def response(*articles_):
+        listed = [
+            {"source": {"id": None, "name": "s"}, "title": "t", "author": "a", "url": u, "content": c,
+             "publishedAt": "2024-01-02T10:00:00Z"} for u, c in articles_
+        ]
+        return json.dumps({"status": "ok", "articles": listed})
+
+    english = "the cat is on the mat"
+    raw = [
+        ("q1", response(("u1", english), ("u2", english), ("u1", "der Hund und die Katze"))),
+        ("q2", response(("u3", "der Hund und die Katze"), (None, english))),
+        ("q3", '{"status": "error"}'), ("q4", '{"status": "ok", "articles": [{"ti'), ("q5", None),
+        ("q6", '{"status": "ok", "articles": []}'), ("q7", '{"status": "ok"}'), ("q8", "[1]"),
+    ]
+    landed = spark.createDataFrame(raw, "query string, json string")
+    flat = curate.flatten_articles(landed, with_ids=True)
+    again = curate.flatten_articles(landed.repartition(5), with_ids=True)
+    assert sorted(r["article_id"] for r in flat.collect()) == sorted(r["article_id"] for r in again.collect())
+    assert flat.select("article_id").distinct().count() == 5
+    io.append_articles(flat, f"{tmp_path}/src")
+    pages = spark.createDataFrame(
+        [(f"u{k}", f"<article><p>body {k}</p></article>") for k in (1, 2, 3)], "url string, html string"
+    )
+    daily.run_day(
+        spark, f"{tmp_path}/src", f"{tmp_path}/out", "2024-01-02", rules=RULES, pages=pages, page_key="url",
+        order=("position", "article_id"),
+    )
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted((r["url"], r["full_content"]) for r in got.collect()) == [("u1", "body 1"), ("u2", "body 2")]
+    rejected = {r["category"]: r["reason"] for r in curate.rejected_responses(landed).collect()}
+    assert rejected == {
+        "q3": "error", "q4": "broken", "q5": "broken", "q6": "no articles", "q7": "no articles", "q8": "broken"
+    }
+
+
 def test_csv_round_trip_keeps_odd_text(spark, tmp_path):
     odd = ['say "hi", x', "two\nlines\r\nhere", " padded ", "back\\slash", 'end"', "éß–", None]
     rows = [tuple([f"id{i}"] + [None] * 7 + [t, "q"]) for i, t in enumerate(odd)]
