@@ -81,7 +81,13 @@ def flatten_articles(
     """
     parsed = parse_responses(raw, json, query).where("reason IS NULL")
     a = parsed.select("category", F.posexplode("response.articles").alias("position", "a"))
-    flat = a.select(
+    flat = article_columns(a, "position")
+    return flat.withColumn("article_id", article_ids()) if with_ids else flat.drop("position")
+
+
+def article_columns(df: DataFrame, *more: str) -> DataFrame:
+    """The flat columns of the nested article ``a``, its category, and ``more``."""
+    return df.select(
         F.col("a.source.id").alias("source_id"),
         F.col("a.source.name").alias("source_name"),
         F.col("a.author").alias("author"),
@@ -92,9 +98,8 @@ def flatten_articles(
         F.col("a.publishedAt").alias("published_at"),
         F.col("a.content").alias("content"),
         "category",
-        "position",
+        *more,
     )
-    return flat.withColumn("article_id", article_ids()) if with_ids else flat.drop("position")
 
 
 def day_slice(df: DataFrame, day: str, col: str = "published_at") -> DataFrame:

@@ -89,6 +89,39 @@ def article_pages(spark: SparkSession, sf: str) -> DataFrame:
     return pages(spark, sf).select(F.col("page_id").alias("page_key"), "html")
 
 
+def url_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """(url, html): the page behind each article URL."""
+    d, n_pages = F.col("doc_id"), spark.read.parquet(f"{sf}/pages.parquet").agg(F.count("*")).scalar()
+    urls = table(spark, sf, "documents").where((d % 2 == 0) & (d % 17 != 0)).select(
+        F.concat(F.lit("https://news.example/"), _id(d)).alias("url"), F.pmod(d, n_pages).alias("page_key")
+    )
+    return urls.join(article_pages(spark, sf), "page_key").drop("page_key")
+
+
+def response_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """One response for each document, some cut off, failed or without articles."""
+    d = F.col("doc_id")
+    article = F.struct(F.substring("text", 1, 60).alias("title"), F.col("text").alias("content"))
+    whole = F.to_json(
+        F.struct(
+            F.when(d % 11 == 5, "error").otherwise("ok").alias("status"),
+            F.when(d % 13 == 6, F.slice(F.array(article), 1, 0)).otherwise(F.array(article)).alias("articles"),
+        )
+    )
+    cut = whole.substr(F.lit(1), F.length(whole) - 7)
+    return table(spark, sf, "documents", "doc_id").select(
+        F.col("source").alias("query"), F.when(d % 9 == 4, cut).otherwise(whole).alias("json")
+    )
+
+
+def csv_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as CSV lines, some with a cell of the wrong type or one too few."""
+    d, quoted = F.col("doc_id"), F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    size = F.when(d % 10 == 3, "many").otherwise(_id(F.col("n_chars")))
+    cells = F.array(_id(d), F.col("lang"), size, F.when(d % 14 != 9, quoted))
+    return table(spark, sf, "documents", "doc_id").select(F.array_join(cells, ",").alias("value"))
+
+
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
     """A user turn as reference, the assistant turn after it as prediction.
 
@@ -157,7 +190,9 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
         F.col("published_at").alias("publishedAt"),
         "content",
     )
-    listed = F.collect_list(F.when(~failed, article))
+    # in the order of ids, so that an article's position is settled
+    found = F.array_sort(F.collect_list(F.when(~failed, F.struct("article_id", article.alias("article")))))
+    listed = F.transform(found, lambda x: x["article"])
     return (
         articles(spark, sf)
         .groupBy(F.col("category").alias("query"), page.alias("page"))

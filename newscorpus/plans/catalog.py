@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newscorpus import lexicons
 from newscorpus.functions import rouge as rg
@@ -18,8 +19,8 @@ from newscorpus.plans import bindings as b
 from newscorpus.plans import daily
 from newscorpus.schemas import ARTICLE, PREDICTION
 from newscorpus.sources import articles as io
+from newscorpus.sources import rejects, scratch
 from newscorpus.sources import scalars as scalar_io
-from newscorpus.sources import scratch
 from newscorpus.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,7 @@ VOCAB_SIZE = 8000
 MAX_INPUT, MAX_TARGET = 512, 128
 SAMPLE_SIZES = {"2k": 2_000, "10k": 10_000, "50k": 50_000}
 DAY = "2024-01-02"
+DAYS = ["2024-01-02", "2024-01-03", "2024-01-04"]
 
 
 def _text(ids: str) -> Column:
@@ -195,6 +197,57 @@ def incremental_curation(spark: SparkSession, sf: str) -> DataFrame:
     return _curated_columns(incremental.read_curated(spark, f"{root}/curated", f"{root}/ledger"))
 
 
+def _landed_days(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """An article table flattened from responses, and a place for its curated days."""
+    source = scratch.new_path(spark, "news_articles")
+    io.append_articles(curate.flatten_articles(b.responses(spark, sf), with_ids=True), source)
+    return source, scratch.new_path(spark, "curated")
+
+
+def _run_days(spark: SparkSession, sf: str, source: str, target: str, days: list[str]) -> None:
+    pages = b.url_pages(spark, sf)
+    for day in days:
+        daily.run_day(
+            spark, source, target, day, rules=b.SOURCE_RULES, pages=pages, page_key="url",
+            order=("position", "article_id"),
+        )
+
+
+def run_day_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Responses, article table, and the curated days of it that were run."""
+    source, target = _landed_days(spark, sf)
+    _run_days(spark, sf, source, target, DAYS[:2])
+    return _curated_columns(io.read_articles(spark, target))
+
+
+def rerun_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Days that are run again after the first lost all its articles and the second some."""
+    source, target = _landed_days(spark, sf)
+    _run_days(spark, sf, source, target, DAYS)
+    rows = curate.flatten_articles(b.responses(spark, sf), with_ids=True)
+    rows = io.with_published_date(rows)
+    io.replace_day(rows.limit(0), source, DAYS[0])
+    io.replace_day(rows.where(F.col("position") % 2 == 0), source, DAYS[1])
+    _run_days(spark, sf, source, target, DAYS[:2])
+    return _curated_columns(io.read_articles(spark, target))
+
+
+def reject_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Broken responses and CSV lines, counted after a write that kept them."""
+    root = scratch.new_path(spark, "landed")
+    b.response_lines(spark, sf).write.json(f"{root}/json")
+    rejects.write_checked(rejects.checked_articles(io.read_responses(spark, f"{root}/json")), f"{root}/articles")
+    b.csv_lines(spark, sf).write.text(f"{root}/csv")
+    schema = T.StructType.fromDDL("doc_id bigint, lang string, n_chars bigint, text string")
+    checked = io.read_csv_corpus(spark, f"{root}/csv", schema, checked=True, header=False)
+    rejects.write_checked(checked, f"{root}/documents")
+
+    def of(table: str) -> DataFrame:
+        return rejects.reject_report(spark, f"{root}/{table}").withColumn("landed", F.lit(table))
+
+    return of("articles").unionByName(of("documents"))
+
+
 def curated_length_report(spark: SparkSession, sf: str) -> DataFrame:
     return daily.flagship(
         b.articles(spark, sf),
@@ -492,14 +545,28 @@ def write_results_json(spark: SparkSession, sf: str) -> DataFrame:
 
 def load_scalars(spark: SparkSession, sf: str) -> DataFrame:
     """Scalars landed as CSV per run, with one unreadable line per run, read back."""
-    loaded = scalar_io.load_partitioned_scalars(spark, _land_scalars(spark, sf))
-    return scalar_io.good_scalars(loaded).select("run", "tag", "step", "seq", "value")
+    scanned = scalar_io.scan_partitioned_scalars(spark, _land_scalars(spark, sf))
+    return scalar_io.good_scalars(scanned)
+
+
+def load_scalars_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Every second run in the wide layout, the others in the long one; one is missing."""
+    path = scratch.new_path(spark, "scalar_logs")
+    wide = F.substring("run", 4, 2).cast("int") % 2 == 0
+    logged = b.scalars(spark, sf)
+    as_wide = runs.scalars_to_wide(logged.where(wide), list(b.TAGS.values()))
+    for rows in (as_wide, logged.where(~wide).select("value", "run", "tag", "step")):
+        rows.write.mode("append").option("header", True).partitionBy("run").csv(path)
+    return scalar_io.load_scalars(spark, _run_paths(path)).drop("seq")
 
 
 def load_scalars_report(spark: SparkSession, sf: str) -> DataFrame:
-    return scalar_io.load_report(
-        scalar_io.load_partitioned_scalars(spark, _land_scalars(spark, sf))
-    )
+    return scalar_io.load_report(scalar_io.scan_scalars(spark, _run_paths(_land_scalars(spark, sf))))
+
+
+def _run_paths(path: str) -> dict[str, str]:
+    """Twelve runs that logged and one that did not."""
+    return {f"run{k}": f"{path}/run=run{k}" for k in range(13)}
 
 
 def _land_scalars(spark: SparkSession, sf: str) -> str:
@@ -628,6 +695,9 @@ QUERIES: dict[str, Query] = {
         extract_body_rules,
         daily_curation,
         incremental_curation,
+        run_day_round_trip,
+        rerun_day,
+        reject_report,
         curated_length_report,
         head_sample,
         nested_samples,
@@ -674,6 +744,7 @@ QUERIES: dict[str, Query] = {
         score_models,
         write_results_json,
         load_scalars,
+        load_scalars_wide,
         load_scalars_report,
         scalars_to_wide,
         scalars_to_long,

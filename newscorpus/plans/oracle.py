@@ -384,6 +384,30 @@ curated AS (
     AND {not_missing("title")} IS NOT NULL AND {not_missing("full_content")} IS NOT NULL)"""
 
 
+LANDED = f"""{ARTICLES},
+landed AS (
+  SELECT *, md5(coalesce(url, '') || chr(10) || category || chr(10) || position) AS key
+  FROM (SELECT *, row_number() OVER (PARTITION BY category, article_id // 500 ORDER BY article_id) - 1 AS position
+        FROM articles)
+  WHERE (article_id % 5 + article_id // 500) % 7 <> 3)"""
+
+
+def _days(rows: str) -> str:
+    """The curated days of the landed articles that ``rows`` selects."""
+    return f"""day_firsts AS (
+  SELECT *, article_id - article_id % 2 AS base FROM (
+    SELECT *, row_number() OVER (PARTITION BY published_date, url ORDER BY position, key) AS rn
+    FROM landed WHERE ({rows}) AND {not_missing("url")} IS NOT NULL) WHERE rn = 1),
+day_bodies AS (
+  SELECT j.*, nullif(array_to_string({flat_paragraphs("p.html")}, ' '), '') AS full_content
+  FROM day_firsts j JOIN pages p ON p.page_id = j.base % (SELECT count(*) FROM pages) AND j.base % 17 <> 0
+  WHERE {language("content")} = 'en')
+SELECT key AS article_id, published_date, source_name, author, title, url, content, full_content
+FROM day_bodies
+WHERE {not_missing("author")} IS NOT NULL AND {not_missing("title")} IS NOT NULL
+  AND {not_missing("full_content")} IS NOT NULL"""
+
+
 def _length_columns() -> str:
     return "max(n) AS max_words, " + ", ".join(
         f"count(*) FILTER (WHERE n > {t}) AS over_{t}" for t in (4000, 2000, 1000, 700, 500)
@@ -488,6 +512,19 @@ SELECT page_id, 'site' || CAST(k AS VARCHAR) AS source_name,
 FROM body""",
     "daily_curation": _with(CURATED) + "SELECT * FROM curated",
     "incremental_curation": _with(CURATED) + "SELECT * FROM curated",
+    "run_day_round_trip": _with(LANDED).rstrip() + ", " + _days(f"published_date IN {_in(catalog.DAYS[:2])}"),
+    "rerun_day": _with(LANDED).rstrip()
+    + ", "
+    + _days(
+        f"published_date = '{catalog.DAYS[2]}' OR (published_date = '{catalog.DAYS[1]}' AND position % 2 = 0)"
+    ),
+    "reject_report": """
+WITH articles AS (
+  SELECT CASE WHEN doc_id % 9 = 4 THEN 'broken' WHEN doc_id % 11 = 5 THEN 'error'
+              WHEN doc_id % 13 = 6 THEN 'no articles' ELSE '' END AS reason FROM documents),
+lines AS (SELECT CASE WHEN doc_id % 10 = 3 OR doc_id % 14 = 9 THEN 'broken' ELSE '' END AS reason FROM documents)
+SELECT 'articles' AS landed, reason, count(*) AS n FROM articles GROUP BY reason
+UNION ALL SELECT 'documents', reason, count(*) FROM lines GROUP BY reason""",
     "curated_length_report": _with(CURATED)
     + f"""SELECT source_name, field, {_length_columns()} FROM (
   SELECT source_name, 'content' AS field, len({words("content")}) AS n FROM curated
@@ -637,9 +674,11 @@ WHERE entity <> '' GROUP BY entity""",
   count(*) AS n_pairs
 FROM keyed q JOIN rouge1 a ON a.k = q.k JOIN rouge2 b ON b.k = q.k GROUP BY model""",
     "load_scalars": _with(SCALARS) + "SELECT run, tag, step, seq, value FROM scalars",
+    "load_scalars_wide": _with(SCALARS) + "SELECT run, tag, step, value FROM scalars",
     "load_scalars_report": _with(SCALARS)
     + """SELECT run, count(*) + count(*) FILTER (WHERE step = 1) AS n_lines,
-  count(*) FILTER (WHERE step = 1) AS n_rejected FROM scalars GROUP BY run""",
+  count(*) FILTER (WHERE step = 1) AS n_rejected, 'ok' AS status FROM scalars GROUP BY run
+UNION ALL SELECT 'run12', 0, 0, 'missing'""",
     "scalars_to_wide": _with(SCALARS, WIDE) + "SELECT * FROM wide",
     "scalars_to_long": _with(SCALARS) + "SELECT run, step, tag, value FROM scalars",
     "loss_curves": _with(SCALARS)

@@ -44,17 +44,6 @@ ARTICLE = _strings(
     "category",
 )
 
-#: Scalar log in long layout; the last column catches unreadable lines.
-SCALARS_LONG = T.StructType(
-    [
-        T.StructField("step", T.LongType()),
-        T.StructField("tag", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("_corrupt_record", T.StringType()),
-    ]
-)
-
 #: One summarization result.
 PREDICTION = T.StructType(
     [

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newscorpus.schemas import ARTICLE
+from newscorpus.schemas import ARTICLE, CORRUPT
 
 
 def with_published_date(df: DataFrame) -> DataFrame:
@@ -109,15 +109,29 @@ def export_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def read_csv_corpus(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_corpus(
+    spark: SparkSession, path: str, schema: T.StructType, checked: bool = False, header: bool = True
+) -> DataFrame:
     """CSV with quotes and line ends inside cells.
 
     A multi-line CSV file cannot be split, so keep such files small and many;
-    the writer above makes one per task.
+    the writer above makes one per task.  A cell that is not of its type, or is
+    not there, reads as NULL; ``checked`` adds what :mod:`newscorpus.sources.rejects`
+    writes: ``reason`` "broken" and the record's ``raw`` text.
     """
+    if checked:
+        wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        # every cell is judged, whatever columns are selected later
+        reader = spark.read.schema(wide).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+        rows = _csv(reader, path, header).withColumnRenamed(CORRUPT, "raw")
+        return rows.withColumn("reason", F.when(F.col("raw").isNotNull(), "broken"))
+    return _csv(spark.read.schema(schema), path, header)
+
+
+def _csv(reader: DataFrameReader, path: str, header: bool) -> DataFrame:
     return (
-        spark.read.schema(schema)
-        .option("header", True)
+        reader
+        .option("header", header)
         .option("multiLine", True)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")

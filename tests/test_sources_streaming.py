@@ -2,12 +2,14 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newscorpus.operators import curate, evaluate
 from newscorpus.operators.rules import Rule, Selector
 from newscorpus.plans import daily
 from newscorpus.schemas import ARTICLE, PREDICTION
 from newscorpus.sources import articles as io
+from newscorpus.sources import rejects
 from newscorpus.sources import scalars as scalar_io
 from newscorpus.streaming import incremental
 
@@ -223,16 +225,63 @@ def test_filter_and_columns_reach_the_scan(spark, tmp_path):
     assert sorted(r["url"] for r in sliced.collect()) == ["u1", "u7", "u8", "u9"]
 
 
-def test_scalar_files_with_broken_lines(spark, tmp_path):
-    a = tmp_path / "a.csv"
-    a.write_text("step,tag,value,seq\n1,x,0.5,1\noops,x,0.6,2\n")
-    b = tmp_path / "b.csv"
-    b.write_text("step,tag,value,seq\n7,y,1.5,1\n")
-    loaded = scalar_io.load_scalars(spark, {"ra": str(a), "rb": str(b)})
-    report = {tuple(r) for r in scalar_io.load_report(loaded).collect()}
-    assert report == {("ra", 2, 1), ("rb", 1, 0)}
-    # a line is judged on all cells even when only some columns are selected
-    assert sorted(r["tag"] for r in scalar_io.good_scalars(loaded).select("tag").collect()) == ["x", "y"]
+def test_scalar_files_by_their_headers(spark, tmp_path):
+    files = {
+        "long": "step,tag,value,seq\n1,x,0.5,1\noops,x,0.6,2\n2,x,,3\n3,x,abc,4\n4,x\n1.5,x,1,5\n",
+        "moved": 'value,wall_time,Tag,STEP\n1.5,99,"a,""b""",7\nNaN,99,y,8.0\n',
+        "wide": "step,train/loss,eval/loss\n1,0.5,\n2,,0.25\n3,x,0.1\n4,1,2,3\n",
+        "empty": "",
+        "bare": "1,x,0.5\n2,x,0.6\n",
+        "junk": "\x00\x01 nothing\n",
+        "only": "step,tag,value\n",
+    }
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    both = tmp_path / "both"  # one run, two layouts
+    both.mkdir()
+    (both / "1.csv").write_text("step,tag,value\n1,x,1\n")
+    (both / "2.csv").write_text("x,step\n2,2\n\n")
+    paths = {n: f"{tmp_path}/{n}.csv" for n in files} | {"both": str(both), "gone": f"{tmp_path}/gone.csv"}
+    scanned = scalar_io.scan_scalars(spark, paths)
+    got = {(r["run"], r["step"], r["tag"], str(r["value"]), r["seq"]) for r in scalar_io.good_scalars(scanned).collect()}
+    assert got == {
+        ("long", 1, "x", "0.5", 1), ("long", 2, "x", "None", 3), ("moved", 7, 'a,"b"', "1.5", None),
+        ("moved", 8, "y", "nan", None), ("wide", 1, "train/loss", "0.5", None), ("wide", 2, "eval/loss", "0.25", None),
+        ("both", 1, "x", "1.0", None), ("both", 2, "x", "2.0", None),
+    }
+    report = {r["run"]: tuple(r)[1:] for r in scalar_io.load_report(scanned).collect()}
+    assert report == {
+        "long": (6, 4, "ok"), "moved": (2, 0, "ok"), "wide": (4, 2, "ok"), "empty": (0, 0, "empty"),
+        "bare": (2, 2, "broken"), "junk": (1, 1, "broken"), "only": (0, 0, "empty"), "both": (2, 0, "ok"),
+        "gone": (0, 0, "missing"),
+    }
+    reasons = {(r["run"], r["reason"]) for r in scalar_io.rejected_scalars(scanned).collect()}
+    assert {r for n, r in reasons if n == "long"} == {"step", "value", "cells"}
+    assert ("bare", "no header") in reasons and ("wide", "cells") in reasons
+    none = scalar_io.scan_scalars(spark, {"gone": f"{tmp_path}/gone.csv"})
+    assert scalar_io.good_scalars(none).count() == 0
+    assert [tuple(r) for r in scalar_io.load_report(none).collect()] == [("gone", 0, 0, "missing")]
+
+
+def test_rejects_are_written_beside_the_good_rows(spark, tmp_path):
+    good = '{"status":"ok","articles":[{"title":"t"},{"title":"u"}]}'
+    raw = [("q", good), ("q", good[:-4]), ("q", None), ("q", '{"status":"error"}'), ("q", '{"status":"ok"}')]
+    landed = spark.createDataFrame(raw, "query string, json string")
+    path = f"{tmp_path}/articles"
+    rejects.write_checked(rejects.checked_articles(landed), path)
+    assert sorted(r["title"] for r in rejects.read_good(spark, path).collect()) == ["t", "u"]
+    assert set(ARTICLE.fieldNames()) <= set(rejects.read_good(spark, path).columns)
+    found = {tuple(r) for r in rejects.read_rejects(spark, path).collect()}
+    assert found == {
+        ("broken", good[:-4]), ("broken", None), ("error", '{"status":"error"}'), ("no articles", '{"status":"ok"}')
+    }
+    plan = rejects.read_good(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "rejected" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    (tmp_path / "c.csv").write_text('a,b\n1,"x\ny"\nz,q\n3\n4,"r"\n')
+    checked = io.read_csv_corpus(spark, f"{tmp_path}/c.csv", T.StructType.fromDDL("a bigint, b string"), checked=True)
+    rejects.write_checked(checked, f"{tmp_path}/csv")
+    assert sorted(map(tuple, rejects.read_good(spark, f"{tmp_path}/csv").collect())) == [(1, "x\ny"), (4, "r")]
+    assert {tuple(r) for r in rejects.reject_report(spark, f"{tmp_path}/csv").collect()} == {("", 2), ("broken", 2)}
 
 
 def test_metric_and_result_files(spark, tmp_path):
