@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newscorpus.functions import text as tx
 from newscorpus.operators import evaluate, lookup
@@ -17,16 +20,14 @@ Scorer = Callable[[list[str]], list[str]]
 
 # Model families, the sizes each was trained at and its task type.
 MODEL_CONFIG: dict[str, dict] = {
-    "T5 Base": {"type": "t5", "base_model": "t5-base", "sizes": ["2k", "10k", "50k"]},
-    "T5 Large": {"type": "t5", "base_model": "t5-large", "sizes": ["2k", "10k", "50k"]},
+    "T5 Base": {"type": "t5", "sizes": ["2k", "10k", "50k"]},
+    "T5 Large": {"type": "t5", "sizes": ["2k", "10k", "50k"]},
     "Pegasus Base": {
         "type": "pegasus",
-        "base_model": "google/pegasus-arxiv",
         "sizes": ["2k", "10k", "50k"],
     },
     "Pegasus CNN": {
         "type": "pegasus",
-        "base_model": "google/pegasus-cnn_dailymail",
         "sizes": ["2k", "10k", "50k"],
     },
 }
@@ -48,13 +49,14 @@ def summarize_corpus(
     id_col: str = "article_id",
     text: str = "article",
     reference: str = "highlights",
-    max_input_words: int = 512,
+    max_input_words: int | None = None,
 ) -> DataFrame:
     """Run a plug-in summarizer over every article in Arrow batches.
 
     ``load_scorer`` is called once per task and its result sees whole batches.
-    Python receives the model input, cut to ``max_input_words``, and nothing
-    else; ids and full texts stay in the JVM.
+    Python receives the model input and nothing else; ids stay in the JVM.  With
+    ``max_input_words``, for a model that takes no more, the input is cut there;
+    without it the model gets the whole text.
     """
 
     @F.pandas_udf("string")
@@ -66,7 +68,7 @@ def summarize_corpus(
     columns = {
         "article_id": F.col(id_col).cast("bigint"),
         "original_text": F.col(text),
-        "summary": summary(tx.lead(F.col(text), max_input_words)),
+        "summary": summary(F.col(text) if max_input_words is None else tx.lead(F.col(text), max_input_words)),
         "original_summary": F.col(reference),
     }
     return df.select(*[columns[f.name].alias(f.name) for f in PREDICTION.fields])
@@ -100,38 +102,54 @@ def sentence_scores(df: DataFrame, id_col: str, text: str) -> DataFrame:
     )
 
 
-def rank_sentences(scores: DataFrame, id_col: str, k: int | None = None) -> DataFrame:
-    """Rank 1, 2, 3 … per document, best score first, earlier position on ties."""
-    w = Window.partitionBy(id_col).orderBy(F.desc("score"), "pos")
-    ranked = scores.withColumn("rank", F.row_number().over(w))
-    return ranked if k is None else ranked.where(F.col("rank") <= k)
+def _term_lines(pieces: Column, unicode_words: bool = True) -> Column:
+    """The terms of each piece as one line; a row's lines are one string."""
+    lines = F.transform(pieces, lambda s: F.array_join(tx.terms(s, unicode_words=unicode_words), " "))
+    return F.array_join(lines, "\n")
 
 
-def block_repeats(
-    ranked: DataFrame, id_col: str, rank: str = "rank", sentence: str = "sentence", n: int = 3
-) -> DataFrame:
-    """Drop a sentence that shares an n-gram with a better-ranked one of its document.
+def unrepeated(sentences: Column, order: Column, n: int = 3) -> Column:
+    """Positions of the sentences to keep, in ``order`` (positions, the best first).
 
-    For each (document, n-gram) only the best rank matters, so no pairs of
-    sentences are formed; and only n-grams of more than one sentence are joined
-    back.
+    A greedy choice inside the row: a sentence goes if it shares an n-gram with one
+    that was kept, so a dropped sentence blocks no other.  Python gets the row's
+    terms as one string and looks at each n-gram once.
     """
-    grams = ranked.select(
-        id_col, rank, F.explode(tx.ngrams(tx.terms(F.col(sentence)), n)).alias("gram")
-    )
-    repeated = (
-        grams.groupBy(id_col, "gram")
-        .agg(F.min(rank).alias("best"), F.max(rank).alias("worst"))
-        .where(F.col("best") < F.col("worst"))
-        .select(id_col, "gram", "best")
-    )
-    blocked = (
-        grams.join(repeated, [id_col, "gram"])
-        .where(F.col(rank) > F.col("best"))
-        .select(id_col, rank)
-        .distinct()
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def choose(texts: pd.Series, orders: pd.Series) -> pd.Series:
+        return pd.Series([_greedy(t, o, n) for t, o in zip(texts, orders, strict=True)], dtype=object)
+
+    return choose(_term_lines(sentences), order)
+
+
+def _greedy(text: str | None, order: Sequence[int] | None, n: int) -> list[int] | None:
+    if text is None or order is None:
+        return None
+    lines = [line.split() for line in text.split("\n")]
+    seen: set[tuple[str, ...]] = set()
+    kept = []
+    for i in order:
+        grams = set(zip(*(lines[i][k:] for k in range(n))))
+        if seen.isdisjoint(grams):
+            kept.append(int(i))
+            seen |= grams
+    return kept
+
+
+def block_repeats(df: DataFrame, sentences: str, n: int = 3) -> DataFrame:
+    """Sentences (an array, best first) without those that repeat an n-gram of a better one kept.
+
+    The array becomes one of structs (pos, sentence).
+    """
+    order = F.transform(F.col(sentences), lambda _, i: i)
+    kept = tx.let(
+        F.struct(F.col(sentences).alias("s"), F.col("_kept").alias("at")),
+        lambda x: F.transform(
+            x["at"], lambda i: F.struct(i.cast("bigint").alias("pos"), F.get(x["s"], i).alias("sentence"))
+        ),
     )
-    return ranked.join(blocked, [id_col, rank], "left_anti")
+    return df.withColumn("_kept", unrepeated(F.col(sentences), order, n)).withColumn(sentences, kept).drop("_kept")
 
 
 def extractive_summary(
@@ -142,22 +160,25 @@ def extractive_summary(
     no_repeat_ngram: int | None = None,
     name: str = "summary",
 ) -> DataFrame:
-    """The k best sentences of each document in text order, joined by ``'. '``."""
-    scores = sentence_scores(df, id_col, text)
-    if no_repeat_ngram is None:
-        chosen = rank_sentences(scores, id_col, k)
-    else:
-        sents = df.select(id_col, F.posexplode(tx.sentences(F.col(text))).alias("pos", "sentence"))
-        ranked = rank_sentences(scores, id_col).join(sents, [id_col, "pos"])
-        kept = block_repeats(ranked, id_col, n=no_repeat_ngram).select(id_col, "pos", "score")
-        chosen = rank_sentences(kept, id_col, k)
-    picks = chosen.groupBy(id_col).agg(F.sort_array(F.collect_list("pos")).alias("_at"))
-    joined = df.join(picks, id_col, "left")
+    """The k best sentences of each document in text order, joined by ``'. '``.
+
+    A document's scores come back to it as one array; order, repeats and choice
+    are worked out in its row.
+    """
+    scored = sentence_scores(df, id_col, text)
+    best = scored.groupBy(id_col).agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("less"), "pos"))).getField("pos").alias("_best")
+    )
+    joined = df.join(best, id_col, "left")
+
+    sents = tx.sentences(F.col(text))
+    if no_repeat_ngram is not None:
+        joined = joined.withColumn("_best", unrepeated(sents, F.col("_best"), no_repeat_ngram))
     summary = tx.let(
-        tx.sentences(F.col(text)),
-        lambda s: F.array_join(F.transform(F.col("_at"), lambda i: F.get(s, i)), ". "),
+        F.struct(sents.alias("s"), F.sort_array(F.slice("_best", 1, k)).alias("at")),
+        lambda x: F.array_join(F.transform(x["at"], lambda i: F.get(x["s"], i)), ". "),
     )
-    return joined.withColumn(name, F.coalesce(summary, F.lit(""))).drop("_at")
+    return joined.withColumn(name, F.coalesce(summary, F.lit(""))).drop("_best")
 
 
 def model_variants(config: Mapping[str, dict] | None = None) -> list[tuple[str, str]]:
@@ -195,3 +216,56 @@ def score_models(
     """Corpus ROUGE per model."""
     scored = evaluate.score_pairs(compared, metrics, prediction="summary", reference=reference)
     return evaluate.rouge_corpus(scored, metrics, by=["model"])
+
+
+def score_leads(
+    df: DataFrame, text: str, reference: str, sizes: Mapping[str, int], metrics: Sequence[str] = ("rouge1", "rouge2")
+) -> DataFrame:
+    """Corpus ROUGE-N of lead summaries of several lengths, as :func:`score_models` gives it.
+
+    A shorter lead is a prefix of a longer one, so the text is cut and matched once:
+    an n-gram of the longest lead is a match, in every lead that holds it, if the
+    reference has it more often than the lead before it.  A lead's matches are
+    those that end within it.
+    """
+    orders, lengths = [int(m.removeprefix("rouge")) for m in metrics], list(sizes.values())
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def scores(leads: pd.Series, references: pd.Series) -> pd.Series:
+        rows = zip(leads, references, strict=True)
+        return pd.Series([_lead_scores(a, b, lengths, orders) for a, b in rows], dtype=object)
+
+    words = F.slice(tx.words(F.coalesce(F.col(text), F.lit(""))), 1, max(lengths))
+    whole = F.array(F.coalesce(F.col(reference), F.lit("")))
+    found = scores(_term_lines(words, unicode_words=False), _term_lines(whole, unicode_words=False))
+    n = len(metrics)
+    each = df.select(found.alias("f1")).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(model).alias("model"), *[F.get("f1", n * i + j).alias(m) for j, m in enumerate(metrics)])
+                    for i, model in enumerate(sizes)
+                ]
+            )
+        )
+    )
+    return each.groupBy("model").agg(*[F.round(F.avg(m), 4).alias(m) for m in metrics], F.count("*").alias("n_pairs"))
+
+
+def _lead_scores(lead: str, reference: str, lengths: Sequence[int], orders: Sequence[int]) -> list[float]:
+    """F1 of each lead, for each n-gram order; a word is a line of its terms."""
+    per_word = [line.split() for line in lead.split("\n")]
+    tokens, ref = [t for terms in per_word for t in terms], reference.split()
+    ends = list(accumulate(map(len, per_word)))
+    n_tokens = [ends[min(size, len(ends)) - 1] for size in lengths]
+    columns = []
+    for n in orders:
+        room = Counter(zip(*(ref[k:] for k in range(n))))
+        matched = [0]
+        for gram in zip(*(tokens[k:] for k in range(n))):
+            matched.append(matched[-1] + (room[gram] > 0))
+            room[gram] -= 1
+        rest = max(len(ref) - n + 1, 0)
+        own = [max(t - n + 1, 0) for t in n_tokens]
+        columns.append([2.0 * matched[g] / (g + rest) if matched[g] else 0.0 for g in own])
+    return [f1 for row in zip(*columns) for f1 in row]

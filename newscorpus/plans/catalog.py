@@ -501,37 +501,32 @@ def extractive_summary_blocked(spark: SparkSession, sf: str) -> DataFrame:
 
 def block_repeats(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences ranked by position; later repeats of a 3-gram go."""
-    sents = b.summaries(spark, sf).select(
-        "article_id", F.posexplode(tx.sentences(F.col("article"))).alias("pos", "sentence")
-    )
-    return summarize.block_repeats(sents.withColumns(_long("pos")), "article_id", rank="pos")
+    sents = b.summaries(spark, sf).select("article_id", tx.sentences(F.col("article")).alias("kept"))
+    return summarize.block_repeats(sents, "kept").select("article_id", F.inline("kept"))
 
 
-def _lead_summarizers() -> dict[str, Column]:
+def _lead_sizes() -> dict[str, int]:
     """A lead summary of its own length for each configured variant."""
-    return {
-        model: tx.lead(F.col("article"), 10 * (i + 1))
-        for i, (model, _) in enumerate(summarize.model_variants())
-    }
+    return {model: 10 * (i + 1) for i, (model, _) in enumerate(summarize.model_variants())}
+
+
+def _leads(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, Column]]:
+    """Articles cut into words once, and each variant's summary from those."""
+    words = tx.words(F.col("article")).alias("words")
+    cut = b.summaries(spark, sf).select("article_id", F.slice(words, 1, max(_lead_sizes().values())).alias("words"))
+    return cut, {m: F.array_join(F.slice("words", 1, n), " ") for m, n in _lead_sizes().items()}
 
 
 def compare_models(spark: SparkSession, sf: str) -> DataFrame:
-    return summarize.compare_models(
-        b.summaries(spark, sf), _lead_summarizers(), keep=["article_id"]
-    )
+    return summarize.compare_models(*_leads(spark, sf), keep=["article_id"])
 
 
 def compare_models_wide(spark: SparkSession, sf: str) -> DataFrame:
-    return summarize.compare_models_wide(
-        b.summaries(spark, sf), _lead_summarizers(), keep=["article_id"]
-    )
+    return summarize.compare_models_wide(*_leads(spark, sf), keep=["article_id"])
 
 
 def score_models(spark: SparkSession, sf: str) -> DataFrame:
-    compared = summarize.compare_models(
-        b.summaries(spark, sf), _lead_summarizers(), keep=["article_id", "highlights"]
-    )
-    return summarize.score_models(compared, "highlights")
+    return summarize.score_leads(b.summaries(spark, sf), "article", "highlights", _lead_sizes())
 
 
 def write_results_json(spark: SparkSession, sf: str) -> DataFrame:

@@ -172,7 +172,7 @@ def _padded(col: str, n: str) -> str:
 
 
 def _with(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
 # --- ROUGE -----------------------------------------------------------------
@@ -344,17 +344,20 @@ FROM summaries s LEFT JOIN (
 
 
 def _trigrams(source: str, rank: str) -> str:
-    """Sentences of ``source`` without a 3-gram of a better-ranked one, as ``kept``."""
-    return f"""tri_tok AS (SELECT article_id, {rank} AS rk, {terms("sentence")} AS t FROM {source}),
-tri AS (SELECT DISTINCT article_id, rk, unnest({grams("t", 3)}) AS g FROM tri_tok),
-tri_best AS (SELECT article_id, g, min(rk) AS best FROM tri GROUP BY article_id, g),
-tri_bad AS (
-  SELECT DISTINCT t.article_id, t.rk
-  FROM tri t JOIN tri_best b ON b.article_id = t.article_id AND b.g = t.g WHERE t.rk > b.best),
+    """Sentences of ``source`` without a 3-gram of a better-ranked one that is kept, as ``kept``."""
+    return f"""tri AS (
+  SELECT article_id, rk, list_distinct({grams("t", 3)}) AS g,
+         row_number() OVER (PARTITION BY article_id ORDER BY rk) AS k
+  FROM (SELECT article_id, {rank} AS rk, {terms("sentence")} AS t FROM {source})),
+fold AS (
+  SELECT article_id, rk, k, g AS seen, true AS keeps FROM tri WHERE k = 1
+  UNION ALL
+  SELECT t.article_id, t.rk, t.k,
+         CASE WHEN list_has_any(f.seen, t.g) THEN f.seen ELSE list_concat(f.seen, t.g) END,
+         NOT list_has_any(f.seen, t.g)
+  FROM fold f JOIN tri t ON t.article_id = f.article_id AND t.k = f.k + 1),
 kept AS (
-  SELECT * FROM {source} s
-  WHERE NOT EXISTS (SELECT 1 FROM tri_bad b
-                    WHERE b.article_id = s.article_id AND b.rk = s.{rank}))"""
+  SELECT s.* FROM {source} s JOIN fold f ON f.article_id = s.article_id AND f.rk = s.{rank} WHERE f.keeps)"""
 
 
 LEADS = [

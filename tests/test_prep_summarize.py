@@ -76,17 +76,53 @@ def test_join_by_frequency_is_the_inner_join(spark, heavy):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_block_repeats_equals_brute_force(spark):
+def greedy(sentences, n):
+    kept, seen = [], set()
+    for k, s in enumerate(sentences):
+        own = {tuple(s.split()[i : i + n]) for i in range(len(s.split()) - n + 1)}
+        if not own & seen:
+            kept.append((k, s))
+            seen |= own
+    return kept
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_block_repeats_is_greedy(spark, n):
     rng = random.Random(8)
-    rows = [(d, k, " ".join(rng.choice("abc") for _ in range(rng.randint(1, 5)))) for d in range(20) for k in range(1, 8)]
-    df = spark.createDataFrame(rows, "id int, rank int, sentence string")
-    got = {(r["id"], r["rank"]) for r in summarize.block_repeats(df, "id").collect()}
-    tri = lambda s: {tuple(s.split()[i : i + 3]) for i in range(len(s.split()) - 2)}
-    want = {
-        (d, k) for d, k, s in rows
-        if not any(d2 == d and k2 < k and tri(s) & tri(s2) for d2, k2, s2 in rows)
+    docs = [[" ".join(rng.choice("abc") for _ in range(rng.randint(1, 5))) for _ in range(7)] for _ in range(20)]
+    # the second goes for the first; the third shares with the second only, and stays
+    docs += [["a b c d", "b c d e f", "d e f g"], [], ["", "..", "x"]]
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, s array<string>").union(
+        spark.createDataFrame([(99, None)], "id int, s array<string>")
+    )
+    got = {r["id"]: r["s"] and [tuple(x) for x in r["s"]] for r in summarize.block_repeats(df, "s", n).collect()}
+    assert got.pop(99) is None
+    assert got == {i: greedy(s, n) for i, s in enumerate(docs)} or {k: v or [] for k, v in got.items()} == {
+        i: greedy(s, n) for i, s in enumerate(docs)
     }
-    assert got == want
+    assert n < 3 or [k for k, _ in got[20]] == [0, 2]
+
+
+def test_block_repeats_adds_no_exchange(spark):
+    df = spark.createDataFrame([(1, ["a b c"])], "id int, s array<string>")
+    assert "Exchange" not in summarize.block_repeats(df, "s")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lead_scores_equal_scoring_each_lead(spark):
+    rng = random.Random(9)
+    vocabulary = ["a", "b", "C-d", "é", "x1", "...", "a.b.a"]
+    rows = [
+        (i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60))), " ".join(rng.choice("abcdx") for _ in range(rng.randint(0, 9))))
+        for i in range(30)
+    ] + [(90, "", ""), (91, "a", ""), (92, "", "a"), (93, "a a a", "a"), (94, None, "a")]
+    df = spark.createDataFrame(rows, "id int, t string, r string")
+    sizes = {"m1": 1, "m7": 7, "m40": 40}
+    got = summarize.score_leads(df, "t", "r", sizes)
+    filled = df.na.fill("")
+    leads = {m: summarize.tx.lead(F.col("t"), n) for m, n in sizes.items()}
+    want = summarize.score_models(summarize.compare_models(filled, leads, ["r"]), "r")
+    as_rows = lambda d: sorted(map(tuple, d.select("model", "rouge1", "rouge2", "n_pairs").collect()))
+    assert as_rows(got) == as_rows(want)
 
 
 def test_extractive_summary_keeps_text_order(spark):
