@@ -55,12 +55,16 @@ def rouge_corpus(
     )
 
 
-def _poisson_thresholds(limit: int = 10) -> list[int]:
-    """Cumulative Poisson(1) probabilities scaled to 32-bit integers."""
-    total, out = 0.0, []
-    for k in range(limit):
+def _poisson_thresholds() -> list[int]:
+    """Cumulative Poisson(1) probabilities scaled to 32-bit integers.
+
+    As many as such a draw can tell apart: the last one is its greatest value.
+    """
+    total, out, k = 0.0, [], 0
+    while not out or out[-1] < 2**32 - 1:
         total += math.exp(-1.0) / math.factorial(k)
         out.append(int(total * 2**32))
+        k += 1
     return out
 
 

@@ -502,7 +502,9 @@ def extractive_summary_blocked(spark: SparkSession, sf: str) -> DataFrame:
 def block_repeats(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences ranked by position; later repeats of a 3-gram go."""
     sents = b.summaries(spark, sf).select("article_id", tx.sentences(F.col("article")).alias("kept"))
-    return summarize.block_repeats(sents, "kept").select("article_id", F.inline("kept"))
+    kept = summarize.block_repeats(sents, "kept")
+    # the outer form: for the inner one the choice would also be made below, in a filter on its size
+    return kept.select("article_id", F.inline_outer("kept")).where("pos IS NOT NULL")
 
 
 def _lead_sizes() -> dict[str, int]:

@@ -7,7 +7,7 @@ stemming have no entry; tests check those by brute force on small fixtures.
 from __future__ import annotations
 
 from newscorpus import lexicons
-from newscorpus.operators import evaluate, summarize
+from newscorpus.operators import summarize
 from newscorpus.operators.extract import ENTITIES
 from newscorpus.plans import bindings, catalog
 
@@ -295,9 +295,11 @@ FROM sizes"""
 
 
 def _bootstrap(reps: int) -> str:
-    weight = " + ".join(
-        f"CASE WHEN u >= {t} THEN 1 ELSE 0 END" for t in evaluate.POISSON_THRESHOLDS
-    )
+    # cumulative Poisson(1) probabilities in 32 bits, worked out by this engine
+    table = """(SELECT list(t) FROM (
+  SELECT CAST(floor(4294967296 * sum(exp(-1) / factorial(CAST(k AS INTEGER))) OVER (ORDER BY k)) AS UBIGINT) AS t
+  FROM range(13) AS p(k)))"""
+    weight = f"len(list_filter({table}, lambda t: u >= t))"
     return (
         _with(ROUGE_BOTH)
         + f"""SELECT metric, {single("quantile_cont(mean, 0.025)")} AS low,
