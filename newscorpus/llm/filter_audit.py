@@ -71,13 +71,15 @@ class Lattice:
 def repeats_smaller(df: DataFrame, id_col: str, digest_col: str, out: str) -> DataFrame:
     """``df`` with ``out``: whether a row of a smaller id has the same digest.
 
-    The least ids combine before they are shuffled and come back by a join whose
-    large groups adaptive execution can split.  A NULL id is smaller than all.
+    The least ids combine before they are shuffled, and come back by a join on
+    digest and id, so a large group of copies is no hot key.  A NULL id is
+    smaller than all.
     """
-    key, order = named(digest_col), F.struct(named(id_col).isNotNull(), named(id_col))
-    least = df.groupBy(key.alias("_of")).agg(F.min(order).alias("_least"))
+    key, order = named(digest_col), F.struct(named(id_col).isNotNull().alias("known"), named(id_col).alias("id"))
+    least = df.groupBy(key.alias("_of")).agg(F.min(order).alias("_least")).withColumn("_first", F.lit(True))
     rows = df.select(F.struct("*").alias("_row"), key.alias("_of"), order.alias("_order"))
-    return rows.join(least, "_of").select("_row.*", (F.col("_order") > F.col("_least")).alias(out))
+    same = (rows["_of"] == least["_of"]) & rows["_order"].eqNullSafe(least["_least"])
+    return rows.join(least, same, "left").select("_row.*", F.col("_first").isNull().alias(out))
 
 
 def audit(
