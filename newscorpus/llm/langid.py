@@ -19,6 +19,8 @@ DIMENSIONS = 512
 SEED = 20240229
 #: Characters that are handled at once.
 CHUNK = 1 << 21
+#: Trigram vectors that are made at a time.
+BLOCK = 1 << 12
 #: Most languages that a model may hold; more is an error.
 MAX_LANGUAGES = 2000
 UNDETERMINED = "und"
@@ -91,13 +93,13 @@ def _profiles(column) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         key, count = np.unique(key, return_counts=True)
         grams, at = np.unique(key & ((1 << 3 * bits) - 1), return_inverse=True)
         # bounded: a block of vectors at a time
-        for low in range(0, len(grams), 1 << 15):
-            block = (at >= low) & (at < low + (1 << 15))
+        for low in range(0, len(grams), BLOCK):
+            block = (at >= low) & (at < low + BLOCK)
             yield (
                 np.array(rows)[key[block] >> 3 * bits],
                 at[block] - low,
                 count[block].astype(np.float32),
-                _bound(letters, grams[low : low + (1 << 15)], bits),
+                _bound(letters, grams[low : low + BLOCK], bits),
             )
 
 

@@ -21,7 +21,7 @@ SPACE = "▁"
 INDEX_CHARS = 1 << 19
 #: Characters of texts that are encoded together.
 RUN_CHARS = 1 << 21
-#: Words whose ids a worker remembers.
+#: Words whose ids a task remembers.
 CACHE_WORDS = 150_000
 #: Longer words are merged one by one, with a heap.
 ROUND_CHARS = 48
@@ -288,6 +288,7 @@ def encode(
                 if decoded:
                     columns.append(pa.array([_decoded(i, v.surface) for i in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names)
+        v.known.clear()  # the worker goes on to other tasks
 
     schema = f"id {kind}, text string, ids array<int>" + (", decoded string" if decoded else "")
     return docs.mapInArrow(of, schema)
