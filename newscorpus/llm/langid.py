@@ -18,7 +18,7 @@ DIMENSIONS = 512
 #: Seed of the letters' random vectors.
 SEED = 20240229
 #: Characters that are handled at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: Trigram vectors that are made at a time.
 BLOCK = 1 << 12
 #: Most languages that a model may hold; more is an error.
