@@ -149,4 +149,5 @@ def read_eval_metrics(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema("step bigint, tag string, value double, run string")
         .option("header", True)
         .csv(path)
+        .select("tag", "value", "run", "step")
     )
