@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newscorpus.functions import text as tx
-from newscorpus.operators import lookup
+from newscorpus.operators import lookup, topn
 
 PAD, END, UNKNOWN, FIRST_WORD = 0, 1, 2, 3
 IGNORED_LABEL = -100
@@ -20,21 +20,14 @@ PAIR_COLUMNS: dict[str, list[str]] = {
 }
 
 
-def head_sample(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
-    """The first n rows along an explicit order (a distributed top-n)."""
-    return df.orderBy(*order).limit(n)
+def head_sample(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first n rows along an explicit order, in that order."""
+    return topn.first_rows(df, n, order, rank="_rank").orderBy("_rank").drop("_rank")
 
 
-def nested_samples(
-    df: DataFrame, sizes: Mapping[str, int], order: Sequence[str | Column]
-) -> DataFrame:
-    """The first n rows for every named size, tagged ``sample``.
-
-    The table is cut to the largest size before rows are numbered, so the
-    unpartitioned window sees at most that many rows.
-    """
-    head = head_sample(df, max(sizes.values()), order)
-    ranked = head.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+def nested_samples(df: DataFrame, sizes: Mapping[str, int], order: Sequence[str]) -> DataFrame:
+    """The first n rows for every named size, tagged ``sample``; ``rank`` counts from 1."""
+    ranked = topn.first_rows(df, max(sizes.values()), order)
     options = F.array(
         *[F.struct(F.lit(k).alias("sample"), F.lit(v).alias("size")) for k, v in sizes.items()]
     )
@@ -90,18 +83,12 @@ def build_vocab(df: DataFrame, cols: Sequence[str], size: int) -> DataFrame:
     """The ``size`` most frequent words of ``cols`` with ids from 3 up.
 
     Counting combines map-side, so a frequent word costs one row per task; the
-    numbering window only sees the ``size`` rows that are left.
+    words are numbered range by range.
     """
     tokens = F.flatten(F.array(*[F.coalesce(tx.words(F.col(c)), _no_words()) for c in cols]))
-    top = (
-        df.select(F.explode(tokens).alias("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(size)
-    )
-    order = Window.orderBy(F.desc("n"), F.col("word"))
-    return top.withColumn("id", (F.row_number().over(order) + (FIRST_WORD - 1)).cast("int"))
+    counted = df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    top = topn.first_rows(counted, size, ["n", "word"], descending=["n"], rank="id")
+    return top.withColumn("id", (F.col("id") + (FIRST_WORD - 1)).cast("int"))
 
 
 def _no_words() -> Column:

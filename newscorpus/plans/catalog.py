@@ -27,7 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 VOCAB_SIZE = 8000
 MAX_INPUT, MAX_TARGET = 512, 128
-SAMPLE_SIZES = {"2k": 2_000, "10k": 10_000, "50k": 50_000}
+SAMPLE_SIZES = {"50": 50, "150": 150, "2k": 2_000, "10k": 10_000, "50k": 50_000}
+HEAD_SIZE = 150
 DAY = "2024-01-02"
 DAYS = ["2024-01-02", "2024-01-03", "2024-01-04"]
 
@@ -261,7 +262,7 @@ def curated_length_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def head_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return prep.head_sample(b.summaries(spark, sf), SAMPLE_SIZES["2k"], ["article_id"]).select(
+    return prep.head_sample(b.summaries(spark, sf), HEAD_SIZE, ["article_id"]).select(
         "article_id", "highlights"
     )
 

@@ -536,7 +536,7 @@ UNION ALL SELECT 'documents', reason, count(*) FROM lines GROUP BY reason""",
   UNION ALL SELECT source_name, 'full_content', len({words("full_content")}) FROM curated)
 GROUP BY source_name, field""",
     "head_sample": _with(SUMMARIES)
-    + """SELECT article_id, highlights FROM summaries ORDER BY article_id LIMIT 2000""",
+    + f"""SELECT article_id, highlights FROM summaries ORDER BY article_id LIMIT {catalog.HEAD_SIZE}""",
     "nested_samples": _with(SUMMARIES)
     + f"""SELECT article_id, rank, sample FROM (
   SELECT article_id, row_number() OVER (ORDER BY article_id) AS rank FROM summaries) r
