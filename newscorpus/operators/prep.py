@@ -83,12 +83,12 @@ def build_vocab(df: DataFrame, cols: Sequence[str], size: int) -> DataFrame:
     """The ``size`` most frequent words of ``cols`` with ids from 3 up.
 
     Counting combines map-side, so a frequent word costs one row per task; the
-    words are numbered range by range.
+    words are numbered range by range.  Rows come in the order of their ids.
     """
     tokens = F.flatten(F.array(*[F.coalesce(tx.words(F.col(c)), _no_words()) for c in cols]))
     counted = df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     top = topn.first_rows(counted, size, ["n", "word"], descending=["n"], rank="id")
-    return top.withColumn("id", (F.col("id") + (FIRST_WORD - 1)).cast("int"))
+    return top.withColumn("id", (F.col("id") + (FIRST_WORD - 1)).cast("int")).orderBy("id")
 
 
 def _no_words() -> Column:
