@@ -200,6 +200,6 @@ def identify(df: DataFrame, model: Profiles, id_col: str = "doc_id", text_col: s
 def keep_identified(df: DataFrame, model: Profiles, text_col: str = "text", at_least: float = 0.0) -> DataFrame:
     """``df`` without the rows whose language stays undetermined or below ``at_least``."""
     guess = predict(F.coalesce(named(text_col), F.lit("")), model)
-    marked = df.withColumn("_guess", guess)
-    sure = (F.col("_guess.lang_pred") != UNDETERMINED) & (F.col("_guess.score") >= at_least)
-    return marked.where(sure).drop("_guess")
+    marked = df.select(F.struct("*").alias("row"), guess.alias("guess"))
+    sure = (F.col("guess.lang_pred") != UNDETERMINED) & (F.col("guess.score") >= at_least)
+    return marked.where(sure).select("row.*")

@@ -56,7 +56,7 @@ RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", needs=("PRIVATE KEY",)),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", needs=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", needs=("xox",)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", needs=("eyJ",)),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", needs=("eyJ",)),
     Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s:@/]{1,64}:[^\s:@/]{3,64}@", needs=("://",)),
 )
 BASE = ("assign", "access", "hex")
@@ -149,17 +149,22 @@ def findings(
 def redacted(df: DataFrame, path: str, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """``df`` with every span found in its texts replaced by ``mark``.
 
-    Overlapping and touching spans become one mark; NULL stays NULL.
+    Overlapping and touching spans become one mark; NULL stays NULL, texts
+    without spans stay as they are, columns of any name stay.
     """
     held = findings(df, path, text_col, text_col).where(F.size("findings") > 0)
-    held = held.groupBy("blob").agg(F.first("findings").alias("_found")).withColumnRenamed("blob", "_blob")
-    joined = df.join(held, blob_of(text_col) == F.col("_blob"), "left")
+    held = held.groupBy("blob").agg(F.first("findings").alias("found"))
+    rows = df.select(F.struct("*").alias("row"), named(text_col).alias("text"), blob_of(text_col).alias("of"))
+    joined = rows.join(held, F.col("of") == F.col("blob"), "left")
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([t if f is None else _replace(t, f, mark) for t, f in zip(text, found)])
 
-    return joined.withColumn(text_col, cut(named(text_col), F.col("_found"))).drop("_blob", "_found")
+    clean = cut(F.col("text"), F.col("found"))
+    return joined.select(
+        *[clean.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in df.columns]
+    )
 
 
 def _replace(text: str, spans, mark: str) -> str:

@@ -185,17 +185,19 @@ def _forest(u: np.ndarray, v: np.ndarray) -> pd.DataFrame:
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
     """``df`` with one row of each component: the one of the smallest id.
 
-    Rows without id come last in that order; equal rows count as one.
+    Rows without id come last in that order.  Rows of one id and fingerprint are
+    told apart by a digest of their text and then of the whole row; equal rows
+    count as one.  Columns of any name stay.
     """
     groups = simhash_groups(df, id_col, text_col, shingle, radius)
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("fingerprint"))
     best = groups.groupBy("root").agg(F.min(order).alias("w")).select(
-        F.col("w.id").alias("_kept_id"), F.col("w.fingerprint").alias("_kept_fp")
-    )
-    marked = df.withColumn("_fp", fingerprint(F.coalesce(named(text_col), F.lit("")), shingle))
-    same = named(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_fp") == F.col("_kept_fp"))
-    return (
-        marked.join(best, same)
-        .dropDuplicates([id_col, "_fp"])
-        .drop("_fp", "_kept_id", "_kept_fp")
+        F.struct(F.col("w.id").alias("id"), F.col("w.fingerprint").alias("fp")).alias("kept")
     )
+    text = F.coalesce(named(text_col), F.lit(""))
+    rows = df.select(F.struct("*").alias("row"), named(id_col).alias("id"), fingerprint(text, shingle).alias("fp"))
+    same = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("fp") == F.col("kept.fp"))
+    # maps have no digest; rows that hold one are told apart by their text
+    whole = [] if "map<" in df.schema.simpleString() else [F.xxhash64("row")]
+    first = F.min_by("row", F.struct(F.sha2(F.coalesce(F.col("row").getField(text_col), F.lit("")), 256), *whole))
+    return rows.join(best, same).groupBy("id", "fp").agg(first.alias("row")).select("row.*")
