@@ -95,15 +95,9 @@ def _no_words() -> Column:
     return F.array().cast("array<string>")
 
 
-def encode(text: Column, ids: Column, max_len: int) -> Column:
-    """Word ids of the first ``max_len - 1`` words, closed by the end id."""
-    return F.concat(
-        F.transform(
-            F.slice(tx.words(text), 1, max_len - 1),
-            lambda w: F.coalesce(lookup.word_id(ids, w), F.lit(UNKNOWN)),
-        ),
-        F.array(F.lit(END)),
-    )
+def encode(values: Column) -> Column:
+    """Ids of a text's words (NULL: not in the vocabulary), closed by the end id."""
+    return F.concat(F.transform(values, lambda i: F.coalesce(i, F.lit(UNKNOWN))), F.array(F.lit(END)))
 
 
 def encode_pairs(
@@ -113,20 +107,32 @@ def encode_pairs(
     max_target_len: int = 128,
     article: str = "article",
     highlights: str = "highlights",
+    map_words: int = lookup.MAP_WORDS,
 ) -> DataFrame:
     """Add ``input_ids``, ``attention_mask`` and ``labels``.
 
-    The vocabulary is a bounded constant, so every row is encoded where it is
-    read: no join per token, no shuffle.
+    The ``map_words`` most frequent words are a bounded constant, so texts of such
+    words are encoded where they are read.  Only if the vocabulary has more, or
+    longer ones, the words not found there are joined to the rest: that join
+    meets no frequent word.  The vocabulary's size is looked at here, so give a
+    table that is stored.
     """
-    ids = lookup.word_ids(vocab)
-    return (
-        df.withColumn("_ids", ids)
-        .withColumn("input_ids", encode(F.col(article), F.col("_ids"), max_len))
-        .withColumn("labels", encode(F.col(highlights), F.col("_ids"), max_target_len))
-        .withColumn("attention_mask", F.array_repeat(F.lit(1), F.array_size("input_ids")))
-        .drop("_ids")
-    )
+    near = lookup.held(map_words, FIRST_WORD)
+    rest = vocab.where(~near)
+    joins = not rest.isEmpty()
+    out = df.withColumn("_ids", lookup.word_ids(vocab.where(near)))
+    for target, text, length in (
+        ("input_ids", article, max_len),
+        ("labels", highlights, max_target_len),
+    ):
+        words = F.slice(tx.words(F.col(text)), 1, length - 1)
+        ids = F.transform(words, lambda w: lookup.word_id(F.col("_ids"), w))
+        if joins:
+            missing = F.transform(words, lambda w: F.when(lookup.word_id(F.col("_ids"), w).isNull(), w))
+            out = lookup.join_tokens(out, F.col(text), missing, rest, "word", "id", "_rest")
+            ids = lookup.in_order(ids, F.col("_rest"))
+        out = out.withColumn(target, encode(ids)).drop("_rest")
+    return out.withColumn("attention_mask", F.array_repeat(F.lit(1), F.array_size("input_ids"))).drop("_ids")
 
 
 def _pad(ids: Column, length: Column | int, fill: int = PAD) -> Column:
@@ -150,23 +156,28 @@ def pad_longest(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return padded.withColumns({c: _pad(F.col(c), F.col("_m")[c]) for c in cols}).drop("_m")
 
 
-def decode_ids(df: DataFrame, vocab: DataFrame, col: str, name: str = "decoded") -> DataFrame:
-    """Ids back to text: ignored labels become padding, reserved ids are dropped."""
-    table = lookup.id_words(vocab, FIRST_WORD)
+def decode_ids(
+    df: DataFrame, vocab: DataFrame, col: str, name: str = "decoded", map_words: int = lookup.MAP_WORDS
+) -> DataFrame:
+    """Ids back to text: ignored labels become padding, reserved and unknown ids are dropped.
+
+    As in :func:`encode_pairs`, only ids beyond the first ``map_words`` are joined,
+    and only if the vocabulary has such.
+    """
+    rest = vocab.where(~lookup.held(map_words, FIRST_WORD))
+    joins = not rest.isEmpty()
+    out = df.withColumn("_words", lookup.id_words(vocab, FIRST_WORD, map_words))
     clean = F.filter(
         F.transform(F.col(col), lambda i: F.when(i == IGNORED_LABEL, PAD).otherwise(i)),
         lambda i: i >= FIRST_WORD,
     )
-    return (
-        df.withColumn("_words", table)
-        .withColumn(
-            name,
-            F.array_join(
-                F.transform(clean, lambda i: F.get(F.col("_words"), i - FIRST_WORD)), " "
-            ),
-        )
-        .drop("_words")
-    )
+    words = F.transform(clean, lambda i: F.get(F.col("_words"), i - FIRST_WORD))
+    if joins:
+        missing = F.transform(clean, lambda i: F.when(F.get(F.col("_words"), i - FIRST_WORD).isNull(), i))
+        source = F.array_join(F.transform(F.col(col), lambda i: i.cast("string")), " ", "-")
+        out = lookup.join_tokens(out, source, missing, rest, "id", "word", "_rest")
+        words = lookup.in_order(words, F.col("_rest"))
+    return out.withColumn(name, F.array_join(words, " ")).drop("_words", "_rest")
 
 
 def chunk_text(df: DataFrame, col: str, max_tokens: int = 512) -> DataFrame:

@@ -26,6 +26,8 @@ from newscorpus.streaming import incremental
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCAB_SIZE = 8000
+#: Words looked up in the row where a query shows the join of the others.
+JOINED_MAP_WORDS = 100
 MAX_INPUT, MAX_TARGET = 512, 128
 SAMPLE_SIZES = {"50": 50, "150": 150, "2k": 2_000, "10k": 10_000, "50k": 50_000}
 HEAD_SIZE = 150
@@ -296,18 +298,22 @@ def add_task_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return prep.add_task_prefix(docs, F.col("family"))
 
 
+def _vocab(spark: SparkSession, sf: str) -> DataFrame:
+    return prep.build_vocab(b.summaries(spark, sf), ["article", "highlights"], VOCAB_SIZE)
+
+
 def build_vocab(spark: SparkSession, sf: str) -> DataFrame:
     return _vocab(spark, sf).withColumns(_long("id"))
 
 
-def _vocab(spark: SparkSession, sf: str) -> DataFrame:
-    return prep.build_vocab(b.summaries(spark, sf), ["article", "highlights"], VOCAB_SIZE)
+def _stored_vocab(spark: SparkSession, sf: str) -> DataFrame:
+    return scratch.saved(_vocab(spark, sf), "vocab")
 
 
-def _encoded(spark: SparkSession, sf: str) -> DataFrame:
-    return prep.encode_pairs(
-        b.summaries(spark, sf), _vocab(spark, sf), MAX_INPUT, MAX_TARGET
-    ).select("article_id", "input_ids", "attention_mask", "labels")
+def _encoded(spark: SparkSession, sf: str, vocab: DataFrame | None = None, **options) -> DataFrame:
+    vocab = _stored_vocab(spark, sf) if vocab is None else vocab
+    encoded = prep.encode_pairs(b.summaries(spark, sf), vocab, MAX_INPUT, MAX_TARGET, **options)
+    return encoded.select("article_id", "input_ids", "attention_mask", "labels")
 
 
 def _ids_as_text(df: DataFrame, *cols: str) -> DataFrame:
@@ -318,6 +324,12 @@ def encode_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _ids_as_text(_encoded(spark, sf), "input_ids", "attention_mask", "labels")
 
 
+def encode_pairs_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ids with most of the vocabulary beyond what a row looks up itself."""
+    encoded = _encoded(spark, sf, map_words=JOINED_MAP_WORDS)
+    return _ids_as_text(encoded, "input_ids", "attention_mask", "labels")
+
+
 def pad_fixed(spark: SparkSession, sf: str) -> DataFrame:
     padded = prep.pad_fixed(
         _encoded(spark, sf),
@@ -332,14 +344,24 @@ def pad_longest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def decode_ids(spark: SparkSession, sf: str) -> DataFrame:
-    """Labels with padding replaced by the ignored id, decoded again."""
-    padded = prep.pad_fixed(_encoded(spark, sf), {"labels": MAX_TARGET})
+def _decoded(spark: SparkSession, sf: str, **options) -> DataFrame:
+    vocab = _stored_vocab(spark, sf)
+    padded = prep.pad_fixed(_encoded(spark, sf, vocab, **options), {"labels": MAX_TARGET})
     ignored = padded.withColumn(
         "labels",
         F.transform("labels", lambda i: F.when(i == prep.PAD, prep.IGNORED_LABEL).otherwise(i)),
     )
-    return prep.decode_ids(ignored, _vocab(spark, sf), "labels").select("article_id", "decoded")
+    return prep.decode_ids(ignored, vocab, "labels", **options).select("article_id", "decoded")
+
+
+def decode_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels with padding replaced by the ignored id, decoded again."""
+    return _decoded(spark, sf)
+
+
+def decode_ids_joined(spark: SparkSession, sf: str) -> DataFrame:
+    """The same texts with most of the vocabulary beyond what a row looks up itself."""
+    return _decoded(spark, sf, map_words=JOINED_MAP_WORDS)
 
 
 def chunk_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -705,9 +727,11 @@ QUERIES: dict[str, Query] = {
         add_task_prefix,
         build_vocab,
         encode_pairs,
+        encode_pairs_joined,
         pad_fixed,
         pad_longest,
         decode_ids,
+        decode_ids_joined,
         chunk_text,
         text_lengths,
         length_report,

@@ -749,6 +749,8 @@ SELECT doc_id, len({words("text")}) AS n_words,
 FROM documents""",
 }
 SQL["extract_body_nested"] = SQL["extract_body_flat"]
+SQL["encode_pairs_joined"] = SQL["encode_pairs"]
+SQL["decode_ids_joined"] = SQL["decode_ids"]
 SQL["summarize_corpus"] = SQL["write_results_json"] = (
     _with(SUMMARIES)
     + f"""SELECT article_id, article AS original_text, {lead("article", 128)} AS summary,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -21,3 +21,10 @@ def shared_root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh, unused path below the shared folder."""
     return f"{shared_root(spark)}/newscorpus-{uuid.uuid4().hex}/{name}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read again, so it is worked out once."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

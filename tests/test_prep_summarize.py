@@ -45,6 +45,24 @@ def test_word_table_finds_every_word(spark):
     assert df.where(F.col("got").isNull()).count() == 0
 
 
+@pytest.mark.parametrize("map_words", [0, 1, 3, 100])
+def test_encoding_is_the_same_on_both_sides_of_the_bound(spark, map_words):
+    long = "l" * (lookup.MAP_WORD_BYTES + 1)
+    words = ["a", "b", long, "c", "é"]
+    vocab = spark.createDataFrame([(w, i) for i, w in enumerate(words, 3)], "word string, id int")
+    texts = [f"a {long} zz c a", "", None, "é b", "é b", "zz"]
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "id int, article string, highlights string")
+    enc = prep.encode_pairs(df, vocab, max_len=5, max_target_len=3, map_words=map_words)
+    got = {r["id"]: (r["input_ids"], r["labels"], r["attention_mask"]) for r in enc.collect()}
+    assert got[0] == ([3, 5, 2, 6, 1], [3, 5, 1], [1] * 5)
+    assert got[1] == ([1], [1], [1]) and got[2][0] is None
+    assert got[3] == got[4] == ([7, 4, 1], [7, 4, 1], [1] * 3) and got[5][0] == [2, 1]
+    back = prep.decode_ids(enc, vocab, "input_ids", map_words=map_words)
+    assert set(back.columns) == {*enc.columns, "decoded"}
+    text = {r["id"]: r["decoded"] for r in back.collect()}
+    assert text == {0: f"a {long} c", 1: "", 2: None, 3: "é b", 4: "é b", 5: ""}
+
+
 def test_samples_and_splits(spark):
     df = spark.range(100).withColumnRenamed("id", "k").repartition(7)
     assert [r["k"] for r in prep.head_sample(df, 3, ["k"]).collect()] == [0, 1, 2]
