@@ -24,6 +24,8 @@ from newscorpus.operators.rules import SITE_RULES, Rule, Selector
 # final semicolon may be missing, as HTML allows for these names.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT = frozenset(("script", "style", "template"))
+#: Comments and such elements, as a pattern.
+NO_TEXT = "(?is)<!--.*?-->|" + "|".join(rf"<{t}(?:\s[^>]*)?>.*?</{t}>" for t in sorted(SILENT))
 ENTITIES = [
     ("&quot;?", '"'),
     ("&#39;|&apos;", "'"),
@@ -43,14 +45,15 @@ def unescape(text: Column) -> Column:
 def flat_paragraphs(html: Column, tag: str = "article") -> Column:
     """Paragraph texts of the page's first ``<tag>`` as an array.
 
-    A new ``<p>`` closes the one before it; markup is stripped, entities are
-    decoded, and empty paragraphs are dropped.
+    Tags may be in either case.  A new ``<p>`` closes the one before it; markup,
+    comments and what is not text are cut, entities are decoded, and empty
+    paragraphs are dropped.
     """
-    body = F.regexp_extract(html, rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1)
-    pieces = F.split(body, r"<p(?:\s[^>]*)?>")
+    body = F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1)
+    pieces = F.split(F.regexp_replace(body, NO_TEXT, ""), r"(?i)<p(?:\s[^>]*)?>")
 
     def clean(piece: Column) -> Column:
-        text = F.regexp_replace(F.substring_index(piece, "</p>", 1), r"<[^>]*>", "")
+        text = F.regexp_replace(F.split(piece, "(?i)</p>", 2)[0], r"<[^>]*>", "")
         return F.btrim(unescape(text), F.lit(" \n\t\r"))
 
     return F.array_remove(

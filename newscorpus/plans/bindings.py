@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newscorpus.operators import series
-from newscorpus.operators.extract import flat_body
-from newscorpus.operators.rules import flat_article_rule
+from newscorpus.operators.extract import flat_body, flat_paragraphs
+from newscorpus.operators.rules import SITE_RULES, Rule, flat_article_rule
 
 #: Width of a time block when events are numbered.
 EVENT_BLOCK_SECONDS = 900
@@ -212,3 +212,57 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_text(spark: SparkSession, sf: str) -> DataFrame:
     return pages(spark, sf).select("page_id", flat_body(F.col("html")).alias("full_content"))
+
+
+def site_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """(page_id, source_name, html): each page's paragraphs as one of the sites has them.
+
+    Page k follows rule k of the table; after the last comes a page of no known site.
+    """
+    k = F.col("page_id") % (len(SITE_RULES) + 1)
+    names = F.array(*[F.lit(r.source_name) for r in SITE_RULES], F.lit("elsewhere"))
+    escaped = F.transform(flat_paragraphs(F.col("html")), _escaped)
+    # a generated row, so that the paragraphs are cut once and not for every site
+    cut = pages(spark, sf).select("page_id", F.explode(F.array(escaped)).alias("ps"))
+    inner = _paragraphs(F.col("ps"))
+    for at, rule in enumerate(SITE_RULES):
+        inner = F.when(k == at, site_markup(rule, F.col("ps"))).otherwise(inner)
+    html = F.concat(
+        F.lit('<!DOCTYPE html><html><body><div class="ad"><p>ad</p></div>'), inner, F.lit("<p>foot</p></body></html>")
+    )
+    return cut.select("page_id", F.get(names, k.cast("int")).alias("source_name"), html.alias("html"))
+
+
+def _escaped(text: Column) -> Column:
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(char), F.lit(entity))
+    return text
+
+
+def _paragraphs(ps: Column) -> Column:
+    return F.array_join(F.transform(ps, lambda p: F.concat(F.lit("<p>"), p, F.lit("</p>"))), "")
+
+
+def site_markup(rule: Rule, ps: Column) -> Column:
+    """Paragraphs inside the containers of a site's rule, beside what it must not read."""
+    tags = [f'<{s.tag} {s.attr}="{s.value}{" more" if s.op == "starts" else ""}">' for s in rule.path]
+    opened, closed = F.lit("".join(tags)), F.lit("".join(f"</{s.tag}>" for s in reversed(rule.path)))
+    first, rest = F.slice(ps, 1, 1), F.slice(ps, F.lit(2), F.greatest(F.size(ps) - 1, F.lit(0)))
+    if rule.kind in ("json_html", "json_text"):
+        value = _paragraphs(ps) if rule.kind == "json_html" else F.array_join(ps, " ")
+        for name in reversed(rule.json_path.removeprefix("$.").split(".")):
+            value = F.array(value) if name.endswith("[0]") else value
+            value = F.struct(value.alias(name.removesuffix("[0]")))
+        return F.concat(F.lit(f"<script {rule.script}>"), F.to_json(value), F.lit("</script>"))
+    if rule.block == "first":
+        box = F.transform(ps, lambda p: F.concat(opened, F.lit("<p>"), p, F.lit("</p><p>second</p>"), closed))
+        return F.array_join(box, "")
+    if rule.block == "each":
+        spans = [F.array_join(F.transform(x, lambda p: F.concat(F.lit("<b>"), p, F.lit("</b>"))), "") for x in (first, rest)]
+        return F.concat(opened, spans[0], closed, opened, spans[1], closed)
+    head = f"<{rule.children[0]}>Head</{rule.children[0]}>" if len(rule.children) > 1 else ""
+    last = f"<p>{rule.cut_at} elsewhere</p>" if rule.cut_at else ""
+    # the rest one level deeper
+    return F.concat(
+        opened, F.lit(head), _paragraphs(first), F.lit("<div>"), _paragraphs(rest), F.lit("</div>"), F.lit(last), closed
+    )

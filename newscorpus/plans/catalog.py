@@ -134,6 +134,11 @@ def extract_body_nested(spark: SparkSession, sf: str) -> DataFrame:
     return extract_body(named, [rule]).select("page_id", "full_content")
 
 
+def extract_body_sites(spark: SparkSession, sf: str) -> DataFrame:
+    """Every rule of the site table, its JSON kinds and its fallback, in one plan."""
+    return extract_body(b.site_pages(spark, sf)).select("page_id", "source_name", "full_content")
+
+
 def extract_body_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Whole-page, last-paragraph, marker and heading variants, by page number."""
     article = (Selector("article"),)
@@ -713,6 +718,7 @@ QUERIES: dict[str, Query] = {
         extract_body_flat,
         extract_body_nested,
         extract_body_rules,
+        extract_body_sites,
         daily_curation,
         incremental_curation,
         run_day_round_trip,

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from newscorpus import lexicons
 from newscorpus.operators import summarize
-from newscorpus.operators.extract import ENTITIES
+from newscorpus.operators.extract import ENTITIES, NO_TEXT
+from newscorpus.operators.rules import SITE_RULES, Rule
 from newscorpus.plans import bindings, catalog
 
 
@@ -64,14 +65,27 @@ def grams(tokens: str, n: int) -> str:
 
 
 def flat_paragraphs(html: str) -> str:
-    body = rf"regexp_extract({html}, '(?s)<article(?:\s[^>]*)?>(.*?)</article>', 1)"
-    text = "regexp_replace(split_part(p, '</p>', 1), '<[^>]*>', '', 'g')"
+    body = rf"regexp_extract({html}, '(?is)<article(?:\s[^>]*)?>(.*?)</article>', 1)"
+    body = f"regexp_replace({body}, {_quote(NO_TEXT)}, '', 'g')"
+    text = "regexp_replace(regexp_replace(p, '(?is)</p>.*', ''), '<[^>]*>', '', 'g')"
     for entity, char in ENTITIES:
         text = f"regexp_replace({text}, {_quote(entity)}, {_quote(char)}, 'g')"
-    pieces = rf"(string_split_regex({body}, '<p(?:\s[^>]*)?>'))[2:]"
+    pieces = rf"(string_split_regex({body}, '(?i)<p(?:\s[^>]*)?>'))[2:]"
     return _nonempty(rf"list_transform({pieces}, lambda p: trim({text}, E' \n\t\r'))")
 
 
+def site_text(rule: Rule) -> str:
+    """What a site's rule finds on the page that ``bindings.site_markup`` writes for it."""
+    ps = "ps[1:len(ps) - 1]" if rule.drop_last else "ps"
+    if not rule.path and rule.kind == "html":
+        ps = "list_concat(list_concat(['ad'], ps), ['foot'])"
+    elif len(rule.children) > 1:
+        ps = "list_prepend('Head', ps)"
+    if rule.block == "each":
+        return r"array_to_string(ps[:1], ' ') || E'\n' || array_to_string(ps[2:], ' ')"
+    return f"array_to_string({ps}, '{'' if not rule.children and not rule.node_join else ' '}')"
+
+
 def not_missing(col: str) -> str:
     return f"CASE WHEN {col} NOT IN {_in(lexicons.MISSING)} THEN {col} END"
 
@@ -515,6 +529,13 @@ SELECT page_id, 'site' || CAST(k AS VARCHAR) AS source_name,
     WHEN 3 THEN h1
     WHEN 5 THEN array_to_string(ps, ' ') END, '') AS full_content
 FROM body""",
+    "extract_body_sites": f"""
+SELECT page_id, source_name, nullif(CASE k {
+        " ".join(f"WHEN {k} THEN {site_text(rule)}" for k, rule in enumerate(SITE_RULES))
+    } END, '') AS full_content
+FROM (SELECT page_id, page_id % {len(SITE_RULES) + 1} AS k, {flat_paragraphs("html")} AS ps,
+        coalesce({_list(r.source_name for r in SITE_RULES)}[k + 1], 'elsewhere') AS source_name
+      FROM pages)""",
     "daily_curation": _with(CURATED) + "SELECT * FROM curated",
     "incremental_curation": _with(CURATED) + "SELECT * FROM curated",
     "run_day_round_trip": _with(LANDED).rstrip() + ", " + _days(f"published_date IN {_in(catalog.DAYS[:2])}"),

@@ -110,3 +110,16 @@ def test_flat_rule_equals_the_tag_stack(spark, html, text):
     assert extract_body(df, [flat_article_rule("s")]).first()["full_content"] == text
     stack = Rule("s", path=(Selector("article"),))
     assert extract_body(df, [stack]).first()["full_content"] == text
+
+
+def test_flat_form_equals_tag_reader_on_odd_markup(spark):
+    pages = [
+        "<ARTICLE><P>a &amp; b</P><p>c</ARTICLE>",
+        "<article><p>a<script>var t = '</p><p>x';</script> b</p><style>p{}</style><!-- <p>no</p> --></article>",
+        "<Article class=x><p class=y>a <b>b</b><P>c</p></article>",
+        "<article><template><p>t</p></template></article>",
+    ]
+    df = spark.createDataFrame([(i, "s", p) for i, p in enumerate(pages)], "k int, source_name string, html string")
+    flat = {r["k"]: r["full_content"] for r in extract_body(df, [flat_article_rule("s")]).collect()}
+    read = {r["k"]: r["full_content"] for r in extract_body(df, [Rule("s", path=(Selector("article"),))]).collect()}
+    assert flat == read == {0: "a & b c", 1: "a b", 2: "a b c", 3: None}
