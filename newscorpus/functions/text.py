@@ -138,9 +138,11 @@ def first_trigger_type(text: Column, triggers: Sequence[tuple[str, str]]) -> Col
 def entities(text: Column) -> Column:
     """Runs of capitalised words that do not open a sentence.
 
-    A comma, colon or semicolon ends a run, as does any other word.
+    A word counts from two letters up, in any script with capitals, whatever the
+    case of the later ones.  A comma, colon or semicolon ends a run, as does any
+    other word.
     """
-    cap, cap_end = "^[A-Z][a-z]+$", "^[A-Z][a-z]+[,;:]$"
+    cap, cap_end = r"^\p{Lu}[\p{L}\p{M}]+$", r"^\p{Lu}[\p{L}\p{M}]+[,;:]$"
 
     def mark(w: Column) -> Column:
         return (

@@ -13,38 +13,6 @@ STOPWORDS: dict[str, list[str]] = {
 # Spellings that mean "missing" after a CSV round trip.
 MISSING: list[str] = ["", "None", "NA", "null", "NaN", "N/A"]
 
-# Event triggers (word, event type).  The vocabulary is the
-# synthetic English of the test corpus; callers pass their own for real news.
-EVENT_TRIGGERS: list[tuple[str, str]] = [
-    ("rewh", "conflict"),
-    ("orre", "conflict"),
-    ("thatin", "disaster"),
-    ("ononst", "disaster"),
-    ("inoran", "election"),
-    ("hehely", "election"),
-    ("orantion", "merger"),
-    ("thsh", "merger"),
-    ("thing", "protest"),
-    ("thnd", "protest"),
-    ("erth", "release"),
-    ("thst", "release"),
-]
-
-# Named runs and the label each is reported under.
-RUN_LABELS: list[tuple[str, str]] = [
-    ("run0", "t5_base_2k"),
-    ("run1", "t5_base_10k"),
-    ("run2", "t5_base_50k"),
-    ("run3", "t5_large_2k"),
-    ("run4", "t5_large_10k"),
-    ("run5", "t5_large_50k"),
-    ("run6", "pegasus_large_2k"),
-    ("run7", "pegasus_large_10k"),
-    ("run8", "pegasus_large_50k"),
-    ("run9", "pegasus_cnn_daily_mail_2k"),
-    ("run10", "pegasus_cnn_daily_mail_10k"),
-]
-
 
 def all_stopwords() -> list[str]:
     return sorted({w for words in STOPWORDS.values() for w in words})

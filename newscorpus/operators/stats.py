@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newscorpus.functions import text as tx
-from newscorpus.lexicons import EVENT_TRIGGERS, all_stopwords
+from newscorpus.lexicons import all_stopwords
 
 THRESHOLDS = (4000, 2000, 1000, 700, 500)
 
@@ -117,13 +117,11 @@ def category_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("n"))
 
 
-def event_type_counts(
-    df: DataFrame,
-    col: str,
-    triggers: Sequence[tuple[str, str]] = EVENT_TRIGGERS,
-) -> DataFrame:
+def event_type_counts(df: DataFrame, col: str, triggers: Sequence[tuple[str, str]]) -> DataFrame:
     """Documents per type of their first event trigger, "unknown" without one.
 
+    ``triggers`` are (word, event type), for the language and field of the corpus.
+
     For a report on a sample, cut ``df`` with ``head_sample`` first.
     """
     kind = F.coalesce(tx.first_trigger_type(F.col(col), triggers), F.lit("unknown"))

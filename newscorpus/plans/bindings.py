@@ -28,6 +28,39 @@ TAGS = {
 }
 
 
+# Event triggers (word, event type).  The words are those of the
+# synthetic corpus.
+EVENT_TRIGGERS: list[tuple[str, str]] = [
+    ("rewh", "conflict"),
+    ("orre", "conflict"),
+    ("thatin", "disaster"),
+    ("ononst", "disaster"),
+    ("inoran", "election"),
+    ("hehely", "election"),
+    ("orantion", "merger"),
+    ("thsh", "merger"),
+    ("thing", "protest"),
+    ("thnd", "protest"),
+    ("erth", "release"),
+    ("thst", "release"),
+]
+
+# Named runs and the label each is reported under.
+RUN_LABELS: list[tuple[str, str]] = [
+    ("run0", "t5_base_2k"),
+    ("run1", "t5_base_10k"),
+    ("run2", "t5_base_50k"),
+    ("run3", "t5_large_2k"),
+    ("run4", "t5_large_10k"),
+    ("run5", "t5_large_50k"),
+    ("run6", "pegasus_large_2k"),
+    ("run7", "pegasus_large_10k"),
+    ("run8", "pegasus_large_50k"),
+    ("run9", "pegasus_cnn_daily_mail_2k"),
+    ("run10", "pegasus_cnn_daily_mail_10k"),
+]
+
+
 def table(spark: SparkSession, sf: str, name: str, *spread: str) -> DataFrame:
     """One input table.
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newscorpus import lexicons
 from newscorpus.functions import rouge as rg
 from newscorpus.functions import sql as sqlf
 from newscorpus.functions import text as tx
@@ -413,7 +412,7 @@ def category_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def event_type_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.event_type_counts(b.documents(spark, sf), "text")
+    return stats.event_type_counts(b.documents(spark, sf), "text", b.EVENT_TRIGGERS)
 
 
 def extract_entities(spark: SparkSession, sf: str) -> DataFrame:
@@ -470,6 +469,11 @@ def rouge_corpus_by_turn(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.rouge_corpus(scored, ["rouge1", "rouge2"], by=["turn"])
 
 
+def rouge_corpus_lcs(spark: SparkSession, sf: str) -> DataFrame:
+    scored = _scores(b.pairs(spark, sf), "rougeL", "rougeLsum")
+    return evaluate.rouge_corpus(scored, ["rougeL", "rougeLsum"])
+
+
 def rouge_corpus_stemmed(spark: SparkSession, sf: str) -> DataFrame:
     """All four metrics with stemming, as training evaluation reports them."""
     scored = _scores(b.pairs(spark, sf), *evaluate.METRICS, stemmed=True)
@@ -650,7 +654,7 @@ def valid_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def label_runs(spark: SparkSession, sf: str) -> DataFrame:
-    labels = runs.labels_frame(spark, lexicons.RUN_LABELS)
+    labels = runs.labels_frame(spark, b.RUN_LABELS)
     labelled = runs.label_runs(_run_summary(spark, sf).select("run", "rouge1"), labels)
     return labelled
 
@@ -757,6 +761,7 @@ QUERIES: dict[str, Query] = {
         rouge_lsum,
         rouge_corpus,
         rouge_corpus_by_turn,
+        rouge_corpus_lcs,
         rouge_corpus_stemmed,
         rouge_bootstrap,
         gen_len,

@@ -627,7 +627,7 @@ GROUP BY bigram ORDER BY n DESC, bigram LIMIT 20""",
   GROUP BY word ORDER BY n DESC, word LIMIT 200)""",
     "category_counts": "SELECT source, count(*) AS n FROM documents GROUP BY source",
     "event_type_counts": f"""
-WITH trig AS (SELECT * FROM (VALUES {_values(lexicons.EVENT_TRIGGERS)}) AS t(word, kind)),
+WITH trig AS (SELECT * FROM (VALUES {_values(bindings.EVENT_TRIGGERS)}) AS t(word, kind)),
 hits AS (
   SELECT doc_id, arg_min(kind, pos) AS kind
   FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
@@ -639,8 +639,8 @@ FROM documents d LEFT JOIN hits h ON h.doc_id = d.doc_id GROUP BY 1""",
 WITH s AS (SELECT unnest({sentences("text")}) AS sentence FROM documents),
 w AS (SELECT ({words("sentence")})[2:] AS w FROM s),
 m AS (SELECT array_to_string(list_transform(w, lambda x: CASE
-        WHEN regexp_matches(x, '^[A-Z][a-z]+$') THEN x
-        WHEN regexp_matches(x, '^[A-Z][a-z]+[,;:]$') THEN regexp_replace(x, '[,;:]$', '') || ' |'
+        WHEN regexp_matches(x, '^\p{{Lu}}[\p{{L}}\p{{M}}]+$') THEN x
+        WHEN regexp_matches(x, '^\p{{Lu}}[\p{{L}}\p{{M}}]+[,;:]$') THEN regexp_replace(x, '[,;:]$', '') || ' |'
         ELSE '|' END), ' ') AS marked FROM w)
 SELECT entity, count(*) AS n
 FROM (SELECT trim(unnest(string_split(marked, '|'))) AS entity FROM m)
@@ -656,6 +656,9 @@ WHERE entity <> '' GROUP BY entity""",
     "rouge_corpus_by_turn": _with(ROUGE_BOTH)
     + """SELECT turn, round(avg(rouge1), 4) AS rouge1, round(avg(rouge2), 4) AS rouge2,
   count(*) AS n_pairs FROM scored GROUP BY turn""",
+    "rouge_corpus_lcs": f"""
+SELECT round(avg(l.f1), 4) AS "rougeL", round(avg(s.f1), 4) AS "rougeLsum", count(*) AS n_pairs
+FROM ({ROUGE_L}) l JOIN ({ROUGE_LSUM}) s ON s.pair_id = l.pair_id""",
     "rouge_bootstrap": _bootstrap(200),
     "gen_len": _with(SUMMARIES)
     + f"""SELECT {single(f"avg(least(len({words('highlights')}), {catalog.MAX_TARGET - 1}) + 1)")}
@@ -709,7 +712,7 @@ UNION ALL SELECT 'run12', 0, 0, 'missing'""",
     "scalars_to_long": _with(SCALARS) + "SELECT run, step, tag, value FROM scalars",
     "loss_curves": _with(SCALARS)
     + """SELECT run, CASE WHEN tag = 'train/loss' THEN 'train' ELSE 'validation' END AS curve,
-  step, value AS loss FROM scalars WHERE tag IN ('train/loss', 'eval/loss')""",
+  step, seq, value AS loss FROM scalars WHERE tag IN ('train/loss', 'eval/loss')""",
     "last_metric": _with(SCALARS)
     + """SELECT run, tag, max_by(value, (step, seq)) AS value FROM scalars
 WHERE tag IN ('eval/rouge1', 'eval/rouge2', 'eval/rougeL') GROUP BY run, tag""",
@@ -737,7 +740,7 @@ FROM scalars GROUP BY run HAVING n_train > 0 AND n_eval > 0""",
   CAST(nullif(regexp_extract(l.data_size, '(\d+)k$', 1), '') AS BIGINT) * 1000 AS size_rows,
   CASE WHEN starts_with(l.data_size, 't5') THEN 'teacher_forced'
        WHEN l.data_size IS NOT NULL THEN 'generated' END AS pred_kind
-FROM summary s LEFT JOIN (VALUES {_values(lexicons.RUN_LABELS)}) AS l(run, data_size)
+FROM summary s LEFT JOIN (VALUES {_values(bindings.RUN_LABELS)}) AS l(run, data_size)
   ON l.run = s.run""",
     "rouge_by_run": _with(SCALARS, RUN_SUMMARY)
     + """SELECT run, unnest(['rouge1', 'rouge2', 'rougeL']) AS metric,

@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from newscorpus.lexicons import RUN_LABELS
+from newscorpus.plans.bindings import RUN_LABELS
 from newscorpus.operators import runs, series
 
 LONG = "run string, tag string, step bigint, seq bigint, value double"

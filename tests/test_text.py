@@ -60,6 +60,11 @@ def test_language_ties_and_no_evidence(spark):
     assert one(spark, detect, None) is None
 
 
+def test_entities_in_capitals_and_with_accents(spark):
+    text = "The NATO met in Zürich, A Łódź I saw McKay Éric; Řím."
+    assert one(spark, tx.entities, text) == ["NATO", "Zürich", "Łódź", "McKay Éric", "Řím"]
+
+
 def test_entities(spark):
     text = "Yesterday Angela Merkel met, Paris, Emmanuel Macron. He left New York today"
     assert one(spark, tx.entities, text) == ["Angela Merkel", "Paris", "Emmanuel Macron", "New York"]
