@@ -12,15 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newscorpus.llm import mixing
-from newscorpus.llm.common import ascii_lower, named, saved, texts
+from newscorpus.llm.common import saved, text_runs, texts
 from newscorpus.llm.lexicon import count_pieces, piece_sums
 
-#: Units whose bits a worker remembers.
-CACHE_UNITS = 400_000
-
-
-def _cut_units():
-    return mixing.units
+#: Bytes of the texts that share one online pass over the weights, at least.
+PASS_BYTES = 8 << 20
+#: Passes at most: on a larger corpus each takes more texts.
+PASSES = 10_000
+#: Characters that a task models together.
+RUN_CHARS = 1 << 18
 
 
 def _cut_words():
@@ -38,72 +38,67 @@ class Model:
     mixing: mixing.Mixing
 
 
-def train(df: DataFrame, text_col: str = "text") -> Model:
+def train(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Model:
     """Learns from every row of ``df``; a NULL text is empty.
 
-    Units (a word and the white-space byte behind it) are counted once over the
-    corpus.  Word counts, the predictors' bit counts and the online pass over
-    the weights all start from that table.  Weights are trained in each
-    partition and averaged.
+    One pass adds up the predictors' bit counts.  A second one trains the weights
+    online, over groups of texts that follow from id and text alone, in an order
+    that does too; the groups' weights are averaged.  So the model does not
+    depend on how the rows are spread.  Rows that repeat both id and text share a
+    group.
     """
-    docs = df.select(F.coalesce(named(text_col), F.lit("")).alias("text"))
-    # an order of its own within partitions: training does not depend on fetch order
-    counted = count_pieces(docs, _cut_units).sortWithinPartitions(F.xxhash64("piece"))
-    unit_counts = saved(counted, "units")
-    word = F.expr("substring(piece, 1, octet_length(piece) - 1)").cast("string")
-    words = (
-        unit_counts.select(ascii_lower(word).cast("binary").alias("piece"), "n")
-        .where(F.octet_length("piece") > 0)
-        .groupBy("piece")
-        .agg(F.sum("n").alias("n"))
-        .select("piece", "n", F.log10(F.col("n") + F.lit(0.1)).alias("log_count"), F.lit(1).alias("known"))
+    docs = texts(df, id_col, text_col)
+    words = count_pieces(docs, _cut_words)
+    lexicon = saved(
+        words.select("piece", "n", F.log10(F.col("n") + F.lit(0.1)).alias("log_count"), F.lit(1).alias("known")),
+        "words",
     )
-    lexicon = saved(words, "words")
-    ends = F.substring("piece", -1, 1) == F.lit(mixing.END)
-    n_docs = unit_counts.where(ends).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n_docs, n_bytes = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()
     n_words, distinct = lexicon.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    return Model(lexicon, n_docs, n_words + n_docs, distinct + (n_docs > 0), _train_mixing(unit_counts))
+    passes = max(1, min(PASSES, math.ceil(n_bytes / PASS_BYTES)))
+    return Model(lexicon, n_docs, n_words + n_docs, distinct + (n_docs > 0), _train_mixing(docs, passes))
 
 
-def _train_mixing(unit_counts: DataFrame) -> mixing.Mixing:
-    spark = unit_counts.sparkSession
+def _train_mixing(docs: DataFrame, passes: int) -> mixing.Mixing:
+    spark = docs.sparkSession
+    size = 2 << mixing.SLOT_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((2, mixing.SLOTS))
+        table = np.zeros((len(mixing.ORDERS), size))
         for batch in batches:
-            n = batch.column("n").to_numpy()
-            for b in mixing.in_chunks(batch.column("piece").to_pylist()):
-                times = np.repeat(n[b.unit], 8)
-                for k, slots in enumerate(b.slots):
-                    low, size = k << mixing.SLOT_BITS, 1 << mixing.SLOT_BITS
-                    for bit in (0, 1):
-                        table[bit, low : low + size] += np.bincount(
-                            slots.ravel() - low, times * (b.bit.ravel() == bit), size
-                        )
-        yield from _sums(table)
-
-    zeros, ones = _added_up(unit_counts.mapInArrow(count, "slot int, zeros double, ones double"), mixing.SLOTS)
-    shared = spark.sparkContext.broadcast((zeros, ones))
+            for _, run in text_runs(batch.column("text"), RUN_CHARS):
+                mixing.count([mixing.closed(t) for t in run], table)
+        flat = table.ravel()
+        yield from _sums(np.stack([flat[0::2], flat[1::2]]))
+
+    zeros, ones = _added_up(
+        docs.select("text").mapInArrow(count, "slot int, zeros double, ones double"), len(mixing.ORDERS) * size // 2
+    )
+    table = np.stack([zeros, ones], axis=1).reshape(len(mixing.ORDERS), size)
+    shared = spark.sparkContext.broadcast(mixing.unseen(table))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = mixing.Trainer(*shared.value)
+        trainer = mixing.Trainer(shared.value)
         for batch in batches:
-            trainer.learn(batch.column("piece").to_pylist(), batch.column("n").to_numpy())
+            for _, run in text_runs(batch.column("text"), RUN_CHARS):
+                trainer.learn([mixing.closed(t) for t in run])
         # weights come first, as weighted sums, then the refinement's counts
         weighted = trainer.weights.astype(float).ravel() * trainer.mass
         mass = np.full(len(weighted), trainer.mass)
         yield from _sums(np.concatenate([[weighted, mass], trainer.refined], axis=1))
 
+    grouped = docs.repartition(passes, F.xxhash64("id", "text")).sortWithinPartitions(F.xxhash64("id", "text"), "id", "text")
     n_weights = mixing.first_weights().size
     first, second = _added_up(
-        unit_counts.mapInArrow(learn, "slot int, zeros double, ones double"), n_weights + 256 * mixing.STEPS
+        grouped.select("text").mapInArrow(learn, "slot int, zeros double, ones double"),
+        n_weights + 256 * mixing.STEPS,
     )
     if second[0] > 0:
         weights = (first[:n_weights] / second[:n_weights]).reshape(mixing.GATES, -1)
     else:
         weights = mixing.first_weights()
     return mixing.Mixing(
-        mixing.stretch(zeros, ones),
+        mixing.stretch(table[:, 0::2], table[:, 1::2]),
         weights.astype(np.float32),
         mixing.refinement(first[n_weights:], second[n_weights:]),
     )
@@ -132,7 +127,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
     Tokens are the words, lower-case, and one end.  ``base_score`` is the log10
     probability of the smoothed unigram model.  ``bits`` is what the mixing
-    model takes for the whole text and its end; a NULL text is empty, so it has
+    model takes for the whole text and its end, contexts reaching over words; a
+    very long text is modelled a chunk at a time.  A NULL text is empty, so it has
     one token and the bits of an end.  Without training rows every token is as
     likely as any.  Repeated rows each keep their row; an empty table gives none.
     """
@@ -141,23 +137,16 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
     def measure():
         mixed = shared.value
-        known = mixed.known
 
         def of(run: list[str]) -> list[tuple]:
-            cuts = [mixing.units(t) for t in run]
-            new = list({u for cut in cuts for u in cut if u not in known})
-            costs = dict(zip(new, mixed.costs(new).tolist()))
-            room = CACHE_UNITS - len(known)
-            if room > 0:
-                known.update((u, costs[u]) for u in new[:room])
-            return [
-                (
-                    float(len(t.encode("utf-8", "replace"))),
-                    float(len(_cut_words()(t))),
-                    math.fsum([known[u] if u in known else costs[u] for u in cut]),
-                )
-                for t, cut in zip(run, cuts)
-            ]
+            out = []
+            for _, some in text_runs(pa.array(run, pa.string()), RUN_CHARS):
+                closed = [mixing.closed(t) for t in some]
+                bits = mixed.costs(closed).tolist()
+                out += [
+                    (float(len(c) - 1), float(len(_cut_words()(t))), cost) for t, c, cost in zip(some, closed, bits)
+                ]
+            return out
 
         return of
 

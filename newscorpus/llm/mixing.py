@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 
-#: Bytes of context of each predictor; the first knows only its place in the unit.
-ORDERS = (0, 1, 2, 3, 4, 6)
+#: Bytes of context of each predictor; contexts end only where a text begins.
+ORDERS = (1, 2, 3, 4, 6)
 #: Hashed slots of each predictor, as a power of two.
 SLOT_BITS = 19
-SLOTS = len(ORDERS) << SLOT_BITS
 #: What stands behind the last byte of a text; no UTF-8 text holds it.
 END = b"\xff"
 #: Bytes that are modelled at once.
 CHUNK = 1 << 13
-#: A unit is modelled in parts of so many bytes.
-PART = 1 << 12
+#: Such chunks are counted together.
+COUNTED_CHUNKS = 16
 #: Weight sets: a gate for each number of predictors that know the context, and each bit.
 GATES = (len(ORDERS) + 1) * 8
 #: Steps of the final refinement, between logits of -8 and 8; each for every node of a byte.
@@ -26,65 +24,76 @@ STEPS = 33
 RATE = 0.1
 _PRIOR = 0.4
 
-_UNIT = re.compile(rb"[^\t-\r ]*[\t-\r ]")
 
-
-def units(text: str) -> list[bytes]:
-    """A text's bytes, cut behind every white-space byte; the last unit has END."""
-    data = text.encode("utf-8", "replace")
-    found = _UNIT.findall(data)
-    found.append(data[sum(map(len, found)) :] + END)
-    return found
+def closed(text: str) -> bytes:
+    """A text's bytes and its end."""
+    return text.encode("utf-8", "replace") + END
 
 
 @dataclass
 class Bits:
-    """The bits of some units: arrays of shape (bytes, 8)."""
+    """The bits of some bytes: arrays of shape (bytes, 8); ``text`` says whose bytes they are.
+
+    ``slots`` holds one such array for each predictor, slots counted within it.
+    """
 
-    unit: np.ndarray
+    text: np.ndarray
     bit: np.ndarray
     node: np.ndarray
     slots: list[np.ndarray]
 
 
-def bits_of(group: list[bytes], index: list[int]) -> Bits:
-    """Bits and hashed contexts of units; contexts end where a unit begins."""
-    data = np.frombuffer(b"".join(group), np.uint8)
-    length = np.array([len(g) for g in group])
-    place = np.arange(len(data)) - np.repeat(np.cumsum(length) - length, length)
-    history = np.zeros(len(data), np.uint64)
-    for back in range(max(ORDERS), 0, -1):
-        before = np.zeros(len(data), np.uint64)
-        before[back:] = data[:-back]
-        before[place < back] = 0
-        history |= before << np.uint64(8 * (back - 1))
-    byte = data.astype(np.int64)[:, None]
+def in_chunks(texts: list[bytes]) -> Iterator[Bits]:
+    """All texts' bits, CHUNK bytes at a time; a byte's context is what its text has before it.
+
+    A context is hashed once for each half of a byte, to 16 neighbouring slots.
+    """
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    starts = np.cumsum([0, *map(len, texts)])[:-1]
     turn = np.arange(8)
-    node = (1 << turn) | (byte >> (8 - turn))
-    mixed_node = node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    slots = []
-    for k, order in enumerate(ORDERS):
-        known = history & np.uint64((1 << 8 * order) - 1) if order else np.minimum(place, 3).astype(np.uint64)
-        h = (known + np.uint64(k << 56)) * np.uint64(0xC2B2AE3D27D4EB4F)
-        h ^= h >> np.uint64(31)
-        h = (h[:, None] + mixed_node) * np.uint64(0xD6E8FEB86659FD93)
-        slots.append((h >> np.uint64(64 - SLOT_BITS)).astype(np.int64) + (k << SLOT_BITS))
-    return Bits(np.repeat(np.array(index), length), (byte >> (7 - turn)) & 1, node, slots)
-
-
-def in_chunks(pieces: list[bytes]) -> Iterator[Bits]:
-    """All units' bits, CHUNK bytes at a time."""
-    group, index, size = [], [], 0
-    for k, piece in enumerate(pieces):
-        for at in range(0, len(piece), PART):
-            group.append(piece[at : at + PART])
-            index.append(k)
-            size += len(group[-1])
-            if size >= CHUNK:
-                yield bits_of(group, index)
-                group, index, size = [], [], 0
-    if group:
-        yield bits_of(group, index)
+    half = (1 << turn % 4)[None, :]
+    for low in range(0, len(data), CHUNK):
+        at = np.arange(low, min(low + CHUNK, len(data)))
+        text = np.searchsorted(starts, at, "right") - 1
+        place = at - starts[text]
+        history = np.zeros(len(at), np.uint64)
+        for back in range(1, max(ORDERS) + 1):
+            before = np.where(place >= back, data[np.maximum(at - back, 0)], 0).astype(np.uint64)
+            history |= before << np.uint64(8 * (back - 1))
+        byte = data[at].astype(np.int64)[:, None]
+        node = (1 << turn) | (byte >> (8 - turn))
+        # the bits of the same half that are known, with a one before them
+        inner = half | (node & (half - 1))
+        upper = np.concatenate([np.zeros_like(byte), 16 + (byte >> 4)], axis=1).astype(np.uint64)
+        slots = []
+        for k, order in enumerate(ORDERS):
+            h = ((history & np.uint64((1 << 8 * order) - 1)) + np.uint64(k << 56)) * np.uint64(0xC2B2AE3D27D4EB4F)
+            h ^= h >> np.uint64(31)
+            h = (h[:, None] + upper * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
+            first = (h >> np.uint64(68 - SLOT_BITS)).astype(np.int64) << 4
+            slots.append(np.repeat(first, 4, axis=1) + inner)
+        yield Bits(text, (byte >> (7 - turn)) & 1, node, slots)
+
+
+def count(texts: list[bytes], table: np.ndarray) -> None:
+    """Adds the texts' bits to ``table``: (predictor, slot and bit) in two dimensions."""
+    size = 2 << SLOT_BITS
+    held: list[list[np.ndarray]] = [[] for _ in ORDERS]
+    chunks = 0
+
+    def add() -> None:
+        for k, seen in enumerate(held):
+            table[k] += np.bincount(np.concatenate(seen), minlength=size)
+            seen.clear()
+
+    for b in in_chunks(texts):
+        for k, slots in enumerate(b.slots):
+            held[k].append((2 * slots + b.bit).ravel().astype(np.int32))
+        chunks += 1
+        if chunks % COUNTED_CHUNKS == 0:
+            add()
+    if held[0]:
+        add()
 
 
 def stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -92,10 +101,21 @@ def stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.log((ones + _PRIOR) / (zeros + _PRIOR)).astype(np.float32)
 
 
+def unseen(table: np.ndarray) -> np.ndarray:
+    """Logits by slot and bit for an occurrence of the bit that the counts leave out."""
+    zeros, ones = table[:, 0::2], table[:, 1::2]
+    out = np.empty(table.shape, np.float32)
+    out[:, 0::2] = stretch(np.maximum(zeros - 1, 0), ones)
+    out[:, 1::2] = stretch(zeros, np.maximum(ones - 1, 0))
+    return out
+
+
 def _logit(inputs: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(gate, mixed logit): the weights are those of the gate."""
-    known = sum((x != 0).astype(np.int64) for x in inputs)
-    gate = known * 8 + np.arange(8)
+    known = np.zeros(inputs[0].shape, np.int8)
+    for x in inputs:
+        known += x != 0
+    gate = known.astype(np.int64) * 8 + np.arange(8)
     out = np.take(weights[:, -1], gate)
     for k, x in enumerate(inputs):
         out += np.take(weights[:, k], gate) * x
@@ -119,31 +139,27 @@ class Trainer:
     were still to come.
     """
 
-    def __init__(self, zeros: np.ndarray, ones: np.ndarray):
-        self.zeros, self.ones = zeros, ones
+    def __init__(self, logits: np.ndarray):
+        """``logits``: of :func:`unseen`."""
+        self.logits = logits
         self.weights = first_weights()
         self.mass = 0.0
         self.refined = np.zeros((2, 256 * STEPS))
 
-    def learn(self, pieces: list[bytes], n: np.ndarray) -> None:
-        for b in in_chunks(pieces):
-            inputs = []
-            for slots in b.slots:
-                zeros, ones = np.take(self.zeros, slots), np.take(self.ones, slots)
-                inputs.append(stretch(np.maximum(zeros - (1 - b.bit), 0), np.maximum(ones - b.bit, 0)))
+    def learn(self, texts: list[bytes]) -> None:
+        for b in in_chunks(texts):
+            inputs = [np.take(own, 2 * slots + b.bit) for own, slots in zip(self.logits, b.slots)]
             gate, logit = _logit(inputs, self.weights)
-            times = np.repeat(n[b.unit], 8).astype(float)
-            miss = (b.bit - 1 / (1 + np.exp(-logit))).ravel() * times
-            at, total = gate.ravel(), np.zeros(GATES)
-            total += np.bincount(at, times, GATES)
-            share = RATE / np.maximum(total, 1e-9)
+            miss = (b.bit.astype(np.float32) - 1 / (1 + np.exp(-logit))).ravel()
+            at = gate.ravel()
+            share = RATE / np.maximum(np.bincount(at, minlength=GATES), 1)
             for k, x in enumerate(inputs):
                 self.weights[:, k] += share * np.bincount(at, miss * x.ravel(), GATES)
             self.weights[:, -1] += share * np.bincount(at, miss, GATES)
             where = cell(b.node, logit).ravel()
             for bit in (0, 1):
-                self.refined[bit] += np.bincount(where, times * (b.bit.ravel() == bit), 256 * STEPS)
-            self.mass += times.sum()
+                self.refined[bit] += np.bincount(where, b.bit.ravel() == bit, 256 * STEPS)
+            self.mass += b.bit.size
 
 
 @dataclass
@@ -153,17 +169,16 @@ class Mixing:
     logits: np.ndarray
     weights: np.ndarray
     refinement: np.ndarray
-    #: Bits of units that a worker remembers.
-    known: dict[bytes, float] = field(default_factory=dict)
-
-    def costs(self, pieces: list[bytes]) -> np.ndarray:
-        """Bits of every unit."""
-        out = np.zeros(len(pieces))
-        for b in in_chunks(pieces):
-            _, logit = _logit([np.take(self.logits, slots) for slots in b.slots], self.weights)
+
+    def costs(self, texts: list[bytes]) -> np.ndarray:
+        """Bits of every text."""
+        out = np.zeros(len(texts))
+        for b in in_chunks(texts):
+            _, logit = _logit([np.take(own, slots) for own, slots in zip(self.logits, b.slots)], self.weights)
             logit = (logit + np.take(self.refinement, cell(b.node, logit))) / 2
-            cost = np.logaddexp(0, np.where(b.bit == 1, -logit, logit)).sum(axis=1) / np.log(2)
-            out += np.bincount(b.unit, cost, len(pieces))
+            against = np.where(b.bit == 1, -logit, logit).astype(float)
+            cost = np.log1p(np.exp(against)).sum(axis=1) / np.log(2)
+            out += np.bincount(b.text, cost, len(texts))
         return out
 
 

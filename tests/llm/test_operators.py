@@ -380,23 +380,68 @@ def test_base_score(spark, empty):
     assert [r["n_known"] for r in blank] == [0, 0]
 
 
+def trained(texts):
+    table = np.zeros((len(mixing.ORDERS), 2 << mixing.SLOT_BITS))
+    mixing.count(texts, table)
+    trainer = mixing.Trainer(mixing.unseen(table))
+    trainer.learn(texts)
+    refined = mixing.refinement(*trainer.refined)
+    return mixing.Mixing(mixing.stretch(table[:, 0::2], table[:, 1::2]), trainer.weights, refined), table
+
+
 def test_mixing_is_a_probability():
-    zeros, ones = np.zeros(mixing.SLOTS), np.zeros(mixing.SLOTS)
-    words, n = [b"the ", b"then ", b"other\n"], np.array([5, 2, 1])
-    for b in mixing.in_chunks(words):
-        for slots in b.slots:
-            for k, bit in np.ndenumerate(b.bit):
-                (ones if bit else zeros)[slots[k]] += n[b.unit[k[0]]]
-    trainer = mixing.Trainer(zeros, ones)
-    trainer.learn(words, n)
-    model = mixing.Mixing(mixing.stretch(zeros, ones), trainer.weights, mixing.refinement(*trainer.refined))
-    for prefix in (b"", b"th"):
+    model, _ = trained([b"the " * 5, b"then " * 2, b"other\n"])
+    for prefix in (b"", b"th", b"the t"):
         before = model.costs([prefix])[0] if prefix else 0.0
         total = sum(2 ** -(model.costs([prefix + bytes([b])])[0] - before) for b in range(256))
         assert total == pytest.approx(1, abs=1e-4)
     assert model.costs([b"the "])[0] < model.costs([b"qzx "])[0]
-    text = "a  b\n c"
-    assert b"".join(mixing.units(text)) == text.encode() + mixing.END
+    assert mixing.closed("a\né") == "a\né".encode() + mixing.END
+
+
+def test_mixing_equals_a_bitwise_reference(monkeypatch):
+    """Counts and costs of every bit by plain loops over contexts that cross words."""
+    texts = [mixing.closed(t) for t in ("ab ab cd", "cd ab", "", "é b")]
+    model, table = trained(texts)
+    assert table.sum() == 8 * len(mixing.ORDERS) * sum(map(len, texts))
+    seen = Counter()
+    for text in texts:
+        for at, byte in enumerate(text):
+            for turn in range(8):
+                for order in mixing.ORDERS:
+                    context = text[max(at - order, 0) : at].rjust(order, b"\0")
+                    seen[order, context, byte >> 8 - turn, turn, byte >> 7 - turn & 1] += 1
+    assert sorted(table[table > 0]) == sorted(seen.values())
+    logit = lambda p, q: np.log((q + 0.4) / (p + 0.4))
+    for text, cost in zip(texts, model.costs(texts), strict=True):
+        bits = 0.0
+        for at, byte in enumerate(text):
+            for turn in range(8):
+                x = []
+                for order in mixing.ORDERS:
+                    context = text[max(at - order, 0) : at].rjust(order, b"\0")
+                    x.append(logit(*(seen[order, context, byte >> 8 - turn, turn, bit] for bit in (0, 1))))
+                gate = model.weights[8 * sum(v != 0 for v in x) + turn]
+                mixed = np.clip(np.dot(gate[:-1], x) + gate[-1], -16, 16)
+                node = 1 << turn | byte >> 8 - turn
+                step = int(np.clip(np.rint((mixed + 8) * 2), 0, mixing.STEPS - 1))
+                mixed = (mixed + model.refinement[node * mixing.STEPS + step]) / 2
+                bits += np.log2(1 + np.exp(-mixed if byte >> 7 - turn & 1 else mixed))
+        assert cost == pytest.approx(bits, rel=1e-3)
+    whole = model.costs(texts)
+    monkeypatch.setattr(mixing, "CHUNK", 3)
+    assert model.costs(texts) == pytest.approx(whole, rel=1e-5)
+
+
+def test_mixing_sees_the_order_of_words_and_not_the_layout(spark):
+    rows = [(i, f"one two three four {i % 5} five six seven") for i in range(60)] + [(None, "one two"), (None, None)]
+    asked = documents(spark, [(0, "one two three four"), (1, "three one four two")])
+    scores = []
+    for parts in (2, 16):
+        model = lm.train(documents(spark, rows).repartition(parts))
+        scores.append([r["bits"] for r in lm.score(asked, model).orderBy("id").collect()])
+    assert scores[0] == scores[1]
+    assert scores[0][0] < scores[0][1]
 
 
 # --- quality classifier
