@@ -129,9 +129,10 @@ def encode_pairs(
         ids = F.transform(words, lambda w: lookup.word_id(F.col("_ids"), w))
         if joins:
             missing = F.transform(words, lambda w: F.when(lookup.word_id(F.col("_ids"), w).isNull(), w))
-            out = lookup.join_tokens(out, F.col(text), missing, rest, "word", "id", "_rest")
-            ids = lookup.in_order(ids, F.col("_rest"))
-        out = out.withColumn(target, encode(ids)).drop("_rest")
+            # settled below the join, so that a text nobody asks for does not pass through it
+            out = lookup.join_tokens(out.withColumn("_near", ids), F.col(text), missing, rest, "word", "id", "_rest")
+            ids = lookup.in_order(F.col("_near"), F.col("_rest"))
+        out = out.withColumn(target, encode(ids)).drop("_near", "_rest")
     return out.withColumn("attention_mask", F.array_repeat(F.lit(1), F.array_size("input_ids"))).drop("_ids")
 
 
