@@ -108,3 +108,11 @@ def test_sql_functions(spark):
         "SELECT t.id, c.* FROM VALUES (1, 'a b c'), (2, ''), (3, NULL) AS t(id, x), LATERAL chunk_text(t.x, 2) AS c"
     ).collect()
     assert sorted(map(tuple, rows)) == [(1, 0, "a b"), (1, 1, "c")]
+
+
+def test_head_sample_is_whole(spark, tmp_path):
+    """The head of a training set is its first 2,000 rows."""
+    rows = spark.range(2100).selectExpr("id AS doc_id", "'a b' AS text", "'en' AS lang", "'src0' AS source")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r["article_id"] for r in catalog.head_sample(spark, str(tmp_path)).collect()]
+    assert got == list(range(2000))
