@@ -136,3 +136,10 @@ def test_valid_runs_and_duplicate_sources(spark):
     assert [r["run"] for r in runs.valid_runs(frame(spark, rows)).collect()] == ["a"]
     listed = spark.createDataFrame([("a", "s1"), ("b", "s1"), ("c", "s2")], "run string, source string")
     assert [tuple(r) for r in runs.duplicate_sources(listed).collect()] == [("s1", 2, "a")]
+
+
+def test_loss_curves_come_in_order(spark):
+    rows = [(f"r{k % 3}", ("eval/loss", "train/loss")[k % 2], k * 7 % 40, k % 5, float(k)) for k in range(120)]
+    got = runs.loss_curves(spark.createDataFrame(rows, LONG).repartition(5)).collect()
+    keys = [(r["run"], r["curve"], r["step"], r["seq"]) for r in got]
+    assert len(keys) == 120 and keys == sorted(keys)
