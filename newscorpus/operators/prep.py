@@ -120,20 +120,23 @@ def encode_pairs(
     near = lookup.held(map_words, FIRST_WORD)
     rest = vocab.where(~near)
     joins = not rest.isEmpty()
-    out = df.withColumn("_ids", lookup.word_ids(vocab.where(near)))
+    held, out = lookup.word_ids(vocab.where(near)), df
     for target, text, length in (
         ("input_ids", article, max_len),
         ("labels", highlights, max_target_len),
     ):
+        out = out.withColumn("_ids", held)
         words = F.slice(tx.words(F.col(text)), 1, length - 1)
         ids = F.transform(words, lambda w: lookup.word_id(F.col("_ids"), w))
         if joins:
             missing = F.transform(words, lambda w: F.when(lookup.word_id(F.col("_ids"), w).isNull(), w))
-            # settled below the join, so that a text nobody asks for does not pass through it
-            out = lookup.join_tokens(out.withColumn("_near", ids), F.col(text), missing, rest, "word", "id", "_rest")
+            # settled below the join: neither a text nobody asks for nor the held words pass through it
+            out = lookup.join_tokens(
+                out.withColumn("_near", ids), F.col(text), missing, rest, "word", "id", "_rest", spent=["_ids"]
+            )
             ids = lookup.in_order(F.col("_near"), F.col("_rest"))
-        out = out.withColumn(target, encode(ids)).drop("_near", "_rest")
-    return out.withColumn("attention_mask", F.array_repeat(F.lit(1), F.array_size("input_ids"))).drop("_ids")
+        out = out.withColumn(target, encode(ids)).drop("_ids", "_near", "_rest")
+    return out.withColumn("attention_mask", F.array_repeat(F.lit(1), F.array_size("input_ids")))
 
 
 def _pad(ids: Column, length: Column | int, fill: int = PAD) -> Column:
@@ -176,9 +179,11 @@ def decode_ids(
     if joins:
         missing = F.transform(clean, lambda i: F.when(F.get(F.col("_words"), i - FIRST_WORD).isNull(), i))
         source = F.array_join(F.transform(F.col(col), lambda i: i.cast("string")), " ", "-")
-        out = lookup.join_tokens(out, source, missing, rest, "id", "word", "_rest")
-        words = lookup.in_order(words, F.col("_rest"))
-    return out.withColumn(name, F.array_join(words, " ")).drop("_words", "_rest")
+        out = lookup.join_tokens(
+            out.withColumn("_near", words), source, missing, rest, "id", "word", "_rest", spent=["_words"]
+        )
+        words = lookup.in_order(F.col("_near"), F.col("_rest"))
+    return out.withColumn(name, F.array_join(words, " ")).drop("_words", "_near", "_rest")
 
 
 def chunk_text(df: DataFrame, col: str, max_tokens: int = 512) -> DataFrame:

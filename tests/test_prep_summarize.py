@@ -164,3 +164,20 @@ def test_plug_in_scorer_and_native_lead_agree(spark):
 def test_twelve_variants(spark):
     names = [m for m, _ in summarize.model_variants()]
     assert len(names) == len(set(names)) == 12 and "T5 Base (2k)" in names
+
+
+def test_held_words_do_not_pass_through_the_join(spark):
+    """A row carries its ids through the join, not a copy of the words held in each task."""
+    df = spark.createDataFrame([(0, "a b c", "a"), (1, "c", "b c")], "id int, article string, highlights string")
+    vocab = spark.createDataFrame([("a", 3), ("b", 4), ("c", 5)], "word string, id int")
+    enc = prep.encode_pairs(df, vocab, max_len=5, max_target_len=5, map_words=1)
+    back = prep.decode_ids(enc.select("id", "input_ids"), vocab, "input_ids", map_words=1)
+    for out, held in ((enc, "_ids"), (back.select("id", "decoded"), "_words")):
+        nodes = [out._jdf.queryExecution().optimizedPlan()]
+        joined = []
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(k) for k in range(node.children().size())]
+            if node.nodeName() == "Join":
+                joined.append(node.output().mkString(" "))
+        assert joined and not any(f" {held}#" in f" {x}" for x in joined)
