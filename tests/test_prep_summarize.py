@@ -181,3 +181,19 @@ def test_held_words_do_not_pass_through_the_join(spark):
             if node.nodeName() == "Join":
                 joined.append(node.output().mkString(" "))
         assert joined and not any(f" {held}#" in f" {x}" for x in joined)
+
+
+def test_summary_cuts_terms_once_and_stops_at_k(spark):
+    text = "one two three four. one two three five. six seven eight. nine ten eleven. one two three six. x y z"
+    df = spark.createDataFrame([(1, text), (2, text + ". q r s"), (3, ""), (4, None)], "id int, t string")
+    out = summarize.extractive_summary(df, "id", "t", k=2, no_repeat_ngram=3)
+    assert out.columns == ["id", "t", "summary"]
+    # the terms are read from the stored rows
+    assert "p{L}" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["id"]: len(r["summary"].split(". ")) if r["summary"] else 0 for r in out.collect()} == {1: 2, 2: 2, 3: 0, 4: 0}
+    rng = random.Random(7)
+    for _ in range(200):
+        lines = "\n".join(" ".join(rng.choices("abc", k=rng.randint(0, 6))) for _ in range(8))
+        order = rng.sample(range(8), 8)
+        for most in range(1, 9):
+            assert summarize._greedy(lines, order, 3, most) == summarize._greedy(lines, order, 3)[:most]
