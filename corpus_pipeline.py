@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from newscorpus.llm import decontaminate, langid, queries, secrets, simhash
-from newscorpus.llm.common import saved, table
+from newscorpus.llm.common import saved, small_batches, table
 from newscorpus.sources.scratch import new_path
 
 #: A text nearer to no language than this cosine is rejected.
@@ -14,11 +14,13 @@ LEAST_COSINE = 0.05
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose language stays undetermined or unlike all learned ones."""
+    small_batches(spark)
     return langid.keep_identified(docs, queries.language_profiles(docs), at_least=LEAST_COSINE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: that of the smallest id."""
+    small_batches(spark)
     return simhash.keep_one(docs, shingle=3, radius=3)
 
 
@@ -29,6 +31,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret in a text becomes a mark; ``n_chars`` follows the text."""
+    small_batches(spark)
     ledger = new_path(spark, "ledger")
     secrets.commit(docs, ledger)
     return secrets.redacted(docs, ledger).selectExpr(
@@ -41,6 +44,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text in digest form."""
+    small_batches(spark)
     return queries.encoded(docs)
 
 

@@ -40,6 +40,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Most rows and bytes that a task sends to Python at a time: long texts are held on both sides.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches; lower bounds, given as plain numbers, stay."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        held = str(spark.conf.get(key)).removesuffix("b")
+        if not held.isdigit() or not 0 < int(held) <= most:
+            spark.conf.set(key, str(most))
+
+
 def bucketed(df: DataFrame, column: str, name: str) -> DataFrame:
     """``df`` saved in buckets by ``column``: joins on it leave its rows where they are.
 

@@ -288,7 +288,9 @@ def encode(
                 if decoded:
                     columns.append(pa.array([_decoded(i, v.surface) for i in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names)
-        v.known.clear()  # the worker goes on to other tasks
+            # what was sent is no longer needed; the worker goes on to other tasks
+            pa.default_memory_pool().release_unused()
+        v.known.clear()
 
     schema = f"id {kind}, text string, ids array<int>" + (", decoded string" if decoded else "")
     return docs.mapInArrow(of, schema)

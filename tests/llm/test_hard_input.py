@@ -107,3 +107,20 @@ def test_boilerplate_items_meet_a_document_once(spark, monkeypatch, broadcast):
     docs = spark.range(50).select(F.col("id").alias("doc_id"), F.lit(f"lead {text} tail").alias("text"))
     got = decontaminate.decontaminate(docs, items).collect()
     assert len(got) == 50 and {(r["n_hit"], len(r["items"])) for r in got} == {(30, 200)}
+
+
+def test_pipeline_sends_small_batches_to_python(spark):
+    """Ten thousand long texts at once would be held by the JVM and by Python."""
+    import corpus_pipeline
+
+    keys = [f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes")]
+    try:
+        docs = spark.createDataFrame([(1, "die Katze und der Hund", "de"), (2, "the cat and the dog", "en")], "doc_id long, text string, lang string")
+        assert corpus_pipeline.identify_language(spark, docs, "").count() == 2
+        assert [int(spark.conf.get(k)) for k in keys] == [2000, 8 << 20]
+        big = spark.range(3000).selectExpr("repeat('x', 10000) AS t").coalesce(1)
+        sizes = big.mapInPandas(lambda it: (b.assign(t=str(len(b)))[:1] for b in it), "t string").collect()
+        assert max(int(r["t"]) for r in sizes) < 1000
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
