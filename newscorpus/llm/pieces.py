@@ -49,8 +49,8 @@ class Vocabulary:
         self.longest = max(map(len, self.pieces))
         if any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("words cannot be told apart: a piece goes on behind a word's end")
-        self.surface = {int(i): p.encode() for i, p in zip(self.ids, self.pieces)}
-        self.surface |= {i: bytes([b]) for b, i in self.byte.items()}
+        self.surface = _Surface((int(i), p.encode()) for i, p in zip(self.ids, self.pieces))
+        self.surface.update((i, bytes([b])) for b, i in self.byte.items())
         self.surface[self.unknown] = " ⁇ ".encode()
         lengths = [len(p) for p in self.pieces]
         self.lengths = np.array(lengths)
@@ -60,6 +60,13 @@ class Vocabulary:
         self.known: dict[str, bytes] = {}
 
 
+class _Surface(dict):
+    """Bytes of an id; control ids and unknown numbers have none."""
+
+    def __missing__(self, key) -> bytes:
+        return b""
+
+
 @functools.lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -73,10 +80,46 @@ def _words(text: str) -> list[str]:
     return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Start positions in the order of the first ``depth`` characters, by prefix doubling."""
-    rank = np.unique(codes, return_inverse=True)[1]
-    offset = 1
+class Heads:
+    """The characters at each place as one number: as many as fit, ``width`` of them.
+
+    Numbers of characters follow their order; 0 stands behind the last one.
+    """
+
+    def __init__(self, codes: np.ndarray):
+        present = np.zeros(int(codes.max(initial=0)) + 1, bool)
+        present[codes] = True
+        self.symbol = np.where(present, np.cumsum(present), 0)
+        self.bits = max(1, int(self.symbol.max()).bit_length())
+        self.width = 62 // self.bits
+        own = self.symbol[codes]
+        self.numbers = own.copy()
+        for k in range(1, self.width):
+            self.numbers <<= self.bits
+            self.numbers[:-k] |= own[k:]
+
+    def of(self, strings: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(least, greatest, possible) number of a place where each string begins."""
+        least, possible = np.zeros(len(strings), np.int64), np.ones(len(strings), bool)
+        for k in range(self.width):
+            inside, code = k < lengths, strings[:, min(k, strings.shape[1] - 1)]
+            symbol = np.where(inside, self.symbol[np.minimum(code, len(self.symbol) - 1)], 0)
+            possible &= ~inside | ((code < len(self.symbol)) & (symbol > 0))
+            least = least << self.bits | symbol
+        rest = np.maximum(self.width - lengths, 0) * self.bits
+        return least, least + (np.int64(1) << rest) - 1, possible
+
+
+def suffix_array(codes: np.ndarray, depth: int, heads: Heads | None = None) -> np.ndarray:
+    """Start positions in the order of the first ``depth`` characters, by prefix doubling.
+
+    Doubling starts from the heads, not from single characters.
+    """
+    heads = heads or Heads(codes)
+    offset = heads.width
+    if offset >= depth:
+        return np.argsort(heads.numbers, kind="stable")
+    rank = np.unique(heads.numbers, return_inverse=True)[1]
     while True:
         after = np.zeros_like(rank)
         after[:-offset] = rank[offset:] + 1
@@ -87,15 +130,21 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
         offset *= 2
 
 
-def occurrences(codes: np.ndarray, order: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+def occurrences(
+    codes: np.ndarray, order: np.ndarray, v: Vocabulary, heads: Heads | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(low, high) of every piece: its places are order[low:high].
 
-    All pieces are searched at once, one character deeper each time.
+    All pieces are searched at once: by their heads, then one character deeper
+    each time.
     """
+    heads = heads or Heads(codes)
+    least, greatest, possible = heads.of(v.codes, v.lengths)
+    ordered = heads.numbers[order]
+    low, high = np.searchsorted(ordered, least), np.searchsorted(ordered, greatest, "right")
+    high = np.where(possible, high, low)
     padded = np.concatenate([codes, np.zeros(v.longest, codes.dtype)])
-    low = np.zeros(len(v.pieces), np.int64)
-    high = np.full(len(v.pieces), len(order), np.int64)
-    for depth in range(v.longest):
+    for depth in range(heads.width, v.longest):
         deeper = np.flatnonzero((v.lengths > depth) & (low < high))
         if not len(deeper):
             break
@@ -116,8 +165,9 @@ def occurrences(codes: np.ndarray, order: np.ndarray, v: Vocabulary) -> tuple[np
 
 def edges(codes: np.ndarray, v: Vocabulary) -> np.ndarray:
     """Row by position, column by length: 1 + the index of the piece there, 0 for none."""
-    order = suffix_array(codes, v.longest)
-    low, high = occurrences(codes, order, v)
+    heads = Heads(codes)
+    order = suffix_array(codes, v.longest, heads)
+    low, high = occurrences(codes, order, v, heads)
     n = high - low
     piece = np.repeat(np.arange(len(n)), n)
     within = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)
@@ -179,8 +229,9 @@ def _relax(by_place: np.ndarray, start: np.ndarray, length: np.ndarray, v: Vocab
     first on ties; all words take one in each round.
     """
     boundary = np.ones(len(by_place), bool)
-    rank = np.append(v.rank, len(v.rank))  # the last: no piece
     none = len(v.rank)
+    rank = np.append(none, v.rank)  # the first: no piece
+    pieces, width = by_place.ravel(), by_place.shape[1]
     short = np.flatnonzero((length > 1) & (length <= ROUND_CHARS))
     for k in np.flatnonzero(length > ROUND_CHARS):
         _merge_long(by_place, int(start[k]), int(length[k]), v, boundary)
@@ -195,10 +246,9 @@ def _relax(by_place: np.ndarray, start: np.ndarray, length: np.ndarray, v: Vocab
         inner = np.append(word[1:] == word[:-1], False)
         third = np.append(word[2:] == word[:-2], [False, False])[: len(token)] if len(token) > 1 else np.zeros(1, bool)
         end = np.where(third, end, stop[word])
-        span = np.where(inner, end - token, 0)
-        fits = (span > 0) & (span <= v.longest)
-        best = np.full(len(token), none)
-        best[fits] = rank[by_place[token[fits], span[fits]] - 1]
+        span = end - token
+        span[~inner | (span > v.longest)] = 0  # no piece is that short
+        best = rank.take(pieces.take(token * width + span))
         key = best * len(token) + np.arange(len(token))
         heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
         least = np.minimum.reduceat(key, heads)
@@ -242,20 +292,13 @@ def _merge_long(by_place: np.ndarray, start: int, length: int, v: Vocabulary, bo
 
 
 def _encode_texts(column, v: Vocabulary) -> list[np.ndarray]:
-    unseen: set[str] = set()
-    for text in column:
-        unseen.update(w for w in _words(text) if w not in v.known)
-    new = list(unseen)
-    known = v.known
-    extra = dict(zip(new, encode_words(new, v)))
-    room = CACHE_WORDS - len(known)
-    if room > 0:
-        known.update((w, extra[w]) for w in new[:room])
-        extra = {w: extra[w] for w in new[room:]}
-    out = []
-    for text in column:
-        raw = b"".join([known[w] if w in known else extra[w] for w in _words(text)])
-        out.append(np.frombuffer(raw, "<i4"))
+    known, words = v.known, [_words(text) for text in column]
+    new = list(set().union(*words).difference(known))
+    room = max(0, CACHE_WORDS - len(known))
+    known.update(zip(new, encode_words(new, v)))
+    out = [np.frombuffer(b"".join(map(known.__getitem__, own)), "<i4") for own in words]
+    for w in new[room:]:
+        del known[w]
     return out
 
 
@@ -307,9 +350,9 @@ def decode(ids: Column, model_path: str) -> Column:
     return of(ids)
 
 
-def _decoded(ids, surface: dict[int, bytes]) -> str:
+def _decoded(ids, surface: _Surface) -> str:
     if ids is None or not len(ids):
         return ""
-    raw = b"".join([surface.get(i, b"") for i in ids.tolist()])
+    raw = b"".join(map(surface.__getitem__, ids.tolist()))
     text = raw.decode("utf-8", "each_byte").replace(SPACE, " ")
     return text[1:] if raw.startswith(SPACE.encode()) else text
