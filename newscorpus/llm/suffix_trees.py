@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newscorpus.llm.common import bucketed, saved
@@ -121,8 +121,8 @@ def deep_nodes(codes: np.ndarray, start: np.ndarray, depth: int) -> tuple[np.nda
 def _subtree(window: int, rows: pd.DataFrame) -> pd.DataFrame:
     """What a group finds: offsets of segments that repeat, and firsts of dealt grams."""
     words = b" ".join(rows["words"]).split(b" ")
-    known: dict[bytes, int] = {}
-    codes = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
+    known = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    codes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
     n = rows["n"].to_numpy(np.int64)
     low = np.cumsum(n + window - 1) - (n + window - 1)
     segment = np.repeat(np.arange(len(n)), n)
@@ -182,10 +182,9 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
                 )
 
     grams = units.mapInArrow(counted, "gram bigint, unit bigint, n bigint")
-    shared = grams.groupBy("gram").agg(F.sum("n").alias("total")).where("total > 1")
-    answers = grams.select("gram", "unit").join(shared, "gram").groupBy("unit").agg(
-        F.sort_array(F.collect_list(F.struct("gram", "total"))).alias("shared")
-    )
+    # a unit sends a gram once, so a gram's rows are at most as many as the units
+    shared = grams.withColumn("total", F.sum("n").over(Window.partitionBy("gram"))).where("total > 1")
+    answers = shared.groupBy("unit").agg(F.sort_array(F.collect_list(F.struct("gram", "total"))).alias("shared"))
     answers = answers.select("unit", "shared.gram", "shared.total")
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

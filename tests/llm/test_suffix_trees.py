@@ -80,6 +80,21 @@ def test_equal_hashes_do_not_remove(spark, monkeypatch):
     assert [tuple(r.values()) for r in out] == by_hand(rows, 4)
 
 
+def test_units_count_their_grams_once(spark, monkeypatch):
+    plans, saved = [], suffix_trees.saved
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return saved(df, name)
+
+    monkeypatch.setattr(suffix_trees, "saved", noted)
+    df = spark.createDataFrame([(1, "a b c d"), (2, "x a b c")], "doc_id bigint, text string")
+    found = {r["id"]: r["kept"] for r in suffix_trees.repeats(df, window=3).collect()}
+    assert found == {1: "a b c d", 2: "x"}
+    # once to count the grams, once to send segments
+    assert [p.count("MapInArrow") for p in plans] == [2]
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert suffix_trees.repeats(empty).count() == 0
