@@ -15,6 +15,7 @@ the sums of its own pairs back.
 from __future__ import annotations
 
 import gc
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -32,13 +33,15 @@ from newscorpus.llm.common import bucketed, named
 UNIT_CHARS = 4 << 20
 #: Characters that are tokenised together.
 RUN_CHARS = 1 << 18
-#: Chunks whose tokens a task remembers; it starts anew beyond.
-HELD = 200_000
+#: Chunks whose tokens a task remembers, the first ones.
+HELD = 80_000
 
 #: One space between two other characters.  Neither tokenizer joins what stands
 #: on its two sides, so both give the same tokens for the parts as for the whole.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _SPACE = "▁"
+#: Between the ids of A and of B; no id.
+_BETWEEN = b"\xff" * 4
 
 
 def _byte_level() -> dict[str, int]:
@@ -48,6 +51,14 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
+def _merged(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two rising sequences as one, and what stands in both."""
+    every = np.concatenate([a, b])
+    every.sort(kind="stable")  # merges what is sorted already
+    again = every[1:] == every[:-1]
+    return every[np.append(True, ~again)], every[1:][again]
+
+
 class Pair:
     """Two tokenizers: A (``tokenizers``, byte-level) and B (``sentencepiece``)."""
 
@@ -72,29 +83,40 @@ class Pair:
         self.cuts = not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
         self.a_size, self.b_size = (np.array([len(t) for t in v]) for v in (self.a_bytes, self.b_bytes))
         self.a_space, self.b_space = (np.array([t[:1] == b" " for t in v]) for v in (self.a_bytes, self.b_bytes))
-        self.chunks: dict[str, tuple[bytes, bytes] | None] = {}
+        self.chunks: dict[str, tuple[bytes, bytes] | None] = {}  # tokens of chunks
         # what an id adds to the text of groups, by what follows it
         a_ids, b_ids = range(len(self.a_bytes)), range(len(self.b_bytes))
         self.written = [f"{i}{c}" for ids, ends in ((a_ids, ",|"), (b_ids, ",;\n")) for i in ids for c in ends]
 
+    def cut(self, text: str) -> list[str]:
+        """The chunks of a text, which is what one space each joins."""
+        return _CUT.split(text) if self.cuts else [text]
+
     def tokens(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """The ids of both (int32 as bytes) for each text; None where bytes differ from the text's."""
-        parts = [_CUT.split(t) if self.cuts else [t] for t in texts]
-        new = {c for part in parts for c in part if c not in self.chunks}
-        if len(self.chunks) + len(new) > HELD:
-            self.chunks = {}
-            new = {c for part in parts for c in part}
-        self._learn(new)
+        parts = [self.cut(t) for t in texts]
+        of = dict.fromkeys(c for part in parts for c in part)
+        of = dict(zip(of, self.of_chunks(list(of))))
         out = []
         for part in parts:
-            found = [self.chunks[c] for c in part]
+            found = [of[c] for c in part]
             out.append(None if None in found else tuple(map(b"".join, zip(*found))))
         return out
 
-    def _learn(self, new: set[str]) -> None:
+    def of_chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """The same for each of some distinct chunks; those met first are remembered."""
+        new = [c for c in chunks if c not in self.chunks]
+        room = max(0, HELD - len(self.chunks))
+        self._learn(new)
+        out = list(map(self.chunks.__getitem__, chunks))
+        for c in new[room:]:
+            del self.chunks[c]
+        return out
+
+    def _learn(self, new: list[str]) -> None:
         """Tokens of new chunks, those that a space may join taken together."""
         joined, size = [], 0
-        for c in sorted(new):
+        for c in new:
             if not self.cuts or c[0].isspace() or c[-1].isspace():
                 self._encode([c])
                 continue
@@ -130,58 +152,87 @@ class Pair:
                 self._encode([c])
 
 
+class _Numbers(dict):
+    """Numbers from 0 in the order of being asked for."""
+
+    def __missing__(self, key) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 class Unit:
-    """Some documents as numbers of windows, each window once."""
+    """Some documents as numbers of windows, each window once.
+
+    A chunk's ends are anchors, so its windows are its own: chunks are told apart
+    as they come, and each distinct one is looked into once.
+    """
 
     def __init__(self, pair: Pair):
         self.pair, self.size = pair, 0
-        self.ids, self.counts, self.sequence = [], [], []
-        #: Windows by their id tuples; the fresh ones are aligned after each run.
-        self.window: dict[tuple[bytes, bytes], int] = {}
+        self.ids: list = []
+        #: Numbers of the chunks, those of each document, and how many chunks were looked into.
+        self.chunk = _Numbers()
+        self.documents: list[np.ndarray] = []
+        self.fresh_chunks = 0
+        #: Tokens of A and of B, groups and windows of each chunk (-1: of no use), and its windows.
+        self.counts: list[np.ndarray] = []
+        self.windows: list[np.ndarray] = []
+        #: Windows by their ids, those of A and B apart; the fresh ones are aligned after each run.
+        self.window: dict[bytes, int] = {}
         self.fresh: list[tuple[bytes, bytes]] = []
         self.groups, self.links, self.n_links = [], [], []
 
     def add(self, ids: list, texts: list[str]) -> None:
         self.size += sum(map(len, texts))
         self.ids += ids
-        found = iter(self.pair.tokens([t for t in texts if t]))
-        tokens = [next(found) if t else None for t in texts]
-        good = [t for t in tokens if t]
-        numbers = iter(self._windows(good) if good else [])
-        for t in tokens:
-            n_groups, windows = next(numbers) if t else (0, ())
-            self.sequence.append(np.array(windows, np.int32))
-            self.counts.append((len(t[0]) // 4 if t else 0, len(t[1]) // 4 if t else 0, n_groups, len(windows)))
+        for text in texts:
+            chunks = self.pair.cut(text) if text else []
+            self.documents.append(np.fromiter(map(self.chunk.__getitem__, chunks), np.int32, len(chunks)))
+        self._look_into(list(itertools.islice(reversed(self.chunk), len(self.chunk) - self.fresh_chunks))[::-1])
+        self.fresh_chunks = len(self.chunk)
+
+    def _look_into(self, chunks: list[str]) -> None:
+        tokens = self.pair.of_chunks(chunks)
+        counts = np.zeros((len(chunks), 4), np.int64)
+        good = np.array([t is not None for t in tokens], bool)
+        counts[~good] = -1
+        if good.any():
+            found = [t for t in tokens if t is not None]
+            counts[good, 0], counts[good, 1] = ([len(t[side]) // 4 for t in found] for side in (0, 1))
+            counts[good, 2], counts[good, 3], windows = self._windows(found)
+            self.windows.append(windows)
+        self.counts.append(counts)
         if self.fresh:
             self._align()
 
-    def _windows(self, tokens: list[tuple[bytes, bytes]]) -> Iterator[tuple[int, list[int]]]:
-        """(shared ends, window numbers) of each document, all split at once."""
+    def _windows(self, tokens: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(shared ends, number of windows) of each chunk and all their windows, all split at once."""
         a_bytes, b_bytes = (b"".join(side) for side in zip(*tokens))
         a, b = np.frombuffer(a_bytes, "<i4"), np.frombuffer(b_bytes, "<i4")
         a_end, b_end = np.cumsum(self.pair.a_size[a]), np.cumsum(self.pair.b_size[b])
-        shared = np.intersect1d(a_end, b_end, assume_unique=True)
+        shared = _merged(a_end, b_end)[1]
         a_at, b_at = np.searchsorted(a_end, shared) + 1, np.searchsorted(b_end, shared) + 1
-        # a shared end between documents is an anchor as well
+        # a chunk's end is an anchor as well
         last = np.cumsum([len(t[0]) // 4 for t in tokens])
-        anchor = np.isin(a_at, last)
+        anchor = np.zeros(len(shared), bool)
+        anchor[np.searchsorted(a_at, last)] = True
         inner = np.flatnonzero(~anchor)
         anchor[inner] = self.pair.a_space[a[a_at[inner]]] & self.pair.b_space[b[b_at[inner]]]
         a_cut, b_cut = a_at[anchor], b_at[anchor]
         numbers, known, fresh = [], self.window, self.fresh
         a_low = b_low = 0
         for a_high, b_high in zip((4 * a_cut).tolist(), (4 * b_cut).tolist()):
-            window = (a_bytes[a_low:a_high], b_bytes[b_low:b_high])
+            own = (a_bytes[a_low:a_high], b_bytes[b_low:b_high])
+            window = _BETWEEN.join(own)
             number = known.get(window)
             if number is None:
                 number = known[window] = len(known)
-                fresh.append(window)
+                fresh.append(own)
             numbers.append(number)
             a_low, b_low = a_high, b_high
-        ends = np.searchsorted(a_cut, last) + 1
+        n_windows = np.diff(np.searchsorted(a_cut, last) + 1, prepend=0)
         n_groups = np.diff(np.searchsorted(a_at, last) + 1, prepend=0)
-        for n, low, high in zip(n_groups.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
-            yield n, numbers[low:high]
+        return n_groups, n_windows, np.array(numbers, np.int32)
 
     def _align(self) -> None:
         """Links and groups of the fresh windows, end to end in one go."""
@@ -189,11 +240,10 @@ class Unit:
         a_end, b_end = np.cumsum(self.pair.a_size[a]), np.cumsum(self.pair.b_size[b])
         a_last, b_last = (np.cumsum([len(x) // 4 for x in side]) - 1 for side in zip(*self.fresh))
         # between two neighbouring ends lies the overlap of one token of each
-        ends = np.union1d(a_end, b_end)
+        ends, shared = _merged(a_end, b_end)
         self.links.append(a[np.searchsorted(a_end, ends)] << 32 | b[np.searchsorted(b_end, ends)])
         self.n_links.append(np.diff(np.searchsorted(ends, a_end[a_last]) + 1, prepend=0))
         # a group is written as its ids of A and then those of B
-        shared = np.intersect1d(a_end, b_end, assume_unique=True)
         a_at, b_at = np.searchsorted(a_end, shared) + 1, np.searchsorted(b_end, shared) + 1
         a_mark, b_mark = 2 * a, 2 * len(self.pair.a_bytes) + 3 * b
         a_mark[a_at - 1] += 1
@@ -205,16 +255,33 @@ class Unit:
         self.groups.append("".join(map(self.pair.written.__getitem__, order.tolist())))
         self.fresh.clear()
 
+    def _per_document(self) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of each document, and the window numbers of all, end to end."""
+        of_chunk = np.concatenate([np.zeros((0, 4), np.int64), *self.counts])
+        windows = np.concatenate([np.zeros(0, np.int32), *self.windows])
+        low = np.cumsum(np.maximum(of_chunk[:, 3], 0)) - np.maximum(of_chunk[:, 3], 0)
+        counts, sequence = np.zeros((len(self.ids), 4), np.int64), [np.zeros(0, np.int32)]
+        for k, chunks in enumerate(self.documents):
+            own = of_chunk[chunks]
+            if (own < 0).any():
+                continue  # tokens' bytes are not the text's
+            counts[k] = own.sum(axis=0)
+            n = own[:, 3]
+            sequence.append(windows[np.arange(n.sum()) + np.repeat(low[chunks] - np.cumsum(n) + n, n)])
+        return counts, np.concatenate(sequence)
+
     def row(self, number: int) -> pa.RecordBatch:
         none = np.zeros(0, np.int64)
-        sequence = np.concatenate([none, *self.sequence])
+        # what tells chunks and windows apart is no longer needed
+        self.chunk.clear()
+        self.window.clear()
+        counts, sequence = self._per_document()
         n_links = np.concatenate([none, *self.n_links])
         pairs, links = np.unique(np.concatenate([none, *self.links]), return_inverse=True)
         times = np.bincount(sequence, minlength=len(n_links))  # of each window in the unit
         n = np.bincount(links, np.repeat(times, n_links), len(pairs)).astype(np.int64)
         data = [bytes(x.astype("<i4")) for x in (sequence, links, n_links)]
         blobs = [zstandard.compress(x, 3) for x in (*data, "".join(self.groups).encode())]
-        counts = np.array(self.counts, np.int64).reshape(-1, 4)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
@@ -255,8 +322,13 @@ def _units(df: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str)
                         yield unit.row(number)
                         number, unit = number + 1, Unit(pair)
         unit.add(ids, texts)
+        del ids, texts
         if unit.ids:
             yield unit.row(number)
+        # the worker goes on to other tasks
+        del unit
+        pair.chunks.clear()
+        pa.default_memory_pool().release_unused()
         gc.enable()
 
     docs = df.select(named(id_col).cast("bigint").alias("id"), named(text_col).alias("text"))

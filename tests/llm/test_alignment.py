@@ -130,3 +130,21 @@ def test_query_without_tokens(spark, tmp_path):
     found = {r["doc_id"]: r for r in queries.op11_alignment(spark, str(tmp_path)).collect()}
     assert found[2]["groups_sha256"] == "" and len(found[1]["groups_sha256"]) == 64
     assert not spark.sql("SHOW TABLES").where("tableName LIKE 'units_%'").count()
+
+
+def test_a_unit_looks_into_a_chunk_once(monkeypatch):
+    """And the first chunks, which mostly recur, stay known."""
+    learnt, looked = [], []
+    learn, windows = alignment.Pair._learn, alignment.Unit._windows
+    monkeypatch.setattr(alignment, "HELD", 40)
+    monkeypatch.setattr(alignment.Pair, "_learn", lambda self, new: learnt.extend(new) or learn(self, new))
+    monkeypatch.setattr(alignment.Unit, "_windows", lambda self, t: looked.append(len(t)) or windows(self, t))
+    pair, rows = alignment.Pair(A, B), []
+    for k in range(8):
+        unit = alignment.Unit(pair)
+        unit.add([1, 2], ["the news of the day", ""])
+        unit.add([3, 4], ["news of the day, the news " + " ".join(f"x{k}y{i}" for i in range(12)), "the day"])
+        rows.append(unit.row(k).to_pylist()[0])
+    assert looked == [4, 13] * 8  # distinct chunks, not all of them
+    assert all(learnt.count(c) == 1 for c in ("the", "news", "of", "day", "day,"))
+    assert {tuple(r["n_windows"]) for r in rows} == {(5, 0, 18, 2)}
