@@ -8,10 +8,12 @@ position takes part only while its rank is shared:
    run; windows whose rank stands in one document only drop out;
 2. runs left are reranked by the 75 bytes from their begin, which hold all their
    windows: a rank shared with a smaller id settles them all;
-3. the windows still open are reranked by their 50 bytes.
+3. the windows still open are ranked by the least of their 40-byte grams, again
+   a run at a time; those whose rank stands in one document only drop out;
+4. the windows left are reranked by their 50 bytes.
 
-A rank is a hash of its bytes (32 bits for the first, which only excludes; 64
-for the others).  Each unit (some documents) sends its sorted distinct ranks,
+A rank is a hash of its bytes (40 bits for the first and third, which only
+exclude; 64 for the others).  Each unit (some documents) sends its sorted distinct ranks,
 packed, to the rank's range; there they meet those of all other units, and one
 bit a rank goes back.  A rank comes once from a unit, however many of its
 documents hold it, so no string is a hot key.
@@ -40,6 +42,8 @@ RANGE_BYTES = 16 << 20
 #: Bytes hashed at once.
 SEGMENT = 1 << 19
 
+#: Bits less of the ranks that only exclude: 40 are left, so few meet by chance in a large corpus.
+_LESS = np.uint64(24)
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -48,6 +52,7 @@ class Unit:
 
     def __init__(self, ids: np.ndarray, sizes: np.ndarray, data: bytes, window: int):
         self.ids, self.window, self.gram = ids, window, window // 2
+        self.long_gram = max(self.gram, window * 4 // 5)
         self.buffer = np.frombuffer(data, np.uint8)
         self.end = np.cumsum(sizes)
         self.start = self.end - sizes
@@ -67,15 +72,15 @@ class Unit:
                 out[i:j] = _between(sums, at[i:j] - low, length)
         return out
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(begin, stop, rank) of neighbouring windows of one least gram, and its rank."""
-        span = self.window - self.gram + 1
+    def runs(self, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(begin, stop, rank) of neighbouring windows of one least gram of ``gram`` bytes, and its rank."""
+        span = self.window - gram + 1
         out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]]
         for low in range(0, len(self.buffer), SEGMENT):
             part = self.buffer[low : low + SEGMENT + self.window - 1]
             if len(part) < self.window:
                 continue
-            grams = _between(_prefix_sums(part), np.arange(len(part) - self.gram + 1), self.gram)
+            grams = _between(_prefix_sums(part), np.arange(len(part) - gram + 1), gram)
             least = _sliding(grams, span, np.minimum)
             whole = self.fits(low + np.arange(len(least)), self.window)
             change = least[1:] != least[:-1]
@@ -178,8 +183,8 @@ class Search:
 
     def __init__(self, unit: Unit, ranges: int):
         self.unit, self.ranges = unit, ranges
-        self.begin, self.stop, rank = unit.runs()
-        self.first = self._ranks(rank >> np.uint64(32), self.begin)
+        self.begin, self.stop, rank = unit.runs(unit.gram)
+        self.first = self._ranks(rank >> _LESS, self.begin)
 
     def _ranks(self, ranks: np.ndarray, at: np.ndarray) -> Ranks:
         return Ranks(ranks, self.unit.ids[self.unit.doc[at]], self.ranges)
@@ -189,12 +194,15 @@ class Search:
         elsewhere = ranks.per_entry(ranks.bits(answers))
         return elsewhere | (self.unit.ids[self.unit.doc[at]] > ranks.per_entry(ranks.least))
 
+    def _alive(self, ranks: Ranks, at: np.ndarray, answers) -> np.ndarray:
+        """Entries whose rank stands in another unit, or in two documents of this one."""
+        differs = self.unit.ids[self.unit.doc[at]] > ranks.per_entry(ranks.least)
+        many = np.zeros(len(ranks.distinct), bool)
+        many[ranks.per_entry(np.arange(len(many)))[differs]] = True
+        return ranks.per_entry(many | ranks.bits(answers))
+
     def rerank_runs(self, answers) -> Ranks:
-        # alive: in another unit, or in two documents of this one
-        differs = self.unit.ids[self.unit.doc[self.begin]] > self.first.per_entry(self.first.least)
-        many = np.zeros(len(self.first.distinct), bool)
-        many[self.first.per_entry(np.arange(len(many)))[differs]] = True
-        self.alive = self.first.per_entry(many | self.first.bits(answers))
+        self.alive = self._alive(self.first, self.begin, answers)
         # all windows of a run lie within ``reach`` bytes of its begin
         span = self.unit.window - self.unit.gram + 1
         reach = self.unit.window + span - 1
@@ -205,13 +213,24 @@ class Search:
         del self.first
         return self.second
 
-    def rerank_windows(self, answers) -> Ranks:
+    def rerank_grams(self, answers) -> Ranks:
         self.settled = np.zeros(len(self.begin), bool)
         self.settled[self.asked] = self._shared(self.second, self.begin[self.asked], answers)
         del self.second
         still = self.alive & ~self.settled
         n = (self.stop - self.begin)[still]
         self.left = np.repeat(self.begin[still], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        # the windows still open, as runs of one least long gram
+        begin, _, rank = self.unit.runs(self.unit.long_gram)
+        run = np.searchsorted(begin, self.left, "right") - 1
+        new = np.append(True, run[1:] != run[:-1]) if len(run) else np.zeros(0, bool)
+        self.of_run, self.run_at = np.cumsum(new) - 1, begin[run[new]]
+        self.grams = self._ranks(rank[run[new]] >> _LESS, self.run_at)
+        return self.grams
+
+    def rerank_windows(self, answers) -> Ranks:
+        self.left = self.left[self._alive(self.grams, self.run_at, answers)[self.of_run]]
+        del self.grams, self.of_run, self.run_at
         self.third = self._ranks(self.unit.hashes(self.left, self.unit.window), self.left)
         return self.third
 
@@ -339,19 +358,25 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
         yield pd.DataFrame(list(rows), columns=["range", "unit", "ranks", "ids"])
 
     def first(search: Search, row: dict):
-        return frame(search.first.rows(row["unit"], "<u4", False))
+        return frame(search.first.rows(row["unit"], "<u8", False))
 
     def second(search: Search, row: dict):
         return frame(search.rerank_runs(row["a0"]).rows(row["unit"], "<u8", True))
 
     def third(search: Search, row: dict):
         search.rerank_runs(row["a0"])
-        return frame(search.rerank_windows(row["a1"]).rows(row["unit"], "<u8", True))
+        return frame(search.rerank_grams(row["a1"]).rows(row["unit"], "<u8", False))
+
+    def fourth(search: Search, row: dict):
+        search.rerank_runs(row["a0"])
+        search.rerank_grams(row["a1"])
+        return frame(search.rerank_windows(row["a2"]).rows(row["unit"], "<u8", True))
 
     def last(search: Search, row: dict):
         search.rerank_runs(row["a0"])
-        search.rerank_windows(row["a1"])
-        gone, unit = search.removed(row["a2"]), search.unit
+        search.rerank_grams(row["a1"])
+        search.rerank_windows(row["a2"])
+        gone, unit = search.removed(row["a3"]), search.unit
         rows = []
         for key, low, high in zip(unit.ids.tolist(), unit.start.tolist(), unit.end.tolist()):
             own = gone[low:high]
@@ -360,7 +385,8 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
             rows.append((None if key == -(2**63) else key, high - low, int(own.sum()), spans, kept))
         yield pd.DataFrame(rows, columns=["id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"id": "Int64"})
 
-    a0 = saved(_meet(work(first, [], asked), "<u4", False), "answers")
+    a0 = saved(_meet(work(first, [], asked), "<u8", False), "answers")
     a1 = saved(_meet(work(second, [a0], asked), "<u8", True), "answers")
-    a2 = saved(_meet(work(third, [a0, a1], asked), "<u8", True), "answers")
-    return work(last, [a0, a1, a2], "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    a2 = saved(_meet(work(third, [a0, a1], asked), "<u8", False), "answers")
+    a3 = saved(_meet(work(fourth, [a0, a1, a2], asked), "<u8", True), "answers")
+    return work(last, [a0, a1, a2, a3], "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
