@@ -80,9 +80,9 @@ class Unit:
             part = self.buffer[low : low + SEGMENT + self.window - 1]
             if len(part) < self.window:
                 continue
-            grams = _between(_prefix_sums(part), np.arange(len(part) - gram + 1), gram)
+            grams = _all_between(_prefix_sums(part), gram)
             least = _sliding(grams, span, np.minimum)
-            whole = self.fits(low + np.arange(len(least)), self.window)
+            whole = self.doc[low : low + len(least)] == self.doc[low + self.window - 1 : low + len(part)]
             change = least[1:] != least[:-1]
             begin = np.flatnonzero(whole & np.append(True, change | ~whole[:-1]))
             stop = np.flatnonzero(whole & np.append(change | ~whole[1:], True)) + 1
@@ -111,16 +111,26 @@ def _byte_values() -> np.ndarray:
 def _prefix_sums(part: np.ndarray) -> np.ndarray:
     up = _powers(SEGMENT + 4096)[0]
     out = np.zeros(len(part) + 1, np.uint64)
-    np.cumsum(_byte_values()[part] * up[: len(part)], out=out[1:])
+    values = _byte_values().take(part)
+    values *= up[: len(part)]
+    np.cumsum(values, out=out[1:])
     return out
 
 
 def _between(sums: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    down = _powers(SEGMENT + 4096)[1]
-    h = (sums[at + length] - sums[at]) * down[at]
+    return _mixed((sums[at + length] - sums[at]) * _powers(SEGMENT + 4096)[1][at])
+
+
+def _all_between(sums: np.ndarray, length: int) -> np.ndarray:
+    """The same at every place, without picking places."""
+    return _mixed((sums[length:] - sums[:-length]) * _powers(SEGMENT + 4096)[1][: len(sums) - length])
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def _sliding(values: np.ndarray, span: int, pick: np.ufunc) -> np.ndarray:
@@ -149,7 +159,12 @@ class Ranks:
 
     def __init__(self, ranks: np.ndarray, ids: np.ndarray, ranges: int):
         group = (ranks % np.uint64(ranges)).astype(np.int64)
-        order = np.lexsort((ids, ranks, group))
+        keys = [ranks, group]
+        if len(ranks) and int(ranks.max()) < 1 << 40 and ranges < 1 << 23:
+            keys = [group << 40 | ranks.view(np.int64)]  # one key sorts faster
+        if (ids[1:] < ids[:-1]).any():
+            keys = [ids, *keys]
+        order = np.lexsort(keys)
         ranks, self._ids = ranks[order], ids[order]
         new = np.append(True, ranks[1:] != ranks[:-1]) if len(ranks) else np.zeros(0, bool)
         self.distinct, self.least = ranks[new], self._ids[new]
