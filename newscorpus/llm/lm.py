@@ -19,8 +19,10 @@ from newscorpus.llm.lexicon import count_pieces, piece_sums
 PASS_BYTES = 8 << 20
 #: Passes at most: on a larger corpus each takes more texts.
 PASSES = 10_000
-#: Characters that a task models together.
+#: Characters that a task trains the weights on together.
 RUN_CHARS = 1 << 18
+#: Characters that a task counts together: the more, the fewer distinct contexts.
+COUNT_CHARS = 1 << 22
 
 
 def _cut_words():
@@ -66,7 +68,7 @@ def _train_mixing(docs: DataFrame, passes: int) -> mixing.Mixing:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((len(mixing.ORDERS), size))
         for batch in batches:
-            for _, run in text_runs(batch.column("text"), RUN_CHARS):
+            for _, run in text_runs(batch.column("text"), COUNT_CHARS):
                 mixing.count([mixing.closed(t) for t in run], table)
         flat = table.ravel()
         yield from _sums(np.stack([flat[0::2], flat[1::2]]))
@@ -139,14 +141,9 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
         mixed = shared.value
 
         def of(run: list[str]) -> list[tuple]:
-            out = []
-            for _, some in text_runs(pa.array(run, pa.string()), RUN_CHARS):
-                closed = [mixing.closed(t) for t in some]
-                bits = mixed.costs(closed).tolist()
-                out += [
-                    (float(len(c) - 1), float(len(_cut_words()(t))), cost) for t, c, cost in zip(some, closed, bits)
-                ]
-            return out
+            closed = [mixing.closed(t) for t in run]
+            bits = mixed.costs(closed).tolist()
+            return [(float(len(c) - 1), float(len(c[:-1].split())), cost) for c, cost in zip(closed, bits)]
 
         return of
 

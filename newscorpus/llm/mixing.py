@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,14 +17,29 @@ SLOT_BITS = 19
 END = b"\xff"
 #: Bytes that are modelled at once.
 CHUNK = 1 << 13
-#: Such chunks are counted together.
-COUNTED_CHUNKS = 16
+#: Bytes whose distinct ones, with their contexts, are looked up together.
+BLOCK = 1 << 22
 #: Weight sets: a gate for each number of predictors that know the context, and each bit.
 GATES = (len(ORDERS) + 1) * 8
 #: Steps of the final refinement, between logits of -8 and 8; each for every node of a byte.
 STEPS = 33
 RATE = 0.1
 _PRIOR = 0.4
+#: Bytes before a byte that its key holds.
+_BEFORE = 6
+#: Low bits of a number that hold a position in a block.
+_AT = np.uint64(24)
+
+_TURN = np.arange(8)
+_BYTES = np.arange(256)[:, None]
+_ONES = ((_BYTES >> (7 - _TURN)) & 1).astype(np.float32)
+#: First cell of the refinement table at the node of each bit of each byte.
+_CELL = (((1 << _TURN) | (_BYTES >> (8 - _TURN))) * STEPS).astype(np.float32)
+#: The same where zeros and ones alternate, at the byte's own bits.
+_SEEN = 2 * _CELL + _ONES
+#: The four bits of half a byte, and the slots of a context that they are in.
+_HALF_BIT = (np.arange(16)[:, None] >> (3 - np.arange(4))) & 1
+_HALF_SLOT = (1 << np.arange(4)) | (np.arange(16)[:, None] >> (4 - np.arange(4)))
 
 
 def closed(text: str) -> bytes:
@@ -30,70 +47,116 @@ def closed(text: str) -> bytes:
     return text.encode("utf-8", "replace") + END
 
 
-@dataclass
-class Bits:
-    """The bits of some bytes: arrays of shape (bytes, 8); ``text`` says whose bytes they are.
+def blocks(texts: list[bytes], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, key) of every byte, ``size`` bytes at a time.
 
-    ``slots`` holds one such array for each predictor, slots counted within it.
+    A key is the byte, and below it those before it in its text, the nearest
+    first; 0 stands before a text.  So keys that share their upper bytes share the
+    shorter contexts.
+    """
+    data = bytes(_BEFORE + 1) + bytes(_BEFORE).join(texts)
+    windows = np.ndarray((max(len(data) - 7, 0),), "<u8", data, 0, (1,))
+    ends = np.cumsum([0, *map(len, texts)])
+    for low in range(0, int(ends[-1]), size):
+        text = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(np.clip(ends, low, low + size)))
+        first, last = int(text[0]), int(text[-1])
+        begin = low + _BEFORE * first
+        keys = windows[begin : low + len(text) + _BEFORE * last] >> np.uint64(8)
+        keep = np.ones(len(keys), bool)
+        gaps = ends[first + 1 : last + 1] + _BEFORE * np.arange(first, last) - begin
+        keep[gaps[:, None] + np.arange(_BEFORE)] = False
+        yield text, keys[keep]
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, index of each one's own among them); in no order.
+
+    Positions are sorted by a hash of their keys.  Keys that share a hash may come
+    more than once, never take another's place.
+    """
+    order = keys * np.uint64(0x9E3779B97F4A7C15)
+    order >>= _AT
+    order <<= _AT
+    order |= np.arange(len(keys), dtype=np.uint64)
+    order.sort()
+    order &= np.uint64((1 << int(_AT)) - 1)
+    order = order.view(np.int64)
+    keys = np.take(keys, order)
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    own = np.empty(len(keys), np.int32)
+    own[order] = np.cumsum(new, dtype=np.int32)
+    own -= 1
+    return keys[new], own
+
+
+def byte_of(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(8 * _BEFORE)).astype(np.intp)
+
+
+def halves(keys: np.ndarray, predictors: Iterable[int] = range(len(ORDERS))) -> Iterator[np.ndarray]:
+    """(keys, 2) for each predictor: where it has the two halves of each key's byte.
+
+    A context is hashed once for each half, to 16 neighbouring places: as many as
+    there are halves of a byte, and one more than there are slots for their bits.
+    """
+    byte = keys >> np.uint64(8 * _BEFORE)
+    upper, lower = byte >> np.uint64(4), byte & np.uint64(15)
+    apart = (upper + np.uint64(16)) * np.uint64(0x9E3779B97F4A7C15)
+    history = keys.byteswap() >> np.uint64(16)
+    down = np.uint64(68 - SLOT_BITS)
+    for k in predictors:
+        h = history & np.uint64((1 << 8 * ORDERS[k]) - 1)
+        h += np.uint64(k << 56)
+        h *= np.uint64(0xC2B2AE3D27D4EB4F)
+        h ^= h >> np.uint64(31)
+        out = np.empty((len(keys), 2), np.uint64)
+        for half, own in enumerate((upper, lower)):
+            if half:
+                h += apart
+            place = h * np.uint64(0xD6E8FEB86659FD93)
+            place >>= down
+            place <<= np.uint64(4)
+            np.bitwise_or(place, own, out=out[:, half])
+        yield out.view(np.int64)
+
+
+def paths(table: np.ndarray) -> np.ndarray:
+    """(predictor, place of a half, 4): what ``table`` has for the bits of every half.
+
+    ``table`` is by predictor and slot, or by predictor, slot and bit.
     """
+    table = table.reshape(len(ORDERS), 1 << SLOT_BITS - 4, -1)
+    at = _HALF_SLOT if table.shape[2] == 16 else 2 * _HALF_SLOT + _HALF_BIT
+    return np.take(table, at.ravel(), axis=2).reshape(len(ORDERS), -1, 4)
 
-    text: np.ndarray
-    bit: np.ndarray
-    node: np.ndarray
-    slots: list[np.ndarray]
 
+def looked_up(paths: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
+    """What each predictor has for the bits of each key: arrays of shape (keys, 8)."""
+    return [np.take(own, at, axis=0).reshape(-1, 8) for own, at in zip(paths, halves(keys))]
 
-def in_chunks(texts: list[bytes]) -> Iterator[Bits]:
-    """All texts' bits, CHUNK bytes at a time; a byte's context is what its text has before it.
 
-    A context is hashed once for each half of a byte, to 16 neighbouring slots.
+def count(texts: list[bytes], table: np.ndarray) -> None:
+    """Adds the texts' bits to ``table``: (predictor, slot and bit) in two dimensions.
+
+    Each distinct byte and context of a block is looked up once, by its sorted
+    keys.  Halves are counted, and those give the counts of their bits.
     """
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    starts = np.cumsum([0, *map(len, texts)])[:-1]
-    turn = np.arange(8)
-    half = (1 << turn % 4)[None, :]
-    for low in range(0, len(data), CHUNK):
-        at = np.arange(low, min(low + CHUNK, len(data)))
-        text = np.searchsorted(starts, at, "right") - 1
-        place = at - starts[text]
-        history = np.zeros(len(at), np.uint64)
-        for back in range(1, max(ORDERS) + 1):
-            before = np.where(place >= back, data[np.maximum(at - back, 0)], 0).astype(np.uint64)
-            history |= before << np.uint64(8 * (back - 1))
-        byte = data[at].astype(np.int64)[:, None]
-        node = (1 << turn) | (byte >> (8 - turn))
-        # the bits of the same half that are known, with a one before them
-        inner = half | (node & (half - 1))
-        upper = np.concatenate([np.zeros_like(byte), 16 + (byte >> 4)], axis=1).astype(np.uint64)
-        slots = []
+    found = np.zeros((len(ORDERS), 1 << SLOT_BITS))
+    for _, keys in blocks(texts, BLOCK):
+        keys.sort()
         for k, order in enumerate(ORDERS):
-            h = ((history & np.uint64((1 << 8 * order) - 1)) + np.uint64(k << 56)) * np.uint64(0xC2B2AE3D27D4EB4F)
-            h ^= h >> np.uint64(31)
-            h = (h[:, None] + upper * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
-            first = (h >> np.uint64(68 - SLOT_BITS)).astype(np.int64) << 4
-            slots.append(np.repeat(first, 4, axis=1) + inner)
-        yield Bits(text, (byte >> (7 - turn)) & 1, node, slots)
-
-
-def count(texts: list[bytes], table: np.ndarray) -> None:
-    """Adds the texts' bits to ``table``: (predictor, slot and bit) in two dimensions."""
-    size = 2 << SLOT_BITS
-    held: list[list[np.ndarray]] = [[] for _ in ORDERS]
-    chunks = 0
-
-    def add() -> None:
-        for k, seen in enumerate(held):
-            table[k] += np.bincount(np.concatenate(seen), minlength=size)
-            seen.clear()
-
-    for b in in_chunks(texts):
-        for k, slots in enumerate(b.slots):
-            held[k].append((2 * slots + b.bit).ravel().astype(np.int32))
-        chunks += 1
-        if chunks % COUNTED_CHUNKS == 0:
-            add()
-    if held[0]:
-        add()
+            short = keys >> np.uint64(8 * (_BEFORE - order))
+            at = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]]))
+            times = np.diff(at, append=len(keys)).astype(float)
+            some = keys[at]
+            where = np.concatenate([next(halves(some[low : low + CHUNK], [k])) for low in range(0, len(at), CHUNK)])
+            found[k] += np.bincount(where.ravel(), np.repeat(times, 2), 1 << SLOT_BITS)
+    bits = table.reshape(len(ORDERS), -1, 16, 2)
+    for turn in (3, 2, 1, 0):
+        known = 1 << turn
+        bits[:, :, known : 2 * known] += found.reshape(len(ORDERS), -1, known, 2)
+        found = found[:, 0::2] + found[:, 1::2]
 
 
 def stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -110,26 +173,47 @@ def unseen(table: np.ndarray) -> np.ndarray:
     return out
 
 
-def _logit(inputs: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(gate, mixed logit): the weights are those of the gate."""
-    known = np.zeros(inputs[0].shape, np.int8)
-    for x in inputs:
-        known += x != 0
-    gate = known.astype(np.int64) * 8 + np.arange(8)
-    out = np.take(weights[:, -1], gate)
+def _rows(bits: np.ndarray) -> np.ndarray:
+    """The bits of some bytes in longer rows, each of whole bytes."""
+    return bits.reshape(-1, 8 * math.gcd(len(bits) // 8, 64))
+
+
+def _logit(inputs: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(mixed logits, the bits that not all predictors know, their gates), all flat.
+
+    Weights are those of the gate.  Bits that all predictors know take the
+    weights of the last gates in whole rows, only the others look theirs up.
+    """
+    inputs = [x.ravel() for x in inputs]
+    unknown = inputs[0] == 0
+    for x in inputs[1:]:
+        unknown |= x == 0
+    others = np.flatnonzero(unknown)
+    some_inputs = [np.take(x, others) for x in inputs]
+    gate = sum((x != 0).astype(np.int64) for x in some_inputs) * 8 + others % 8
+    out = np.empty(len(unknown), np.float32)
+    rows = _rows(out)
+    of_all = np.tile(weights[-8:], (rows.shape[1] // 8, 1))
+    rows[:] = of_all[:, -1]
     for k, x in enumerate(inputs):
-        out += np.take(weights[:, k], gate) * x
-    return gate, np.clip(out, -16, 16)
+        rows += _rows(x) * of_all[:, k]
+    some = np.take(weights[:, -1], gate)
+    for k, x in enumerate(some_inputs):
+        some += np.take(weights[:, k], gate) * x
+    out[others] = some
+    return np.clip(out, -16, 16, out=out), others, gate
 
 
 def first_weights() -> np.ndarray:
     return np.tile(np.array([*[0.3] * len(ORDERS), 0.0], np.float32), (GATES, 1))
 
 
-def cell(node: np.ndarray, logit: np.ndarray) -> np.ndarray:
-    """Cell of the refinement table."""
-    step = np.clip(np.rint((logit + 8) * ((STEPS - 1) / 16)), 0, STEPS - 1).astype(np.int64)
-    return node * STEPS + step
+def step(logit: np.ndarray) -> np.ndarray:
+    """Step of the refinement, as a whole float."""
+    out = logit + 8
+    out *= (STEPS - 1) / 16
+    np.rint(out, out=out)
+    return np.clip(out, 0, STEPS - 1, out=out)
 
 
 class Trainer:
@@ -141,25 +225,40 @@ class Trainer:
 
     def __init__(self, logits: np.ndarray):
         """``logits``: of :func:`unseen`."""
-        self.logits = logits
+        self.paths = paths(logits)
         self.weights = first_weights()
         self.mass = 0.0
         self.refined = np.zeros((2, 256 * STEPS))
 
     def learn(self, texts: list[bytes]) -> None:
-        for b in in_chunks(texts):
-            inputs = [np.take(own, 2 * slots + b.bit) for own, slots in zip(self.logits, b.slots)]
-            gate, logit = _logit(inputs, self.weights)
-            miss = (b.bit.astype(np.float32) - 1 / (1 + np.exp(-logit))).ravel()
-            at = gate.ravel()
-            share = RATE / np.maximum(np.bincount(at, minlength=GATES), 1)
-            for k, x in enumerate(inputs):
-                self.weights[:, k] += share * np.bincount(at, miss * x.ravel(), GATES)
-            self.weights[:, -1] += share * np.bincount(at, miss, GATES)
-            where = cell(b.node, logit).ravel()
-            for bit in (0, 1):
-                self.refined[bit] += np.bincount(where, b.bit.ravel() == bit, 256 * STEPS)
-            self.mass += b.bit.size
+        for _, keys in blocks(texts, CHUNK):
+            self._learn(keys)
+
+    def _learn(self, keys: np.ndarray) -> None:
+        byte = byte_of(keys)
+        inputs = looked_up(self.paths, keys)
+        logit, others, gate = _logit(inputs, self.weights)
+        miss = np.negative(logit)
+        np.exp(miss, out=miss)
+        miss += 1
+        np.divide(1, miss, out=miss)
+        np.subtract(np.take(_ONES, byte, axis=0).ravel(), miss, out=miss)
+        seen = np.bincount(gate, minlength=GATES)
+        seen[-8:] += len(keys) - np.bincount(others % 8, minlength=8)
+        share = RATE / np.maximum(seen, 1)
+        missed = miss[others]
+        miss[others] = 0
+        for k, x in enumerate([*(x.ravel() for x in inputs), None]):
+            part = np.bincount(gate, missed if x is None else missed * x[others], GATES).astype(float)
+            rows = _rows(miss if x is None else miss * x).astype(float).sum(axis=0)
+            part[-8:] += rows.reshape(-1, 8).sum(axis=0)
+            self.weights[:, k] += share * part
+        where = step(logit)
+        where *= 2
+        where += np.take(_SEEN, byte, axis=0).ravel()
+        where = where.astype(np.intp)
+        self.refined += np.bincount(where, minlength=2 * 256 * STEPS).reshape(-1, 2).T
+        self.mass += logit.size
 
 
 @dataclass
@@ -170,17 +269,28 @@ class Mixing:
     weights: np.ndarray
     refinement: np.ndarray
 
+    @functools.cached_property
+    def paths(self) -> np.ndarray:
+        return paths(self.logits)
+
     def costs(self, texts: list[bytes]) -> np.ndarray:
-        """Bits of every text."""
+        """Bits of every text: those of each distinct byte and context are worked out once a block."""
         out = np.zeros(len(texts))
-        for b in in_chunks(texts):
-            _, logit = _logit([np.take(own, slots) for own, slots in zip(self.logits, b.slots)], self.weights)
-            logit = (logit + np.take(self.refinement, cell(b.node, logit))) / 2
-            against = np.where(b.bit == 1, -logit, logit).astype(float)
-            cost = np.log1p(np.exp(against)).sum(axis=1) / np.log(2)
-            out += np.bincount(b.text, cost, len(texts))
+        for text, keys in blocks(texts, BLOCK):
+            keys, own = distinct(keys)
+            cost = np.concatenate([self._costs(keys[low : low + CHUNK]) for low in range(0, len(keys), CHUNK)])
+            out += np.bincount(text, cost[own], len(texts))
         return out
 
+    def _costs(self, keys: np.ndarray) -> np.ndarray:
+        byte = byte_of(keys)
+        logit, _, _ = _logit(looked_up(self.paths, keys), self.weights)
+        where = np.take(_CELL, byte, axis=0).ravel() + step(logit)
+        logit = (logit + np.take(self.refinement, where.astype(np.intp))) / 2
+        against = np.where(np.take(_ONES, byte, axis=0).ravel() == 1, -logit, logit).astype(float)
+        # 1 + exp(24) at most, so a byte's product keeps far within the range
+        return np.log2((1 + np.exp(against)).reshape(-1, 8).prod(axis=1))
+
 
 def refinement(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logit of each cell; a step that saw little keeps near its own logit."""
