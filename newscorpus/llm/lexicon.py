@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +85,7 @@ def piece_sums(
     more: Callable[[], Callable[[list[str]], list[tuple]]] | None = None,
     more_columns: list[str] = (),
     as_cut: Callable[[bytes], bytes | str] = bytes,
+    run_chars: int = RUN_CHARS,
 ) -> DataFrame:
     """(id, digest, copies, total_<v>.., more..) of every text of ``docs`` (id, text).
 
@@ -93,7 +95,8 @@ def piece_sums(
     others are joined, one row for each of a text's distinct pieces.  Equal
     rows share a result: ``copies`` says how many there are.  ``more`` makes a
     function that gives further numbers (double) of each of some texts.
-    ``as_cut`` turns a piece's bytes into what ``split`` yields.
+    ``as_cut`` turns a piece's bytes into what ``split`` yields; ``run_chars``:
+    characters of texts that a task takes up together.
     """
     spark = docs.sparkSession
     frequent = frequent_pieces(lexicon, values)
@@ -111,22 +114,21 @@ def piece_sums(
         rows = _Rows(n_values + len(extra))
         for batch in batches:
             ids, digests = batch.column("id"), batch.column("digest").to_pylist()
-            for low, texts in text_runs(batch.column("text"), RUN_CHARS):
+            for low, texts in text_runs(batch.column("text"), run_chars):
                 numbers = other(texts) if other else [()] * len(texts)
                 for k, text in enumerate(texts, low):
-                    sums, rare = [0.0] * n_values, []
+                    sums, rare, times = [0.0] * n_values, [], []
                     for piece, n in Counter(cut(text)).items():
                         found = table.get(piece)
                         if found is None:
-                            rare.append((piece, n))
+                            rare.append(piece)
+                            times.append(n)
                         else:
                             for v in range(n_values):
                                 sums[v] += found[v] * n
                     # the text's own row: its digest, as a piece, spreads such rows over the join
                     own = digests[k].to_bytes(8, "little", signed=True)
-                    rows.add(k, digests[k], own, 1, [*sums, *numbers[k - low]])
-                    for piece, n in rare:
-                        rows.add(k, digests[k], piece, n, None)
+                    rows.add(k, digests[k], [own, *rare], [1, *times], [*sums, *numbers[k - low]])
                     if len(rows.at) >= BATCH:
                         yield rows.batch(ids, schema_names)
             if rows.at:
@@ -155,27 +157,30 @@ class _Rows:
         self._clear()
 
     def _clear(self) -> None:
-        self.at, self.digest, self.piece, self.n, self.numbers = [], [], [], [], []
+        self.at, self.digest, self.piece, self.n, self.own, self.numbers = [], [], [], [], [], []
 
-    def add(self, at: int, digest: int, piece: bytes, n: int, numbers: list[float] | None) -> None:
-        self.at.append(at)
-        self.digest.append(digest)
-        self.piece.append(piece)
-        self.n.append(n)
+    def add(self, at: int, digest: int, pieces: list[bytes], n: list[int], numbers: list[float]) -> None:
+        """A text's rows: the first is its own and has the numbers."""
+        self.own.append(len(self.at))
         self.numbers.append(numbers)
+        self.at += [at] * len(pieces)
+        self.digest += [digest] * len(pieces)
+        self.piece += pieces
+        self.n += n
 
     def batch(self, ids: pa.Array, names: list[str]) -> pa.RecordBatch:
-        numbers = [
-            pa.array([None if row is None else row[k] for row in self.numbers], pa.float64())
-            for k in range(self.n_numbers)
-        ]
+        copies = np.zeros(len(self.at), np.int64)
+        copies[self.own] = 1
+        held = np.zeros((self.n_numbers, len(self.at)))
+        held[:, self.own] = np.array(self.numbers).T
+        numbers = [pa.array(column, mask=copies == 0) for column in held]
         out = pa.RecordBatch.from_arrays(
             [
                 ids.take(pa.array(self.at, pa.int64())),
                 pa.array(self.digest, pa.int64()),
                 pa.array(self.piece, pa.binary()),
                 pa.array(self.n, pa.int64()),
-                pa.array([int(row is not None) for row in self.numbers], pa.int64()),
+                pa.array(copies),
                 *numbers,
             ],
             names,

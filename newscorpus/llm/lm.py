@@ -21,8 +21,10 @@ PASS_BYTES = 8 << 20
 PASSES = 10_000
 #: Characters that a task trains the weights on together.
 RUN_CHARS = 1 << 18
-#: Characters that a task counts together: the more, the fewer distinct contexts.
-COUNT_CHARS = 1 << 22
+#: Characters that a task counts or scores together: the more, the fewer distinct contexts.
+BLOCK_CHARS = 1 << 23
+#: Counts that travel in one row.
+PART = 1 << 12
 
 
 def _cut_words():
@@ -63,21 +65,29 @@ def train(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Mode
 
 def _train_mixing(docs: DataFrame, passes: int) -> mixing.Mixing:
     spark = docs.sparkSession
-    size = 2 << mixing.SLOT_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((len(mixing.ORDERS), size))
+        found = mixing.no_halves()
         for batch in batches:
-            for _, run in text_runs(batch.column("text"), COUNT_CHARS):
-                mixing.count([mixing.closed(t) for t in run], table)
-        flat = table.ravel()
-        yield from _sums(np.stack([flat[0::2], flat[1::2]]))
+            for _, run in text_runs(batch.column("text"), BLOCK_CHARS):
+                mixing.count_halves([mixing.closed(t) for t in run], found)
+        rows = found.reshape(-1, PART)
+        yield from _parts({int(at): rows[at] for at in np.flatnonzero(rows.any(axis=1))})
 
-    zeros, ones = _added_up(
-        docs.select("text").mapInArrow(count, "slot int, zeros double, ones double"), len(mixing.ORDERS) * size // 2
-    )
-    table = np.stack([zeros, ones], axis=1).reshape(len(mixing.ORDERS), size)
-    shared = spark.sparkContext.broadcast(mixing.unseen(table))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, counts in zip(batch.column("part").to_pylist(), batch.column("counts")):
+                held[at] = held.get(at, 0) + np.frombuffer(counts.as_buffer(), np.int64)
+        yield from _parts(held)
+
+    kind = "part int, counts binary"
+    parts = docs.select("text").mapInArrow(count, kind).repartition("part").mapInArrow(add, kind).toArrow()
+    found, table = mixing.no_halves(), np.zeros((len(mixing.ORDERS), 2 << mixing.SLOT_BITS))
+    for at, counts in zip(parts["part"].to_pylist(), parts["counts"]):
+        found.reshape(-1, PART)[at] = np.frombuffer(counts.as_buffer(), np.int64)
+    mixing.add_bits(found, table)
+    shared = spark.sparkContext.broadcast(mixing.Predictors(mixing.unseen(table)))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = mixing.Trainer(shared.value)
@@ -106,6 +116,16 @@ def _train_mixing(docs: DataFrame, passes: int) -> mixing.Mixing:
     )
 
 
+def _parts(counts: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    held = list(counts.items())
+    for at in range(0, len(held), 64):
+        part, rows = zip(*held[at : at + 64])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part, pa.int32()), pa.array([r.astype(np.int64).tobytes() for r in rows], pa.binary())],
+            ["part", "counts"],
+        )
+
+
 def _sums(table: np.ndarray) -> Iterator[pa.RecordBatch]:
     slot = np.flatnonzero(table.any(axis=0))
     for at in range(0, len(slot), 100_000):
@@ -148,7 +168,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
         return of
 
     sums = piece_sums(
-        docs, _cut_words, model.lexicon, ["log_count", "known"], measure, ["n_bytes", "n_words", "bits"]
+        docs, _cut_words, model.lexicon, ["log_count", "known"], measure, ["n_bytes", "n_words", "bits"],
+        run_chars=BLOCK_CHARS,
     )
     end = math.log10(model.n_docs + 0.1)
     each = math.log10(model.n_tokens + 0.1 * (model.n_distinct + 1))

@@ -18,7 +18,7 @@ END = b"\xff"
 #: Bytes that are modelled at once.
 CHUNK = 1 << 13
 #: Bytes whose distinct ones, with their contexts, are looked up together.
-BLOCK = 1 << 22
+BLOCK = 1 << 23
 #: Weight sets: a gate for each number of predictors that know the context, and each bit.
 GATES = (len(ORDERS) + 1) * 8
 #: Steps of the final refinement, between logits of -8 and 8; each for every node of a byte.
@@ -94,55 +94,54 @@ def byte_of(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(8 * _BEFORE)).astype(np.intp)
 
 
-def halves(keys: np.ndarray, predictors: Iterable[int] = range(len(ORDERS))) -> Iterator[np.ndarray]:
-    """(keys, 2) for each predictor: where it has the two halves of each key's byte.
+_PREDICTOR = np.arange(len(ORDERS), dtype=np.uint64)[:, None]
+_CONTEXT = np.array([(1 << 8 * order) - 1 for order in ORDERS], np.uint64)[:, None]
+
+
+def halves(keys: np.ndarray, predictors: slice = slice(None)) -> np.ndarray:
+    """(predictor, keys, 2): where the predictors have the two halves of each key's byte, all counted through.
 
     A context is hashed once for each half, to 16 neighbouring places: as many as
     there are halves of a byte, and one more than there are slots for their bits.
     """
+    which = _PREDICTOR[predictors]
     byte = keys >> np.uint64(8 * _BEFORE)
-    upper, lower = byte >> np.uint64(4), byte & np.uint64(15)
-    apart = (upper + np.uint64(16)) * np.uint64(0x9E3779B97F4A7C15)
-    history = keys.byteswap() >> np.uint64(16)
-    down = np.uint64(68 - SLOT_BITS)
-    for k in predictors:
-        h = history & np.uint64((1 << 8 * ORDERS[k]) - 1)
-        h += np.uint64(k << 56)
-        h *= np.uint64(0xC2B2AE3D27D4EB4F)
-        h ^= h >> np.uint64(31)
-        out = np.empty((len(keys), 2), np.uint64)
-        for half, own in enumerate((upper, lower)):
-            if half:
-                h += apart
-            place = h * np.uint64(0xD6E8FEB86659FD93)
-            place >>= down
-            place <<= np.uint64(4)
-            np.bitwise_or(place, own, out=out[:, half])
-        yield out.view(np.int64)
+    upper = byte >> np.uint64(4)
+    h = (keys.byteswap() >> np.uint64(16)) & _CONTEXT[predictors]
+    h += which << np.uint64(56)
+    h *= np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(31)
+    out = np.empty((*h.shape, 2), np.uint64)
+    for half, own in enumerate((upper, byte & np.uint64(15))):
+        if half:
+            h += (upper + np.uint64(16)) * np.uint64(0x9E3779B97F4A7C15)
+        place = h * np.uint64(0xD6E8FEB86659FD93)
+        place >>= np.uint64(68 - SLOT_BITS)
+        place <<= np.uint64(4)
+        np.bitwise_or(place, own + (which << np.uint64(SLOT_BITS)), out=out[..., half])
+    return out.view(np.int64)
 
 
 def paths(table: np.ndarray) -> np.ndarray:
-    """(predictor, place of a half, 4): what ``table`` has for the bits of every half.
+    """(place of a half, 4): what ``table`` has for the bits of every half.
 
     ``table`` is by predictor and slot, or by predictor, slot and bit.
     """
-    table = table.reshape(len(ORDERS), 1 << SLOT_BITS - 4, -1)
-    at = _HALF_SLOT if table.shape[2] == 16 else 2 * _HALF_SLOT + _HALF_BIT
-    return np.take(table, at.ravel(), axis=2).reshape(len(ORDERS), -1, 4)
+    table = table.reshape(len(ORDERS) << SLOT_BITS - 4, -1)
+    at = _HALF_SLOT if table.shape[1] == 16 else 2 * _HALF_SLOT + _HALF_BIT
+    return np.take(table, at.ravel(), axis=1).reshape(-1, 4)
 
 
-def looked_up(paths: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
-    """What each predictor has for the bits of each key: arrays of shape (keys, 8)."""
-    return [np.take(own, at, axis=0).reshape(-1, 8) for own, at in zip(paths, halves(keys))]
+def no_halves() -> np.ndarray:
+    """Counts by predictor and place of a half."""
+    return np.zeros((len(ORDERS), 1 << SLOT_BITS))
 
 
-def count(texts: list[bytes], table: np.ndarray) -> None:
-    """Adds the texts' bits to ``table``: (predictor, slot and bit) in two dimensions.
+def count_halves(texts: list[bytes], found: np.ndarray) -> None:
+    """Adds the halves of the texts' bytes to ``found``.
 
-    Each distinct byte and context of a block is looked up once, by its sorted
-    keys.  Halves are counted, and those give the counts of their bits.
+    Each distinct byte and context of a block is looked up once, by its sorted keys.
     """
-    found = np.zeros((len(ORDERS), 1 << SLOT_BITS))
     for _, keys in blocks(texts, BLOCK):
         keys.sort()
         for k, order in enumerate(ORDERS):
@@ -150,8 +149,15 @@ def count(texts: list[bytes], table: np.ndarray) -> None:
             at = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]]))
             times = np.diff(at, append=len(keys)).astype(float)
             some = keys[at]
-            where = np.concatenate([next(halves(some[low : low + CHUNK], [k])) for low in range(0, len(at), CHUNK)])
+            where = np.concatenate(
+                [halves(some[low : low + CHUNK], slice(k, k + 1))[0] for low in range(0, len(at), CHUNK)]
+            )
+            where -= k << SLOT_BITS
             found[k] += np.bincount(where.ravel(), np.repeat(times, 2), 1 << SLOT_BITS)
+
+
+def add_bits(found: np.ndarray, table: np.ndarray) -> None:
+    """Adds the bits of counted halves to ``table``: (predictor, slot and bit) in two dimensions."""
     bits = table.reshape(len(ORDERS), -1, 16, 2)
     for turn in (3, 2, 1, 0):
         known = 1 << turn
@@ -159,6 +165,13 @@ def count(texts: list[bytes], table: np.ndarray) -> None:
         found = found[:, 0::2] + found[:, 1::2]
 
 
+def count(texts: list[bytes], table: np.ndarray) -> None:
+    """Adds the texts' bits to ``table``."""
+    found = no_halves()
+    count_halves(texts, found)
+    add_bits(found, table)
+
+
 def stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logit of a predictor; 0 where it has seen nothing."""
     return np.log((ones + _PRIOR) / (zeros + _PRIOR)).astype(np.float32)
@@ -178,30 +191,28 @@ def _rows(bits: np.ndarray) -> np.ndarray:
     return bits.reshape(-1, 8 * math.gcd(len(bits) // 8, 64))
 
 
-def _logit(inputs: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(mixed logits, the bits that not all predictors know, their gates), all flat.
+def _logit(keys: np.ndarray, paths: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(predictors' logits, mixed logits, the bits that not all predictors know, their gates), bits flat.
 
     Weights are those of the gate.  Bits that all predictors know take the
     weights of the last gates in whole rows, only the others look theirs up.
     """
-    inputs = [x.ravel() for x in inputs]
-    unknown = inputs[0] == 0
-    for x in inputs[1:]:
-        unknown |= x == 0
-    others = np.flatnonzero(unknown)
-    some_inputs = [np.take(x, others) for x in inputs]
-    gate = sum((x != 0).astype(np.int64) for x in some_inputs) * 8 + others % 8
-    out = np.empty(len(unknown), np.float32)
+    inputs = np.take(paths, halves(keys), axis=0).reshape(len(ORDERS), -1)
+    others = np.flatnonzero((inputs == 0).any(axis=0))
+    some_inputs = inputs[:, others]
+    gate = np.count_nonzero(some_inputs, axis=0) * 8 + others % 8
+    out = np.empty(inputs.shape[1], np.float32)
     rows = _rows(out)
-    of_all = np.tile(weights[-8:], (rows.shape[1] // 8, 1))
-    rows[:] = of_all[:, -1]
-    for k, x in enumerate(inputs):
-        rows += _rows(x) * of_all[:, k]
-    some = np.take(weights[:, -1], gate)
-    for k, x in enumerate(some_inputs):
-        some += np.take(weights[:, k], gate) * x
+    of_all = np.tile(weights[-8:], (rows.shape[1] // 8, 1)).T
+    rows[:] = of_all[-1]
+    for x, weight in zip(inputs, of_all):
+        rows += _rows(x) * weight
+    own = np.take(weights, gate, axis=0).T
+    some = own[-1].copy()
+    for x, weight in zip(some_inputs, own):
+        some += weight * x
     out[others] = some
-    return np.clip(out, -16, 16, out=out), others, gate
+    return inputs, np.clip(out, -16, 16, out=out), others, gate
 
 
 def first_weights() -> np.ndarray:
@@ -216,6 +227,17 @@ def step(logit: np.ndarray) -> np.ndarray:
     return np.clip(out, 0, STEPS - 1, out=out)
 
 
+@dataclass
+class Predictors:
+    """Logits that a Python worker lays out once, not for every task."""
+
+    logits: np.ndarray
+
+    @functools.cached_property
+    def paths(self) -> np.ndarray:
+        return paths(self.logits)
+
+
 class Trainer:
     """Online training of the weights, and counts for the refinement.
 
@@ -223,21 +245,21 @@ class Trainer:
     were still to come.
     """
 
-    def __init__(self, logits: np.ndarray):
+    def __init__(self, logits: np.ndarray | Predictors):
         """``logits``: of :func:`unseen`."""
-        self.paths = paths(logits)
+        self.paths = paths(logits) if isinstance(logits, np.ndarray) else logits.paths
         self.weights = first_weights()
         self.mass = 0.0
         self.refined = np.zeros((2, 256 * STEPS))
 
     def learn(self, texts: list[bytes]) -> None:
-        for _, keys in blocks(texts, CHUNK):
-            self._learn(keys)
+        for _, keys in blocks(texts, CHUNK << 5):
+            for low in range(0, len(keys), CHUNK):
+                self._learn(keys[low : low + CHUNK])
 
     def _learn(self, keys: np.ndarray) -> None:
         byte = byte_of(keys)
-        inputs = looked_up(self.paths, keys)
-        logit, others, gate = _logit(inputs, self.weights)
+        inputs, logit, others, gate = _logit(keys, self.paths, self.weights)
         miss = np.negative(logit)
         np.exp(miss, out=miss)
         miss += 1
@@ -245,34 +267,29 @@ class Trainer:
         np.subtract(np.take(_ONES, byte, axis=0).ravel(), miss, out=miss)
         seen = np.bincount(gate, minlength=GATES)
         seen[-8:] += len(keys) - np.bincount(others % 8, minlength=8)
-        share = RATE / np.maximum(seen, 1)
         missed = miss[others]
         miss[others] = 0
-        for k, x in enumerate([*(x.ravel() for x in inputs), None]):
-            part = np.bincount(gate, missed if x is None else missed * x[others], GATES).astype(float)
-            rows = _rows(miss if x is None else miss * x).astype(float).sum(axis=0)
-            part[-8:] += rows.reshape(-1, 8).sum(axis=0)
-            self.weights[:, k] += share * part
+        n = len(ORDERS) + 1
+        at = gate + GATES * np.arange(n)[:, None]
+        steps = np.bincount(at.ravel(), np.concatenate([missed * inputs[:, others], [missed]]).ravel(), n * GATES)
+        steps = steps.astype(float).reshape(n, GATES)
+        sums = [np.add.reduce(_rows(x), axis=0, dtype=float) for x in (*(miss * x for x in inputs), miss)]
+        steps[:, -8:] += np.stack(sums).reshape(n, -1, 8).sum(axis=1)
+        self.weights += (RATE / np.maximum(seen, 1) * steps).T
         where = step(logit)
         where *= 2
         where += np.take(_SEEN, byte, axis=0).ravel()
-        where = where.astype(np.intp)
-        self.refined += np.bincount(where, minlength=2 * 256 * STEPS).reshape(-1, 2).T
-        self.mass += logit.size
+        self.refined += np.bincount(where.astype(np.intp), minlength=2 * 256 * STEPS).reshape(-1, 2).T
+        self.mass += len(where)
 
 
 @dataclass
-class Mixing:
+class Mixing(Predictors):
     """What scoring needs; its size does not depend on the corpus."""
 
-    logits: np.ndarray
     weights: np.ndarray
     refinement: np.ndarray
 
-    @functools.cached_property
-    def paths(self) -> np.ndarray:
-        return paths(self.logits)
-
     def costs(self, texts: list[bytes]) -> np.ndarray:
         """Bits of every text: those of each distinct byte and context are worked out once a block."""
         out = np.zeros(len(texts))
@@ -284,7 +301,7 @@ class Mixing:
 
     def _costs(self, keys: np.ndarray) -> np.ndarray:
         byte = byte_of(keys)
-        logit, _, _ = _logit(looked_up(self.paths, keys), self.weights)
+        _, logit, _, _ = _logit(keys, self.paths, self.weights)
         where = np.take(_CELL, byte, axis=0).ravel() + step(logit)
         logit = (logit + np.take(self.refinement, where.astype(np.intp))) / 2
         against = np.where(np.take(_ONES, byte, axis=0).ravel() == 1, -logit, logit).astype(float)
