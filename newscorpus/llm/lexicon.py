@@ -24,6 +24,51 @@ RUN_CHARS = 1 << 22
 BATCH = 100_000
 
 Split = Callable[[], Callable[[str], Iterable[bytes | str]]]
+#: The pieces of some texts, one after the other, and how many each text has.
+Cut = Callable[[list[str]], tuple[pa.Array, np.ndarray]]
+
+
+def lower_words(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts, A-Z in lower case, cut at once."""
+    raw = [text.encode("utf-8", "replace") for text in texts]
+    data = np.frombuffer(b" ".join([b"", *raw, b""]).lower(), np.uint8)
+    inside = (data != 32) & (data - np.uint8(9) > 4)
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = edges[0::2], edges[1::2]
+    offsets = np.cumsum(ends - starts, dtype=np.int64)
+    words = pa.Array.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(np.concatenate([[0], offsets])), pa.py_buffer(data[inside])]
+    )
+    bounds = np.cumsum([0, *(len(r) + 1 for r in raw)])
+    return words, np.diff(np.searchsorted(starts, bounds + 1))
+
+
+def count_cut(docs: DataFrame, cut: Cut, run_chars: int = RUN_CHARS) -> DataFrame:
+    """(piece, n) as :func:`count_pieces` has them, by pieces that are cut many texts at a time."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            for _, texts in text_runs(batch.column("text"), run_chars):
+                found = cut(texts)[0].value_counts()
+                held.append(pa.table({"piece": found.field("values").cast(pa.binary()), "n": found.field("counts")}))
+                rows += len(found)
+                if rows >= 4 * HELD_PIECES:
+                    held = [_added(held)]
+                    rows = held[0].num_rows
+                    if rows >= HELD_PIECES:
+                        yield from held[0].to_batches(BATCH)
+                        held, rows = [], 0
+        if held:
+            yield from _added(held).to_batches(BATCH)
+
+    parts = docs.select("text").mapInArrow(count, "piece binary, n bigint")
+    return parts.groupBy("piece").agg(F.sum("n").alias("n"))
+
+
+def _added(held: list[pa.Table]) -> pa.Table:
+    sums = pa.concat_tables(held).group_by("piece").aggregate([("n", "sum")])
+    return pa.table({"piece": sums["piece"].cast(pa.binary()), "n": sums["n_sum"]})
 
 
 def count_pieces(docs: DataFrame, split: Split) -> DataFrame:
@@ -79,13 +124,14 @@ def frequent_pieces(lexicon: DataFrame, values: list[str]) -> dict[bytes, tuple]
 
 def piece_sums(
     docs: DataFrame,
-    split: Split,
+    split: Split | None,
     lexicon: DataFrame,
     values: list[str],
     more: Callable[[], Callable[[list[str]], list[tuple]]] | None = None,
     more_columns: list[str] = (),
     as_cut: Callable[[bytes], bytes | str] = bytes,
     run_chars: int = RUN_CHARS,
+    cut_many: Cut | None = None,
 ) -> DataFrame:
     """(id, digest, copies, total_<v>.., more..) of every text of ``docs`` (id, text).
 
@@ -96,7 +142,8 @@ def piece_sums(
     rows share a result: ``copies`` says how many there are.  ``more`` makes a
     function that gives further numbers (double) of each of some texts.
     ``as_cut`` turns a piece's bytes into what ``split`` yields; ``run_chars``:
-    characters of texts that a task takes up together.
+    characters of texts that a task takes up together.  ``cut_many`` cuts many
+    texts at once, instead of ``split``.
     """
     spark = docs.sparkSession
     frequent = frequent_pieces(lexicon, values)
@@ -109,13 +156,17 @@ def piece_sums(
     )
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, table = split(), known.value
+        cut, table = split() if split else None, known.value
         other = more() if more else None
         rows = _Rows(n_values + len(extra))
         for batch in batches:
             ids, digests = batch.column("id"), batch.column("digest").to_pylist()
             for low, texts in text_runs(batch.column("text"), run_chars):
                 numbers = other(texts) if other else [()] * len(texts)
+                if cut_many:
+                    own = batch.column("digest")
+                    yield from _rows_of(low, texts, cut_many, table, ids, own, n_values, numbers, schema_names)
+                    continue
                 for k, text in enumerate(texts, low):
                     sums, rare, times = [0.0] * n_values, [], []
                     for piece, n in Counter(cut(text)).items():
@@ -149,6 +200,49 @@ def piece_sums(
     )
 
 
+def _rows_of(
+    low: int, texts: list[str], cut: Cut, table: dict, ids: pa.Array, digests: pa.Array,
+    n_values: int, numbers: list[tuple], names: list[str],
+) -> Iterator[pa.RecordBatch]:
+    """The rows of some texts, of which ``low`` is the first's index: each one's own, then those of rare pieces."""
+    pieces, sizes = cut(texts)
+    coded = pieces.dictionary_encode()
+    found = [table.get(piece) for piece in coded.dictionary.to_pylist()]
+    nothing = (0.0,) * n_values
+    value = np.array([f or nothing for f in found], float).reshape(-1, n_values)
+    rare = np.array([f is None for f in found], bool)
+    # a text's distinct pieces, and how often it has each
+    both = np.repeat(np.arange(len(texts), dtype=np.int64) << 32, sizes) | coded.indices.to_numpy()
+    both.sort()
+    first = np.flatnonzero(np.diff(both, prepend=-1))
+    n = np.diff(first, append=len(both))
+    text, piece = both[first] >> 32, both[first] & 0xFFFFFFFF
+    sums = [np.bincount(text, value[piece, v] * n, len(texts)) for v in range(n_values)]
+    all_numbers = [*sums, *np.array(numbers, float).reshape(len(texts), -1).T]
+    mine = digests.slice(low, len(texts))
+    # a text's own row has its digest as a piece, which spreads such rows over the join
+    own = pa.array([d.to_bytes(8, "little", signed=True) for d in mine.to_pylist()], pa.binary())
+    ones = pa.array(np.ones(len(texts), np.int64))
+    yield pa.RecordBatch.from_arrays(
+        [ids.slice(low, len(texts)), mine, own, ones, ones, *map(pa.array, all_numbers)], names
+    )
+    kept = np.flatnonzero(rare[piece])
+    for at in range(0, len(kept), BATCH):
+        some = kept[at : at + BATCH]
+        place = pa.array(text[some] + low)
+        yield pa.RecordBatch.from_arrays(
+            [
+                ids.take(place),
+                digests.take(place),
+                coded.dictionary.take(pa.array(piece[some])).cast(pa.binary()),
+                pa.array(n[some]),
+                pa.array(np.zeros(len(some), np.int64)),
+                *[pa.nulls(len(some), pa.float64()) for _ in all_numbers],
+            ],
+            names,
+        )
+
+
 class _Rows:
     """Rows of one input batch, gathered by column."""
 

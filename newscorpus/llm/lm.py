@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from newscorpus.llm import mixing
 from newscorpus.llm.common import saved, text_runs, texts
-from newscorpus.llm.lexicon import count_pieces, piece_sums
+from newscorpus.llm.lexicon import count_cut, lower_words, piece_sums
 
 #: Bytes of the texts that share one online pass over the weights, at least.
 PASS_BYTES = 8 << 20
@@ -27,10 +27,6 @@ BLOCK_CHARS = 1 << 23
 PART = 1 << 12
 
 
-def _cut_words():
-    return lambda text: text.encode("utf-8", "replace").lower().split()
-
-
 @dataclass(frozen=True)
 class Model:
     """Word counts as a table, the mixing model as arrays of fixed size."""
@@ -52,7 +48,7 @@ def train(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Mode
     group.
     """
     docs = texts(df, id_col, text_col)
-    words = count_pieces(docs, _cut_words)
+    words = count_cut(docs, lower_words)
     lexicon = saved(
         words.select("piece", "n", F.log10(F.col("n") + F.lit(0.1)).alias("log_count"), F.lit(1).alias("known")),
         "words",
@@ -168,8 +164,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
         return of
 
     sums = piece_sums(
-        docs, _cut_words, model.lexicon, ["log_count", "known"], measure, ["n_bytes", "n_words", "bits"],
-        run_chars=BLOCK_CHARS,
+        docs, None, model.lexicon, ["log_count", "known"], measure, ["n_bytes", "n_words", "bits"],
+        run_chars=BLOCK_CHARS, cut_many=lower_words,
     )
     end = math.log10(model.n_docs + 0.1)
     each = math.log10(model.n_tokens + 0.1 * (model.n_distinct + 1))

@@ -192,7 +192,7 @@ def _rows(bits: np.ndarray) -> np.ndarray:
 
 
 def _logit(keys: np.ndarray, paths: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(predictors' logits, mixed logits, the bits that not all predictors know, their gates), bits flat.
+    """(predictors' logits, mixed logits, the bits that not all predictors know, their logits, their gates), bits flat.
 
     Weights are those of the gate.  Bits that all predictors know take the
     weights of the last gates in whole rows, only the others look theirs up.
@@ -212,7 +212,7 @@ def _logit(keys: np.ndarray, paths: np.ndarray, weights: np.ndarray) -> tuple[np
     for x, weight in zip(some_inputs, own):
         some += weight * x
     out[others] = some
-    return inputs, np.clip(out, -16, 16, out=out), others, gate
+    return inputs, np.clip(out, -16, 16, out=out), others, some_inputs, gate
 
 
 def first_weights() -> np.ndarray:
@@ -259,7 +259,7 @@ class Trainer:
 
     def _learn(self, keys: np.ndarray) -> None:
         byte = byte_of(keys)
-        inputs, logit, others, gate = _logit(keys, self.paths, self.weights)
+        inputs, logit, others, some_inputs, gate = _logit(keys, self.paths, self.weights)
         miss = np.negative(logit)
         np.exp(miss, out=miss)
         miss += 1
@@ -271,7 +271,7 @@ class Trainer:
         miss[others] = 0
         n = len(ORDERS) + 1
         at = gate + GATES * np.arange(n)[:, None]
-        steps = np.bincount(at.ravel(), np.concatenate([missed * inputs[:, others], [missed]]).ravel(), n * GATES)
+        steps = np.bincount(at.ravel(), np.concatenate([missed * some_inputs, [missed]]).ravel(), n * GATES)
         steps = steps.astype(float).reshape(n, GATES)
         sums = [np.add.reduce(_rows(x), axis=0, dtype=float) for x in (*(miss * x for x in inputs), miss)]
         steps[:, -8:] += np.stack(sums).reshape(n, -1, 8).sum(axis=1)
@@ -301,7 +301,7 @@ class Mixing(Predictors):
 
     def _costs(self, keys: np.ndarray) -> np.ndarray:
         byte = byte_of(keys)
-        _, logit, _, _ = _logit(keys, self.paths, self.weights)
+        _, logit, _, _, _ = _logit(keys, self.paths, self.weights)
         where = np.take(_CELL, byte, axis=0).ravel() + step(logit)
         logit = (logit + np.take(self.refinement, where.astype(np.intp))) / 2
         against = np.where(np.take(_ONES, byte, axis=0).ravel() == 1, -logit, logit).astype(float)
