@@ -43,13 +43,13 @@ def lower_words(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
     return words, np.diff(np.searchsorted(starts, bounds + 1))
 
 
-def count_cut(docs: DataFrame, cut: Cut, run_chars: int = RUN_CHARS) -> DataFrame:
+def count_cut(docs: DataFrame, cut: Cut) -> DataFrame:
     """(piece, n) as :func:`count_pieces` has them, by pieces that are cut many texts at a time."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
         for batch in batches:
-            for _, texts in text_runs(batch.column("text"), run_chars):
+            for _, texts in text_runs(batch.column("text"), RUN_CHARS):
                 found = cut(texts)[0].value_counts()
                 held.append(pa.table({"piece": found.field("values").cast(pa.binary()), "n": found.field("counts")}))
                 rows += len(found)
@@ -130,7 +130,6 @@ def piece_sums(
     more: Callable[[], Callable[[list[str]], list[tuple]]] | None = None,
     more_columns: list[str] = (),
     as_cut: Callable[[bytes], bytes | str] = bytes,
-    run_chars: int = RUN_CHARS,
     cut_many: Cut | None = None,
 ) -> DataFrame:
     """(id, digest, copies, total_<v>.., more..) of every text of ``docs`` (id, text).
@@ -141,9 +140,8 @@ def piece_sums(
     others are joined, one row for each of a text's distinct pieces.  Equal
     rows share a result: ``copies`` says how many there are.  ``more`` makes a
     function that gives further numbers (double) of each of some texts.
-    ``as_cut`` turns a piece's bytes into what ``split`` yields; ``run_chars``:
-    characters of texts that a task takes up together.  ``cut_many`` cuts many
-    texts at once, instead of ``split``.
+    ``as_cut`` turns a piece's bytes into what ``split`` yields.  ``cut_many`` cuts
+    many texts at once, instead of ``split``.
     """
     spark = docs.sparkSession
     frequent = frequent_pieces(lexicon, values)
@@ -161,7 +159,7 @@ def piece_sums(
         rows = _Rows(n_values + len(extra))
         for batch in batches:
             ids, digests = batch.column("id"), batch.column("digest").to_pylist()
-            for low, texts in text_runs(batch.column("text"), run_chars):
+            for low, texts in text_runs(batch.column("text"), RUN_CHARS):
                 numbers = other(texts) if other else [()] * len(texts)
                 if cut_many:
                     own = batch.column("digest")

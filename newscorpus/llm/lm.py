@@ -21,8 +21,8 @@ PASS_BYTES = 8 << 20
 PASSES = 10_000
 #: Characters that a task trains the weights on together.
 RUN_CHARS = 1 << 18
-#: Characters that a task counts or scores together: the more, the fewer distinct contexts.
-BLOCK_CHARS = 1 << 23
+#: Characters that a task counts together: the more, the fewer distinct contexts.
+COUNT_CHARS = 1 << 22
 #: Counts that travel in one row.
 PART = 1 << 12
 
@@ -65,7 +65,7 @@ def _train_mixing(docs: DataFrame, passes: int) -> mixing.Mixing:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = mixing.no_halves()
         for batch in batches:
-            for _, run in text_runs(batch.column("text"), BLOCK_CHARS):
+            for _, run in text_runs(batch.column("text"), COUNT_CHARS):
                 mixing.count_halves([mixing.closed(t) for t in run], found)
         rows = found.reshape(-1, PART)
         yield from _parts({int(at): rows[at] for at in np.flatnonzero(rows.any(axis=1))})
@@ -165,7 +165,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
     sums = piece_sums(
         docs, None, model.lexicon, ["log_count", "known"], measure, ["n_bytes", "n_words", "bits"],
-        run_chars=BLOCK_CHARS, cut_many=lower_words,
+        cut_many=lower_words,
     )
     end = math.log10(model.n_docs + 0.1)
     each = math.log10(model.n_tokens + 0.1 * (model.n_distinct + 1))

@@ -18,7 +18,9 @@ END = b"\xff"
 #: Bytes that are modelled at once.
 CHUNK = 1 << 13
 #: Bytes whose distinct ones, with their contexts, are looked up together.
-BLOCK = 1 << 23
+BLOCK = 1 << 22
+#: Bytes with their contexts whose costs a Python worker keeps.
+HELD = 1 << 21
 #: Weight sets: a gate for each number of predictors that know the context, and each bit.
 GATES = (len(ORDERS) + 1) * 8
 #: Steps of the final refinement, between logits of -8 and 8; each for every node of a byte.
@@ -290,13 +292,40 @@ class Mixing(Predictors):
     weights: np.ndarray
     refinement: np.ndarray
 
+    @functools.cached_property
+    def _held(self) -> list[np.ndarray]:
+        """Keys in order, and their costs, as far as a worker knows them."""
+        return [np.zeros(0, np.uint64), np.zeros(0)]
+
     def costs(self, texts: list[bytes]) -> np.ndarray:
-        """Bits of every text: those of each distinct byte and context are worked out once a block."""
+        """Bits of every text: those of each distinct byte and context are worked out once a block, or kept."""
         out = np.zeros(len(texts))
         for text, keys in blocks(texts, BLOCK):
             keys, own = distinct(keys)
-            cost = np.concatenate([self._costs(keys[low : low + CHUNK]) for low in range(0, len(keys), CHUNK)])
-            out += np.bincount(text, cost[own], len(texts))
+            out += np.bincount(text, self._known_costs(keys)[own], len(texts))
+        return out
+
+    def _known_costs(self, keys: np.ndarray) -> np.ndarray:
+        held, known = self._held
+        order = np.argsort(keys)
+        keys = keys[order]
+        at = np.searchsorted(held, keys)
+        new = np.ones(len(keys), bool)
+        some = np.flatnonzero(at < len(held))
+        new[some] = held[at[some]] != keys[some]
+        cost, fresh = np.empty(len(keys)), keys[new]
+        cost[~new] = known[at[~new]]
+        cost[new] = np.concatenate(
+            [self._costs(fresh[low : low + CHUNK]) for low in range(0, len(fresh), CHUNK)] or [np.zeros(0)]
+        )
+        room = HELD - len(held)
+        if room > 0 and len(fresh):
+            held = np.concatenate([held, fresh[:room]])
+            known = np.concatenate([known, cost[new][:room]])
+            merged = np.argsort(held, kind="stable")
+            self._held[:] = held[merged], known[merged]
+        out = np.empty(len(keys))
+        out[order] = cost
         return out
 
     def _costs(self, keys: np.ndarray) -> np.ndarray:

@@ -436,14 +436,17 @@ def test_mixing_equals_a_bitwise_reference(monkeypatch):
 def test_mixing_looks_up_each_byte_with_its_context_once(monkeypatch):
     model, _ = trained([mixing.closed(t) for t in ("the cat sat", "a mat")])
     asked = [b"", *[mixing.closed(t) for t in ("the cat", "", "e cat\0\0", "é" * 40)], b""] * 50
+    fresh = lambda: mixing.Mixing(model.logits, model.weights, model.refinement)
     alone = [model.costs([t])[0] for t in asked]
     looked, halves = [], mixing.halves
     monkeypatch.setattr(mixing, "halves", lambda keys, *rest: looked.append(len(keys)) or halves(keys, *rest))
-    assert model.costs(asked) == pytest.approx(alone, rel=1e-9)
+    assert fresh().costs(asked) == pytest.approx(alone, rel=1e-9)
     contexts = {(t[at], t[max(at - 6, 0) : at].rjust(6, b"\0")) for t in asked for at in range(len(t))}
     assert sum(looked) == len(contexts) < len(b"".join(asked)) / 50
     monkeypatch.setattr(mixing, "BLOCK", 5)  # blocks end inside texts
-    assert model.costs(asked) == pytest.approx(alone, rel=1e-9)
+    assert fresh().costs(asked) == pytest.approx(alone, rel=1e-9)
+    monkeypatch.setattr(mixing, "HELD", 7)  # few costs are kept
+    assert fresh().costs(asked) == pytest.approx(alone, rel=1e-9)
     tables = [np.zeros((len(mixing.ORDERS), 2 << mixing.SLOT_BITS)) for _ in "ab"]
     mixing.count(asked[:12], tables[0])
     monkeypatch.undo()
