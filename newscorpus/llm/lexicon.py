@@ -53,7 +53,7 @@ def count_cut(docs: DataFrame, cut: Cut) -> DataFrame:
                 found = cut(texts)[0].value_counts()
                 held.append(pa.table({"piece": found.field("values").cast(pa.binary()), "n": found.field("counts")}))
                 rows += len(found)
-                if rows >= 4 * HELD_PIECES:
+                if rows >= 2 * HELD_PIECES:
                     held = [_added(held)]
                     rows = held[0].num_rows
                     if rows >= HELD_PIECES:
@@ -61,6 +61,8 @@ def count_cut(docs: DataFrame, cut: Cut) -> DataFrame:
                         held, rows = [], 0
         if held:
             yield from _added(held).to_batches(BATCH)
+        held.clear()
+        pa.default_memory_pool().release_unused()
 
     parts = docs.select("text").mapInArrow(count, "piece binary, n bigint")
     return parts.groupBy("piece").agg(F.sum("n").alias("n"))
@@ -164,6 +166,7 @@ def piece_sums(
                 if cut_many:
                     own = batch.column("digest")
                     yield from _rows_of(low, texts, cut_many, table, ids, own, n_values, numbers, schema_names)
+                    pa.default_memory_pool().release_unused()
                     continue
                 for k, text in enumerate(texts, low):
                     sums, rare, times = [0.0] * n_values, [], []

@@ -18,9 +18,9 @@ END = b"\xff"
 #: Bytes that are modelled at once.
 CHUNK = 1 << 13
 #: Bytes whose distinct ones, with their contexts, are looked up together.
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 #: Bytes with their contexts whose costs a Python worker keeps.
-HELD = 1 << 21
+HELD = 1 << 20
 #: Weight sets: a gate for each number of predictors that know the context, and each bit.
 GATES = (len(ORDERS) + 1) * 8
 #: Steps of the final refinement, between logits of -8 and 8; each for every node of a byte.
